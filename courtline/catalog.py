@@ -107,6 +107,569 @@ def q_join_box_games(spark, base):
                     F.col("_home").alias("home_team_id"), F.col("_away").alias("away_team_id"))
 
 
+
+# ------------------------------------------------------- prepare
+from courtline.plans import prepare as PR  # noqa: E402
+from courtline.schemas import BOX_COLUMNS  # noqa: E402
+from courtline.session import scratch_path  # noqa: E402
+
+_FEATURE_COLS = [*BOX_COLUMNS, "season", "game_number", "opponent_team_id",
+                 *[f"avg_last_3_{c}" for c in ROLLING_STATS], "next_game_valuation", "win_ind",
+                 "team_win_ratio", "opponent_win_ratio", "win_ratio_ratio"]
+_PREP_COLS = ["next_game_valuation"] + [c for c in _FEATURE_COLS
+                                       if c not in ("next_game_valuation", "id", "game_id", "team_id", "win_ind")]
+
+
+def _prep_select() -> str:
+    out = []
+    for c in _PREP_COLS:
+        if c == "next_game_valuation":
+            out.append("CAST(COALESCE(next_game_valuation, AVG(next_game_valuation) OVER "
+                       "(PARTITION BY season, player_id)) AS DOUBLE) AS next_game_valuation")
+        elif c in ("played_for_home", "is_starter"):
+            out.append(f"CAST({c} AS INTEGER) AS {c}")
+        elif c == "win_ratio_ratio":
+            out.append("COALESCE(win_ratio_ratio, 0.0::DOUBLE) AS win_ratio_ratio")
+        else:
+            out.append(c)
+    return "SELECT " + ", ".join(out) + " FROM tf"
+
+
+_PREP = {"prep": _prep_select()}
+_TEST = PR.DEFAULT_TEST_SEASON
+
+
+def _features(spark, base):
+    g, b = _gb(spark, base)
+    return FE.training_features(g, b)
+
+
+@register("season_target_avg", O.features_sql(
+    "SELECT season, player_id, AVG(next_game_valuation) AS season_avg_target FROM tf GROUP BY season, player_id"))
+def q_season_target_avg(spark, base):
+    return PR.season_target_avg(_features(spark, base))
+
+
+@register("fill_target", O.features_sql(
+    "SELECT id, season, player_id, CAST(COALESCE(next_game_valuation, AVG(next_game_valuation) OVER "
+    "(PARTITION BY season, player_id)) AS DOUBLE) AS next_game_valuation FROM tf"))
+def q_fill_target(spark, base):
+    return PR.fill_target(_features(spark, base)).select("id", "season", "player_id", "next_game_valuation")
+
+
+@register("preprocess", O.features_sql("SELECT * FROM prep", _PREP))
+def q_preprocess(spark, base):
+    return PR.preprocess(_features(spark, base))
+
+
+@register("split_train", O.features_sql(f"SELECT * FROM prep WHERE season IS DISTINCT FROM '{_TEST}'", _PREP))
+def q_split_train(spark, base):
+    return PR.split(PR.preprocess(_features(spark, base)), _TEST)[0]
+
+
+@register("split_test", O.features_sql(f"SELECT * FROM prep WHERE season IS NOT DISTINCT FROM '{_TEST}'", _PREP))
+def q_split_test(spark, base):
+    return PR.split(PR.preprocess(_features(spark, base)), _TEST)[1]
+
+
+@register("split_counts", O.features_sql(
+    f"SELECT CASE WHEN season IS NOT DISTINCT FROM '{_TEST}' THEN 'test' ELSE 'train' END AS part, "
+    "CAST(COUNT(*) AS BIGINT) AS rows FROM prep GROUP BY 1", _PREP))
+def q_split_counts(spark, base):
+    return PR.split_counts(PR.preprocess(_features(spark, base)), _TEST)
+
+
+@register("csv_sink", O.features_sql(f"SELECT * FROM prep WHERE season IS DISTINCT FROM '{_TEST}'", _PREP))
+def q_csv_sink(spark, base):
+    train = PR.split(PR.preprocess(_features(spark, base)), _TEST)[0]
+    path = PR.write_csv(train, scratch_path(spark, "csv_sink", "train", unique=True))
+    return PR.read_csv(spark, path, train.schema)
+
+
+# ------------------------------------------------------------ normalise
+from courtline.plans import normalise as NO  # noqa: E402
+from courtline.functions import scalar as SC  # noqa: E402
+
+
+def _docs(spark, base):
+    return NO.parse_documents(B.documents(spark, base))
+
+
+def _norm(spark, base):
+    return NO.normalise(_docs(spark, base))
+
+
+@register("normalise_teams", O.bridge_sql("SELECT id, name FROM n_teams", O.NORMALISE))
+def q_normalise_teams(spark, base):
+    return _norm(spark, base).teams
+
+
+@register("normalise_players", O.bridge_sql("SELECT id, player_code, name FROM n_players", O.NORMALISE))
+def q_normalise_players(spark, base):
+    return _norm(spark, base).players
+
+
+@register("normalise_games", O.bridge_sql(
+    "SELECT id, home_team_id, away_team_id, game_code, home_team_score, away_team_score FROM n_games",
+    O.NORMALISE))
+def q_normalise_games(spark, base):
+    return _norm(spark, base).games
+
+
+@register("normalise_boxscore", O.bridge_sql(f"SELECT {', '.join(BOX_COLUMNS)} FROM n_box", O.NORMALISE))
+def q_normalise_boxscore(spark, base):
+    return _norm(spark, base).boxscore
+
+
+@register("first_seen_players", O.bridge_sql(
+    "SELECT player_code, pname AS name, file_key AS first_file_key FROM lines QUALIFY row_number() OVER "
+    f"(PARTITION BY player_code ORDER BY file_key, away, {O.LINE_ORDER_SQL}) = 1", O.NORMALISE))
+def q_first_seen_players(spark, base):
+    return NO.first_seen_players(_docs(spark, base))
+
+
+@register("drop_invalid_games", O.bridge_sql("SELECT file_key, game_code FROM docs", O.NORMALISE))
+def q_drop_invalid_games(spark, base):
+    valid, _ = NO.split_documents(_docs(spark, base))
+    return NO.game_sides(valid).select("file_key", "game_code")
+
+
+@register("minutes_to_seconds", """SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_partkey % 37 = 0 THEN 'DNP' ELSE lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 2, '0')
+    || ':' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0') END AS minutes,
+  CASE WHEN l_partkey % 37 = 0 THEN 0 ELSE CAST(l_quantity AS INTEGER) * 60 + l_linenumber END AS seconds
+FROM lineitem""")
+def q_minutes_to_seconds(spark, base):
+    from courtline.sources.tables import read_table
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_partkey"])
+    m = B.minutes_text(F.col("l_quantity"), F.col("l_linenumber"), F.col("l_partkey"))
+    return li.select("l_orderkey", "l_linenumber", m.alias("minutes")) \
+        .withColumn("seconds", SC.minutes_to_seconds(F.col("minutes")))
+
+
+# Landing keys made from the bridge games; every 1000th file is named `abc`.
+_PATHS_SQL = {"paths": """SELECT id, 'data/boxscore_json/E' || right(game_code, 4) || '/' ||
+  CASE WHEN id % 1000 = 0 THEN 'abc' ELSE left(game_code, length(game_code) - 5) END || '.json' AS path
+FROM games"""}
+_PARSED_SQL = {"parsed": """SELECT id, path, regexp_extract(path, '([^/]+)/[^/]+$', 1) AS season_code,
+  TRY_CAST(replace(regexp_extract(path, '([^/]+)$', 1), '.json', '') AS BIGINT) AS file_number,
+  split_part(regexp_extract(path, '([^/]+)$', 1), '.', 1) || regexp_extract(path, '([^/]+)/[^/]+$', 1) AS game_code
+FROM paths"""}
+
+
+def _paths(spark, base):
+    g = B.games(spark, base)
+    stem = F.when(F.col("id") % 1000 == 0, F.lit("abc")).otherwise(
+        F.substring(F.col("game_code"), F.lit(1), F.length("game_code") - 5))
+    season = F.substring(F.col("game_code"), -4, 4)
+    return g.select("id", F.concat(F.lit("data/boxscore_json/E"), season, F.lit("/"), stem, F.lit(".json")).alias("path"))
+
+
+def _parsed(spark, base):
+    p = _paths(spark, base)
+    return p.select("id", "path", SC.path_season(F.col("path")).alias("season_code"),
+                    SC.path_file_number(F.col("path")).alias("file_number"),
+                    SC.game_code_from_path(F.col("path")).alias("game_code"))
+
+
+@register("game_code_from_path", O.bridge_sql("SELECT * FROM parsed", _PATHS_SQL, _PARSED_SQL))
+def q_game_code_from_path(spark, base):
+    return _parsed(spark, base)
+
+
+@register("max_file_number", O.bridge_sql(
+    "SELECT season_code, max(file_number) AS max_file_number, "
+    "CAST(count(*) FILTER (WHERE file_number IS NULL) AS BIGINT) AS rejected_names "
+    "FROM parsed GROUP BY season_code", _PATHS_SQL, _PARSED_SQL))
+def q_max_file_number(spark, base):
+    from courtline.streaming.incremental import max_file_number
+    return max_file_number(_parsed(spark, base))
+
+
+# Mark per season for the incremental filter: half of the season's largest number.
+_MARKS_SQL = {"marks": "SELECT season_code, max(file_number) // 2 AS last_id FROM parsed GROUP BY season_code"}
+
+
+@register("incremental_filter", O.bridge_sql(
+    "SELECT p.path, p.season_code, p.file_number FROM parsed p JOIN marks m ON p.season_code = m.season_code "
+    "WHERE p.file_number > m.last_id", _PATHS_SQL, _PARSED_SQL, _MARKS_SQL))
+def q_incremental_filter(spark, base):
+    from courtline.streaming.incremental import above_marks, max_file_number
+    parsed = _parsed(spark, base)
+    marks = max_file_number(parsed).select("season_code", (F.col("max_file_number") / 2).cast("long").alias("last_id"))
+    return above_marks(parsed, marks).select("path", "season_code", "file_number")
+
+
+
+# ------------------------------------------------------ upsert / load
+from courtline.streaming import incremental as INC  # noqa: E402
+from courtline.sources import landing as LA  # noqa: E402
+
+_SPLIT_SEASON = "E1999"
+
+
+def _docs_between(docs, lo=None, hi=None):
+    season = SC.path_season(F.col("file_key"))
+    if lo is not None:
+        docs = docs.filter(season >= F.lit(lo))
+    if hi is not None:
+        docs = docs.filter(season <= F.lit(hi))
+    return docs
+
+
+def _upserted(spark, base):
+    docs = _docs(spark, base)
+    target = NO.normalise(_docs_between(docs, hi=_SPLIT_SEASON))
+    return NO.normalise(_docs_between(docs, lo=_SPLIT_SEASON), target=target)
+
+
+# Loading the later seasons into tables built from the earlier ones gives the
+# same ids as one load: every key's first sighting is in landing-key order.
+@register("upsert_teams", O.bridge_sql("SELECT id, name FROM n_teams", O.NORMALISE))
+def q_upsert_teams(spark, base):
+    return _upserted(spark, base).teams
+
+
+@register("upsert_players", O.bridge_sql("SELECT id, player_code, name FROM n_players", O.NORMALISE))
+def q_upsert_players(spark, base):
+    return _upserted(spark, base).players
+
+
+@register("upsert_games", O.bridge_sql(
+    "SELECT id, home_team_id, away_team_id, game_code, home_team_score, away_team_score FROM n_games",
+    O.NORMALISE))
+def q_upsert_games(spark, base):
+    return _upserted(spark, base).games
+
+
+@register("upsert_boxscore", O.bridge_sql(f"SELECT {', '.join(BOX_COLUMNS)} FROM n_box", O.NORMALISE))
+def q_upsert_boxscore(spark, base):
+    return _upserted(spark, base).boxscore
+
+
+def _table_list(n):
+    return [("teams", n.teams), ("players", n.players), ("games", n.games), ("boxscore_record", n.boxscore)]
+
+
+@register("replay_is_noop", O.bridge_sql(
+    "SELECT 'teams' AS table_name, CAST(0 AS BIGINT) AS new_rows FROM (SELECT 1) "
+    "UNION ALL SELECT 'players', 0 UNION ALL SELECT 'games', 0 UNION ALL SELECT 'boxscore_record', 0"))
+def q_replay_is_noop(spark, base):
+    docs = _docs(spark, base)
+    once = NO.normalise(docs)
+    twice = NO.normalise(docs, target=once)
+    before = _summary(once).select("table_name", F.col("rows").alias("_before"))
+    after = _summary(twice).select("table_name", F.col("rows").alias("_after"))
+    return after.join(before, "table_name").select(
+        "table_name", (F.col("_after") - F.col("_before")).cast("long").alias("new_rows"))
+
+
+_SUMMARY_SQL = ("SELECT 'teams' AS table_name, CAST(count(*) AS BIGINT) AS rows, max(id) AS max_id FROM n_teams "
+                "UNION ALL SELECT 'players', count(*), max(id) FROM n_players "
+                "UNION ALL SELECT 'games', count(*), max(id) FROM n_games "
+                "UNION ALL SELECT 'boxscore_record', count(*), max(id) FROM n_box")
+
+
+def _summary(n):
+    parts = [df.agg(F.count(F.lit(1)).cast("long").alias("rows"), F.max("id").cast("long").alias("max_id"))
+             .select(F.lit(name).alias("table_name"), "rows", "max_id") for name, df in _table_list(n)]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+@register("transform_all", O.bridge_sql(_SUMMARY_SQL, O.NORMALISE))
+def q_transform_all(spark, base):
+    store = INC.TableStore(spark, INC.fresh_area(spark, "transform_all"))
+    docs = _docs(spark, base)
+    INC.load_batch(store, docs, 0)
+    INC.load_batch(store, docs, 1)  # full reprocess again: idempotent
+    return _summary(store.read())
+
+
+def _landing_docs(spark, base):
+    d = B.documents(spark, base)
+    return d.select("season_code", "game_number", F.from_json("body", NO.DOCUMENT).alias("doc"))
+
+
+@register("scan_landing_json", O.bridge_sql(f"SELECT {', '.join(BOX_COLUMNS)} FROM n_box", O.NORMALISE))
+def q_scan_landing_json(spark, base):
+    path = LA.write_landing(_landing_docs(spark, base), INC.fresh_area(spark, "landing"))
+    return NO.normalise(LA.read_landing(spark, path, "partitioned")).boxscore
+
+
+_ALL_DOCS_SQL = {"all_docs": """SELECT g.id,
+  'data/boxscore_json/E' || right(g.game_code, 4) || '/' || left(g.game_code, length(g.game_code) - 5)
+    || '.json' AS file_key,
+  CASE WHEN g.id % 50 = 0 THEN 'N/D, N/D, N/D' ELSE 'Ref A, Ref B, Ref C' END AS referees,
+  th.name AS home_team, ta.name AS away_team, g.home_team_score AS home_points, g.away_team_score AS away_points,
+  CAST((SELECT count(*) FROM lineitem l WHERE l.l_orderkey = g.id) AS INTEGER) AS players
+FROM games g JOIN teams th ON th.id = g.home_team_id JOIN teams ta ON ta.id = g.away_team_id"""}
+
+
+@register("landing_sink", O.bridge_sql(
+    "SELECT file_key, referees, home_team, away_team, home_points, away_points, players FROM all_docs",
+    _ALL_DOCS_SQL))
+def q_landing_sink(spark, base):
+    path = LA.write_landing(_landing_docs(spark, base), INC.fresh_area(spark, "landing"))
+    d = LA.read_landing(spark, path, "partitioned")
+    s0, s1 = F.col("doc.Stats")[0], F.col("doc.Stats")[1]
+    return d.select("file_key", F.col("doc.Referees").alias("referees"),
+                    s0["tmr"]["Team"].alias("home_team"), s1["tmr"]["Team"].alias("away_team"),
+                    s0["totr"]["Points"].alias("home_points"), s1["totr"]["Points"].alias("away_points"),
+                    (F.size(s0["PlayersStats"]) + F.size(s1["PlayersStats"])).alias("players"))
+
+
+_NATURAL_BOX_COLS = ["player_code", "game_code", "team_name", "played_for_home", "is_starter", "seconds",
+                     *[c for c in BOX_COLUMNS[7:]]]
+
+
+def _natural_box(n):
+    p = n.players.select(F.col("id").alias("player_id"), "player_code")
+    g = n.games.select(F.col("id").alias("game_id"), "game_code")
+    t = n.teams.select(F.col("id").alias("team_id"), F.col("name").alias("team_name"))
+    return n.boxscore.join(p, "player_id").join(g, "game_id").join(t, "team_id").select(*_NATURAL_BOX_COLS)
+
+
+@register("stream_incremental", O.bridge_sql(
+    "SELECT p.player_code, g.game_code, t.name AS team_name, b.played_for_home, b.is_starter, b.seconds, "
+    + ", ".join(f"b.{c}" for c in BOX_COLUMNS[7:])
+    + " FROM n_box b JOIN n_players p ON p.id = b.player_id JOIN n_games g ON g.id = b.game_id "
+      "JOIN n_teams t ON t.id = b.team_id", O.NORMALISE))
+def q_stream_incremental(spark, base):
+    landing = LA.write_landing(_landing_docs(spark, base), INC.fresh_area(spark, "landing"))
+    root = INC.fresh_area(spark, "stream")
+    store = INC.run_incremental(spark, landing, f"{root}/tables", f"{root}/checkpoint", max_files_per_trigger=8)
+    return _natural_box(store.read())
+
+
+# ------------------------------------------------------------ keyed access, audits
+from courtline.operators import audit as AU  # noqa: E402
+from courtline.schemas import FOREIGN_KEYS, NATURAL_KEYS  # noqa: E402
+
+
+def _bridge_tables(spark, base):
+    return {"teams": B.teams(spark, base), "players": B.players(spark, base),
+            "games": B.games(spark, base), "boxscore_record": B.boxscore(spark, base)}
+
+
+@register("scan_table", O.bridge_sql("SELECT * FROM games"))
+def q_scan_table(spark, base):
+    return B.games(spark, base)
+
+
+@register("lookup_by_id", O.bridge_sql(
+    "SELECT g.home_team_id + 5 AS requested_id, t.name FROM games g LEFT JOIN teams t ON t.id = g.home_team_id + 5"))
+def q_lookup_by_id(spark, base):
+    ids = B.games(spark, base).select((F.col("home_team_id") + 5).alias("id"))
+    return AU.lookup_by_id(B.teams(spark, base), ids)
+
+
+@register("delete_restrict", O.bridge_sql("""SELECT 'teams' AS table_name, r.id,
+  CASE WHEN t.id IS NULL THEN 'absent'
+       WHEN EXISTS (SELECT 1 FROM games g WHERE g.home_team_id = r.id OR g.away_team_id = r.id)
+         OR EXISTS (SELECT 1 FROM boxscore_record b WHERE b.team_id = r.id) THEN 'refused'
+       ELSE 'deleted' END AS outcome
+FROM (SELECT DISTINCT home_team_id + 5 AS id FROM games) r LEFT JOIN teams t ON t.id = r.id
+UNION ALL
+SELECT 'games', r.id,
+  CASE WHEN EXISTS (SELECT 1 FROM boxscore_record b WHERE b.game_id = r.id) THEN 'refused' ELSE 'deleted' END
+FROM (SELECT id FROM games WHERE id % 100 = 0) r"""))
+def q_delete_restrict(spark, base):
+    t = _bridge_tables(spark, base)
+    team_ids = t["games"].select((F.col("home_team_id") + 5).alias("id"))
+    o1, _ = AU.delete_restrict(t["teams"], team_ids,
+                               [(t["games"], "home_team_id"), (t["games"], "away_team_id"),
+                                (t["boxscore_record"], "team_id")], "teams")
+    game_ids = t["games"].filter(F.col("id") % 100 == 0).select("id")
+    o2, _ = AU.delete_restrict(t["games"], game_ids, [(t["boxscore_record"], "game_id")], "games")
+    return o1.unionByName(o2)
+
+
+_UNIQUE_KEYS = {t: [k, ["id"]] for t, k in NATURAL_KEYS.items()}
+
+
+def _unique_sql() -> str:
+    parts = ["SELECT 'lineitem' AS table_name, 'l_orderkey,l_linenumber' AS key_columns, "
+             "CAST(count(*) AS BIGINT) AS duplicate_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
+             "FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)"]
+    for t, ks in _UNIQUE_KEYS.items():
+        for k in ks:
+            parts.append(f"SELECT '{t}', '{','.join(k)}', count(*), coalesce(sum(n), 0) FROM "
+                         f"(SELECT count(*) AS n FROM {t} GROUP BY {', '.join(k)} HAVING count(*) > 1)")
+    return " UNION ALL ".join(parts)
+
+
+@register("audit_unique", O.bridge_sql(_unique_sql()))
+def q_audit_unique(spark, base):
+    from courtline.sources.tables import read_table
+    t = _bridge_tables(spark, base)
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_linenumber"])
+    raw = AU.duplicate_keys(li, ["l_orderkey", "l_linenumber"], "lineitem")
+    return raw.unionByName(AU.audit_unique(t, _UNIQUE_KEYS))
+
+
+def _not_null_sql() -> str:
+    from courtline.schemas import BOXSCORE, GAMES, PLAYERS, TEAMS
+    parts = []
+    for t, schema in (("teams", TEAMS), ("players", PLAYERS), ("games", GAMES), ("boxscore_record", BOXSCORE)):
+        for f in schema.fields:
+            parts.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, "
+                         f"CAST(count(*) FILTER (WHERE {f.name} IS NULL) AS BIGINT) AS nulls FROM {t}")
+    return " UNION ALL ".join(parts)
+
+
+@register("audit_not_null", O.bridge_sql(_not_null_sql()))
+def q_audit_not_null(spark, base):
+    return AU.audit_not_null(_bridge_tables(spark, base))
+
+
+_FK_PARENTS_SQL = {
+    "teams_k": "SELECT * FROM teams WHERE id % 10 <> 0",
+    "players_k": "SELECT * FROM players WHERE id % 10 <> 0",
+    "games_k": "SELECT * FROM games WHERE id % 10 <> 0",
+}
+
+
+def _fk_sql() -> str:
+    parts = []
+    for child, col, parent in FOREIGN_KEYS:
+        child_rel = f"{child}_k" if child != "boxscore_record" else "boxscore_record"
+        parts.append(f"SELECT '{child}' AS child_table, '{col}' AS column_name, '{parent}' AS parent_table, "
+                     f"CAST(count(*) AS BIGINT) AS orphans FROM {child_rel} c "
+                     f"WHERE c.{col} IS NOT NULL AND c.{col} NOT IN (SELECT id FROM {parent}_k)")
+    return " UNION ALL ".join(parts)
+
+
+@register("audit_foreign_keys", O.bridge_sql(_fk_sql(), _FK_PARENTS_SQL))
+def q_audit_foreign_keys(spark, base):
+    t = _bridge_tables(spark, base)
+    kept = {name: df.filter(F.col("id") % 10 != 0) for name, df in t.items() if name != "boxscore_record"}
+    kept["boxscore_record"] = t["boxscore_record"]
+    return AU.audit_foreign_keys(kept, FOREIGN_KEYS)
+
+
+# ------------------------------------------------------------ fetch bookkeeping
+_SPEC_SQL = {"spec": "SELECT 'E' || season AS season_code, max(game_number) AS max_game_id FROM gi GROUP BY season"}
+
+
+def _spec(spark, base):
+    gi = FE.game_info(B.games(spark, base))
+    return gi.groupBy(F.concat(F.lit("E"), F.col("season")).alias("season_code")) \
+        .agg(F.max("game_number").alias("max_game_id"))
+
+
+@register("fetch_plan", O.features_sql(
+    "SELECT season_code, game_id, 'boxscore?gamecode=' || CAST(game_id AS VARCHAR) || '&seasoncode=' || season_code "
+    "AS url, 'data/boxscore_json/' || season_code || '/' || CAST(game_id AS VARCHAR) || '.json' AS landing_key "
+    "FROM (SELECT season_code, CAST(unnest(generate_series(1, max_game_id)) AS BIGINT) AS game_id FROM spec "
+    "WHERE max_game_id >= 1)", _SPEC_SQL))
+def q_fetch_plan(spark, base):
+    return INC.fetch_plan(_spec(spark, base))
+
+
+_OUTCOMES_SQL = {"responses": """SELECT event_id AS id, CAST(user_id AS VARCHAR) AS season,
+  CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status, props AS body FROM events""",
+                 "outcomes": """SELECT season, id, (status = 200 AND coalesce(json_valid(body), false)) AS success,
+  CASE WHEN status = 200 AND coalesce(json_valid(body), false) THEN NULL
+       WHEN status = 200 THEN 'JSON decode error: invalid JSON'
+       ELSE 'Failed to fetch data for season: ' || season || ' game ID: ' || CAST(id AS VARCHAR)
+            || ' - Status: ' || CAST(status AS VARCHAR) END AS error
+FROM responses"""}
+
+
+def _outcomes(spark, base):
+    return INC.classify_fetch(B.fetch_responses(spark, base))
+
+
+@register("classify_fetch", O.with_ctes("SELECT * FROM outcomes", _OUTCOMES_SQL))
+def q_classify_fetch(spark, base):
+    return _outcomes(spark, base)
+
+
+@register("fetch_summary", O.with_ctes(
+    "SELECT season, success, CAST(count(*) AS BIGINT) AS attempts FROM outcomes GROUP BY season, success",
+    _OUTCOMES_SQL))
+def q_fetch_summary(spark, base):
+    return INC.fetch_summary(_outcomes(spark, base))
+
+
+@register("success_prefix", O.with_ctes(
+    "SELECT o.* FROM outcomes o JOIN (SELECT season, min(id) FILTER (WHERE NOT success) AS fail "
+    "FROM outcomes GROUP BY season) f ON f.season = o.season WHERE f.fail IS NULL OR o.id < f.fail",
+    _OUTCOMES_SQL))
+def q_success_prefix(spark, base):
+    return INC.success_prefix(_outcomes(spark, base))
+
+
+_STATE_SQL = {"state": "SELECT 'transform' AS stage, 'E' || season AS season, "
+                       "CAST(max(game_number) AS BIGINT) AS last_id FROM gi GROUP BY season"}
+
+
+def _state(spark, base):
+    gi = FE.game_info(B.games(spark, base))
+    return gi.groupBy(F.concat(F.lit("E"), F.col("season")).alias("season")).agg(
+        F.max("game_number").cast("long").alias("last_id")).select(F.lit("transform").alias("stage"), "*")
+
+
+@register("watermark_state", O.features_sql("SELECT * FROM state", _STATE_SQL))
+def q_watermark_state(spark, base):
+    return _state(spark, base)
+
+
+@register("watermark_merge", O.features_sql("""SELECT coalesce(o.stage, u.stage) AS stage,
+  coalesce(o.season, u.season) AS season, CAST(coalesce(u.last_id, o.last_id) AS BIGINT) AS last_id
+FROM (SELECT stage, season, last_id // 2 AS last_id FROM state) o
+FULL OUTER JOIN (SELECT stage, season, last_id FROM state WHERE season >= 'E1999'
+                 UNION ALL SELECT 'fetch', season, last_id FROM state) u
+  ON o.stage = u.stage AND o.season = u.season""", _STATE_SQL))
+def q_watermark_merge(spark, base):
+    st = _state(spark, base)
+    old = st.select("stage", "season", (F.col("last_id") / 2).cast("long").alias("last_id"))
+    updates = st.filter(F.col("season") >= "E1999").unionByName(st.withColumn("stage", F.lit("fetch")))
+    return INC.merge_marks(old, updates)
+
+
+@register("metric_tail", """SELECT event_id AS step, ts, value FROM events WHERE event_type = 'view'
+ORDER BY ts DESC, event_id DESC LIMIT 5""")
+def q_metric_tail(spark, base):
+    from courtline.sources.tables import read_table
+    e = read_table(spark, base, "events", ["event_id", "ts", "event_type", "value"])
+    return e.filter(F.col("event_type") == "view").orderBy(F.col("ts").desc(), F.col("event_id").desc()) \
+        .limit(5).select(F.col("event_id").alias("step"), "ts", "value")
+
+
+# ------------------------------------------------------------ model (K1-K3, E5)
+from courtline.plans import model as MO  # noqa: E402
+
+
+@register("mae", O.features_sql(
+    "SELECT season, CAST(count(*) AS BIGINT) AS n, avg(abs(points - avg_last_3_points)) AS mae "
+    "FROM tf WHERE points IS NOT NULL GROUP BY season"))
+def q_mae(spark, base):
+    return MO.mae_frame(_features(spark, base), "points", "avg_last_3_points", by=["season"])
+
+
+def _trained(spark, base):
+    train, test = PR.split(PR.preprocess(_features(spark, base)), _TEST)
+    return MO.fit(train), test
+
+
+@register("train_gbt", None)
+def q_train_gbt(spark, base):
+    model, test = _trained(spark, base)
+    scored = MO.score(model, test)
+    return MO.mae_frame(scored, "next_game_valuation", "prediction").select(
+        F.lit("validation_mae").alias("metric"), F.col("mae").alias("value"), "n")
+
+
+@register("score_batch", None)
+def q_score_batch(spark, base):
+    model, test = _trained(spark, base)
+    return MO.score(model, test).select("player_id", "season", "game_number", "next_game_valuation", "prediction")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

@@ -119,3 +119,61 @@ def features_sql(select: str, *more: dict[str, str]) -> str:
 
 ROLLING_COLS = ", ".join(f"avg_last_3_{c}" for c in ROLLING_STATS)
 DOC_STAT_FIELDS = list(STAT_FIELD_TO_COLUMN)
+
+
+# ------------------------------------------------------------ normalisation
+_LINE_ORDER_X = ", ".join(f"x.{c.strip()}" for c in LINE_ORDER_SQL.split(","))
+
+
+def _doc_stat_sql() -> str:
+    cols = []
+    for i, name in enumerate(ROLLING_STATS):
+        if name == "seconds":
+            continue
+        cols.append(f"COALESCE({_stat_sql(i, 'x.l_partkey', 'x.l_linenumber')}, 0) AS {name}")
+    by_name = {c.rsplit(' AS ', 1)[1]: c for c in cols}
+    from courtline.schemas import BOX_STATS
+    return ",\n  ".join(by_name[c] for c in BOX_STATS)
+
+
+def normalise_ctes(valid_filter: str = "TRUE") -> dict[str, str]:
+    """Expected tables of loading the bridge documents (``valid_filter`` on docs)."""
+    return {
+        "docs": f"""SELECT g.id AS src_game, g.home_team_id AS h, g.away_team_id AS a,
+  g.home_team_score, g.away_team_score,
+  'data/boxscore_json/E' || right(g.game_code, 4) || '/' || left(g.game_code, length(g.game_code) - 5)
+    || '.json' AS file_key,
+  g.game_code, right(g.game_code, 4) AS season
+FROM games g WHERE g.id % 50 <> 0 AND ({valid_filter})""",
+        "team_sides": """SELECT d.file_key, 0 AS side, t.name FROM docs d JOIN teams t ON t.id = d.h
+UNION ALL SELECT d.file_key, 1 AS side, t.name FROM docs d JOIN teams t ON t.id = d.a""",
+        "n_teams": """SELECT CAST(row_number() OVER (ORDER BY file_key, side) AS BIGINT) AS id, name, file_key, side
+FROM (SELECT * FROM team_sides QUALIFY row_number() OVER (PARTITION BY name ORDER BY file_key, side) = 1)""",
+        "lines": f"""SELECT d.file_key, d.game_code, d.season, (l.l_linestatus <> 'O') AS away, l.*,
+  'P' || lpad(CAST(l.l_suppkey AS VARCHAR), 6, '0') AS player_code,
+  s.s_name || '#' || CAST(l.l_orderkey % 3 AS VARCHAR) AS pname
+FROM docs d JOIN lineitem l ON l.l_orderkey = d.src_game JOIN supplier s ON s.s_suppkey = l.l_suppkey""",
+        "n_players": f"""SELECT CAST(row_number() OVER (ORDER BY x.file_key, x.away, {_LINE_ORDER_X}) AS BIGINT) AS id,
+  x.player_code, x.pname AS name
+FROM (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY player_code
+      ORDER BY file_key, away, {LINE_ORDER_SQL}) = 1) x""",
+        "n_games": """SELECT CAST(row_number() OVER (ORDER BY d.file_key) AS BIGINT) AS id,
+  th.id AS home_team_id, ta.id AS away_team_id, d.game_code, d.home_team_score, d.away_team_score,
+  d.file_key, d.season
+FROM docs d
+JOIN teams t1 ON t1.id = d.h JOIN n_teams th ON th.name = t1.name
+JOIN teams t2 ON t2.id = d.a JOIN n_teams ta ON ta.name = t2.name""",
+        "n_box": f"""SELECT CAST(row_number() OVER (ORDER BY x.file_key, x.away, {_LINE_ORDER_X}) AS BIGINT) AS id,
+  p.id AS player_id, g.id AS game_id,
+  CASE WHEN NOT x.away THEN g.home_team_id ELSE g.away_team_id END AS team_id,
+  NOT x.away AS played_for_home, x.l_linenumber <= 5 AS is_starter,
+  CASE WHEN x.l_partkey % 37 = 0 THEN 0 ELSE CAST(x.l_quantity AS INTEGER) * 60 + x.l_linenumber END AS seconds,
+  {_doc_stat_sql()},
+  x.file_key, x.away, x.season
+FROM (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY game_code, player_code
+      ORDER BY away, {LINE_ORDER_SQL}) = 1) x
+JOIN n_players p ON p.player_code = x.player_code JOIN n_games g ON g.game_code = x.game_code""",
+    }
+
+
+NORMALISE = normalise_ctes()
