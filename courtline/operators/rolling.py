@@ -8,17 +8,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def trailing_means(cols: Sequence[str], partition: Sequence[str], order: Sequence[str | Column],
-                   n: int = 3, prefix: str = "avg_last_{n}_", empty: float = 0.0) -> list[Column]:
-    """Mean of each column over the previous ``n`` rows (current row excluded).
+def window_sql(partition: Sequence[str], order: Sequence[str], frame: str = "") -> str:
+    return f"OVER (PARTITION BY {', '.join(partition)} ORDER BY {', '.join(order)}{' ' + frame if frame else ''})"
+
+
+def trailing_mean_sql(cols: Sequence[str], partition: Sequence[str], order: Sequence[str],
+                      n: int = 3, prefix: str = "avg_last_{n}_", empty: float = 0.0) -> list[str]:
+    """Mean of each column over the previous ``n`` rows (current row excluded), as SQL.
 
     Nulls are skipped and shorten the denominator; an empty frame gives
     ``empty``.  All expressions share one window spec, so Catalyst evaluates
-    them in a single Window node over one shuffle and one sort.
+    them in a single Window node over one shuffle and one sort.  They are
+    built as SQL text so a wide projection costs one call into the JVM.
     """
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-n, -1)
+    over = window_sql(partition, order, f"ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING")
     name = prefix.format(n=n)
-    return [F.coalesce(F.avg(c).over(w), F.lit(float(empty))).alias(f"{name}{c}") for c in cols]
+    return [f"coalesce(avg({c}) {over}, CAST({float(empty)!r} AS DOUBLE)) AS {name}{c}" for c in cols]
+
+
+def trailing_means(cols: Sequence[str], partition: Sequence[str], order: Sequence[str],
+                   n: int = 3, prefix: str = "avg_last_{n}_", empty: float = 0.0) -> list[Column]:
+    """Column form of :func:`trailing_mean_sql`."""
+    return [F.expr(e) for e in trailing_mean_sql(cols, partition, order, n, prefix, empty)]
+
+
+def next_value_sql(col: str, partition: Sequence[str], order: Sequence[str], alias: str) -> str:
+    return f"lead({col}) {window_sql(partition, order)} AS {alias}"
 
 
 def next_value(col: str, partition: Sequence[str], order: Sequence[str | Column], alias: str) -> Column:
@@ -31,7 +46,7 @@ def with_trailing_features(df: DataFrame, cols: Sequence[str], partition: Sequen
                            order: Sequence[str | Column], n: int = 3,
                            lead_col: str | None = None, lead_alias: str | None = None) -> DataFrame:
     """``df`` plus trailing means (and optionally a lead) in one projection."""
-    exprs = trailing_means(cols, partition, order, n=n)
+    exprs = trailing_mean_sql(cols, partition, order, n=n)
     if lead_col:
-        exprs.append(next_value(lead_col, partition, order, lead_alias or f"next_{lead_col}"))
-    return df.select("*", *exprs)
+        exprs.append(next_value_sql(lead_col, partition, order, lead_alias or f"next_{lead_col}"))
+    return df.selectExpr("*", *exprs)

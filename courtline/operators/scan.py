@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +46,7 @@ def running_scan(
     row_number: str | None = None,
     exclusive_sums: Mapping[str, str | Column] | None = None,
     blocks: int | None = None,
+    materialize: str = "persist",
 ) -> DataFrame:
     """Append a 1-based row number and/or exclusive running sums per group.
 
@@ -58,12 +60,19 @@ def running_scan(
     order_cols = [_col(c) for c in order]
 
     # The block id is the range partition index.  It feeds two branches (the
-    # per-block totals and the rows), so it is materialised once with a
-    # reliable checkpoint: both branches see the same ids, and a lost executor
-    # re-reads the checkpoint instead of re-sampling the range bounds.
-    ensure_checkpoint_dir(df.sparkSession)
+    # per-block totals and the rows), and two separately planned reads of the
+    # same shuffle may be coalesced differently by AQE, so the blocked rows
+    # are persisted once: both branches read the same partitions, and a lost
+    # partition is recomputed from the same RDD (same range bounds, same
+    # partition index, hence the same block id).  ``materialize="checkpoint"``
+    # writes them to the reliable checkpoint directory instead.
     blocked = df.repartitionByRange(n_blocks, *[F.col(g) for g in group], *order_cols) \
-        .withColumn(_BLOCK, F.spark_partition_id()).checkpoint(eager=True)
+        .withColumn(_BLOCK, F.spark_partition_id())
+    if materialize == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        blocked = blocked.checkpoint(eager=True)
+    else:
+        blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
 
     in_block = Window.partitionBy(*group, _BLOCK).orderBy(*order_cols)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)

@@ -21,9 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.functions.scalar import (game_number_of, guarded_ratio, opponent_team, season_of,
-                                        win_indicator, winning_team)
-from courtline.operators.rolling import trailing_means, next_value
+from courtline.functions.scalar import game_number_of, season_of, winning_team
+from courtline.operators.rolling import next_value_sql, trailing_mean_sql
 from courtline.operators.scan import running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
 
@@ -58,14 +57,12 @@ def player_box(box: DataFrame, gi: DataFrame, n: int = 3) -> DataFrame:
     # game_id breaks ties in game_number, which only occur if two competitions
     # share a season code; it keeps the frame reproducible.
     order = ["game_number", "game_id"]
-    team = F.col("team_id")
-    return j.select(
-        *[F.col(c) for c in box.columns],
-        "season", "game_number",
-        opponent_team(team, F.col("_home"), F.col("_away")).alias("opponent_team_id"),
-        *trailing_means(ROLLING_STATS, PLAYER_SEASON, order, n=n),
-        next_value("valuation", PLAYER_SEASON, order, "next_game_valuation"),
-        win_indicator(team, F.col("_home"), F.col("_away"), F.col("_hs"), F.col("_as")).alias("win_ind"),
+    return j.selectExpr(
+        *box.columns, "season", "game_number",
+        "CASE WHEN _home = team_id THEN _away ELSE _home END AS opponent_team_id",
+        *trailing_mean_sql(ROLLING_STATS, PLAYER_SEASON, order, n=n),
+        next_value_sql("valuation", PLAYER_SEASON, order, "next_game_valuation"),
+        "CASE WHEN (_home = team_id AND _hs > _as) OR (_away = team_id AND _as > _hs) THEN 1 ELSE 0 END AS win_ind",
     )
 
 
@@ -111,10 +108,10 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
                     F.col("game_number").alias("_n2"), F.col("cum_win_ratio").alias("opponent_win_ratio"))
     j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
          .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2) & (pb.game_number == opp._n2), "left"))
-    return j.select(
-        *[F.col(c) for c in pb.columns],
-        "team_win_ratio", "opponent_win_ratio",
-        guarded_ratio(F.col("team_win_ratio"), F.col("opponent_win_ratio")).alias("win_ratio_ratio"),
+    return j.selectExpr(
+        *pb.columns, "team_win_ratio", "opponent_win_ratio",
+        "CASE WHEN opponent_win_ratio = 0 THEN CAST(NULL AS DOUBLE) "
+        "ELSE team_win_ratio / opponent_win_ratio END AS win_ratio_ratio",
     )
 
 

@@ -8,7 +8,7 @@ DuckDB oracle SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courtline.operators.scan import running_scan
@@ -69,8 +69,19 @@ def games(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def stat_sql(i: int, partkey: str = "l_partkey", linenumber: str = "l_linenumber") -> str:
+    """i-th statistic in ROLLING_STATS order, as a SQL expression."""
+    v = f"({partkey} * {2 * i + 3} + {linenumber} + {i}) % 23"
+    if ROLLING_STATS[i] in ("valuation", "plus_minus"):
+        v = f"{v} - 5"
+    v = f"CAST({v} AS INT)"
+    if ROLLING_STATS[i] == "points":
+        v = f"CASE WHEN {partkey} % 37 = 0 THEN CAST(NULL AS INT) ELSE {v} END"
+    return v
+
+
 def stat_expr(i: int, partkey: Column, linenumber: Column) -> Column:
-    """i-th statistic in ROLLING_STATS order."""
+    """Column form of :func:`stat_sql` over arbitrary columns."""
     v = (partkey * (2 * i + 3) + linenumber + i) % 23
     if ROLLING_STATS[i] in ("valuation", "plus_minus"):
         v = v - 5
@@ -92,24 +103,24 @@ def _order_sides(spark: SparkSession, base: str) -> DataFrame:
 def boxscore(spark: SparkSession, base: str) -> DataFrame:
     """First lineitem row per (order, supplier) becomes one box-score row."""
     li = read_table(spark, base, "lineitem", ["l_orderkey", "l_suppkey", *LINE_ORDER])
-    # min over a struct = first row by the struct's field order; it is a
-    # partial (map-side) aggregate, so a hot order does not land on one task.
-    first = li.groupBy("l_orderkey", "l_suppkey").agg(
-        F.min(F.struct(*[F.col(c) for c in LINE_ORDER])).alias("f"))
-    rows = first.join(_order_sides(spark, base), F.col("l_orderkey") == F.col("_ok"), "inner")
-    pk, ln = F.col("f.l_partkey"), F.col("f.l_linenumber")
-    home = F.col("f.l_linestatus") == "O"
-    stats = {name: stat_expr(i, pk, ln) for i, name in enumerate(ROLLING_STATS)}
-    cols = {
-        "id": F.col("l_orderkey") * 100000 + F.col("l_suppkey"),
-        "player_id": F.col("l_suppkey"),
-        "game_id": F.col("l_orderkey"),
-        "team_id": F.when(home, F.col("_home")).otherwise(F.col("_away")),
-        "played_for_home": home,
-        "is_starter": ln <= 5,
-        **stats,
+    # First row per (order, supplier): row_number() == 1 is planned with a
+    # WindowGroupLimit before the shuffle, so duplicates are dropped map-side
+    # and a hot order does not pile up on one task.
+    w = Window.partitionBy("l_orderkey", "l_suppkey").orderBy(*LINE_ORDER)
+    first = li.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1) \
+        .select("l_orderkey", "l_suppkey", F.struct(*[F.col(c) for c in LINE_ORDER]).alias("f"))
+    rows = first.join(_order_sides(spark, base), F.col("l_orderkey") == F.col("_ok"), "inner") \
+        .select("l_orderkey", "l_suppkey", "_home", "_away", "f.*")
+    sql = {
+        "id": "l_orderkey * 100000 + l_suppkey",
+        "player_id": "l_suppkey",
+        "game_id": "l_orderkey",
+        "team_id": "CASE WHEN l_linestatus = 'O' THEN _home ELSE _away END",
+        "played_for_home": "l_linestatus = 'O'",
+        "is_starter": "l_linenumber <= 5",
+        **{name: stat_sql(i) for i, name in enumerate(ROLLING_STATS)},
     }
-    return rows.select(*[cols[c].alias(c) for c in BOX_COLUMNS])
+    return rows.selectExpr(*[f"{sql[c]} AS {c}" for c in BOX_COLUMNS])
 
 
 def minutes_text(quantity: Column, linenumber: Column, partkey: Column) -> Column:
