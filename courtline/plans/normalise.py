@@ -110,7 +110,10 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
         "file_key", F.lit("player line").alias("level"), F.col("_reason").alias("reason"))
     good = lines.filter(F.col("_reason").isNull())
 
-    player_batch = good.select("file_key", "pos", "player_code", F.col("line.Player").alias("name"))
+    # Players are loaded before any stat row (as by the source), so a line whose
+    # minutes cannot be stored still registers its player.
+    player_batch = lines.filter(F.col("player_code").isNotNull() & F.col("line.Player").isNotNull()) \
+        .select("file_key", "pos", "player_code", F.col("line.Player").alias("name"))
     _, players = insert_if_absent(target.players if target else None, player_batch,
                                   ["player_code"], ["file_key", "pos"])
 
