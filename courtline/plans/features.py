@@ -41,19 +41,21 @@ def game_info(games: DataFrame) -> DataFrame:
     )
 
 
-def join_box_games(box: DataFrame, gi: DataFrame) -> DataFrame:
+def join_box_games(box: DataFrame, gi: DataFrame, gi_extra: tuple[str, ...] = ()) -> DataFrame:
     """Box rows with their game's season/number/teams/scores (inner join on game id)."""
-    g = gi.select(
-        F.col("id").alias("_gid"), "season", "game_number", F.col("home_team_id").alias("_home"),
-        F.col("away_team_id").alias("_away"), F.col("home_team_score").alias("_hs"),
-        F.col("away_team_score").alias("_as"),
-    )
+    g = gi.selectExpr("id AS _gid", "season", "game_number", "home_team_id AS _home", "away_team_id AS _away",
+                      "home_team_score AS _hs", "away_team_score AS _as", *gi_extra)
     return box.join(g, box.game_id == g._gid, "inner").drop("_gid")
 
 
-def player_box(box: DataFrame, gi: DataFrame, n: int = 3) -> DataFrame:
-    """b.*, season, game_number, opponent_team_id, trailing means, next valuation, win_ind."""
-    j = join_box_games(box, gi)
+def player_box(box: DataFrame, gi: DataFrame, n: int = 3, gi_extra: tuple[str, ...] = (),
+               extra: tuple[str, ...] = ()) -> DataFrame:
+    """b.*, season, game_number, opponent_team_id, trailing means, next valuation, win_ind.
+
+    ``gi_extra`` are further game columns to bring along, ``extra`` further
+    SQL expressions evaluated on the joined row.
+    """
+    j = join_box_games(box, gi, gi_extra)
     # game_id breaks ties in game_number, which only occur if two competitions
     # share a season code; it keeps the frame reproducible.
     order = ["game_number", "game_id"]
@@ -63,6 +65,7 @@ def player_box(box: DataFrame, gi: DataFrame, n: int = 3) -> DataFrame:
         *trailing_mean_sql(ROLLING_STATS, PLAYER_SEASON, order, n=n),
         next_value_sql("valuation", PLAYER_SEASON, order, "next_game_valuation"),
         "CASE WHEN (_home = team_id AND _hs > _as) OR (_away = team_id AND _as > _hs) THEN 1 ELSE 0 END AS win_ind",
+        *extra,
     )
 
 
@@ -97,19 +100,56 @@ def cumulative_win(gi: DataFrame, skew_safe: bool = True) -> DataFrame:
     )
 
 
-def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool = True) -> DataFrame:
-    """The 54-column feature table (unsorted; sort at a sink that needs it)."""
+def _ratio_side(cw: DataFrame, tag: str) -> DataFrame:
+    return cw.selectExpr(f"season AS _s_{tag}", f"team_id AS _t_{tag}", f"game_number AS _n_{tag}",
+                         f"cum_win_ratio AS _{tag}_ratio")
+
+
+def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool = True,
+                      exact_joins: bool = False) -> DataFrame:
+    """The 54-column feature table (unsorted; sort at a sink that needs it).
+
+    Default plan: both teams' running ratios are attached to each *game*
+    (two joins and a regrouping over game-sized data), then the box rows take
+    them through the game-id join they need anyway.  The box rows -- the largest relation --
+    are shuffled for that join and for the player window only, instead of two
+    more times for the own/opponent joins on (season, team, game_number).  The
+    result is the same row multiset, fan-out on colliding season codes
+    included, provided every box row's team is the home or away team of its
+    game, which both loaders guarantee.  ``exact_joins=True`` runs the two
+    keyed joins on the box rows literally.
+    """
     gi = game_info(games)
-    pb = player_box(box, gi, n=n)
     cw = cumulative_win(gi, skew_safe=skew_safe).select("season", "team_id", "game_number", "cum_win_ratio")
-    own = cw.select(F.col("season").alias("_s1"), F.col("team_id").alias("_t1"),
-                    F.col("game_number").alias("_n1"), F.col("cum_win_ratio").alias("team_win_ratio"))
-    opp = cw.select(F.col("season").alias("_s2"), F.col("team_id").alias("_t2"),
-                    F.col("game_number").alias("_n2"), F.col("cum_win_ratio").alias("opponent_win_ratio"))
-    j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
-         .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2) & (pb.game_number == opp._n2), "left"))
+    if exact_joins:
+        pb = player_box(box, gi, n=n)
+        own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
+        opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2",
+                            "cum_win_ratio AS opponent_win_ratio")
+        j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
+             .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2)
+                   & (pb.game_number == opp._n2), "left"))
+        cols = pb.columns
+    else:
+        h, a = _ratio_side(cw, "home"), _ratio_side(cw, "away")
+        gplus = (gi.join(h, (gi.season == h._s_home) & (gi.home_team_id == h._t_home)
+                         & (gi.game_number == h._n_home), "left")
+                 .join(a, (gi.season == a._s_away) & (gi.away_team_id == a._t_away)
+                       & (gi.game_number == a._n_away), "left"))
+        # One row per game again: every matching (home, away) ratio pair in a
+        # small array (one pair unless season codes collide), so the player
+        # window sees each box row once; the pairs are expanded after it.
+        pairs = gplus.groupBy(*gi.columns).agg(
+            F.collect_list(F.struct("_home_ratio", "_away_ratio")).alias("_ratios"))
+        pb = player_box(box, pairs, n=n, gi_extra=("_ratios",), extra=("_home = team_id AS _is_home", "_ratios"))
+        cols = [c for c in pb.columns if c not in ("_is_home", "_ratios")]
+        j = pb.select(*cols, "_is_home", F.explode("_ratios").alias("_r")).selectExpr(
+            *cols,
+            "CASE WHEN _is_home THEN _r._home_ratio ELSE _r._away_ratio END AS team_win_ratio",
+            "CASE WHEN _is_home THEN _r._away_ratio ELSE _r._home_ratio END AS opponent_win_ratio",
+        )
     return j.selectExpr(
-        *pb.columns, "team_win_ratio", "opponent_win_ratio",
+        *cols, "team_win_ratio", "opponent_win_ratio",
         "CASE WHEN opponent_win_ratio = 0 THEN CAST(NULL AS DOUBLE) "
         "ELSE team_win_ratio / opponent_win_ratio END AS win_ratio_ratio",
     )

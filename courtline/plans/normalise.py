@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,11 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
     on each natural key, first write wins, new ids after the current maximum).
     """
     valid, doc_rejects = split_documents(docs)
+    # The parsed documents feed four inserts (and the range sampling of each
+    # id assignment); keep one parsed copy instead of re-reading and
+    # re-parsing the JSON for every consumer.  MEMORY_AND_DISK spills, and a
+    # lost block is rebuilt from the (deterministic) source files.
+    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
     sides = game_sides(valid)
 
     # teams: home then away of every document

@@ -131,7 +131,9 @@ def minutes_text(quantity: Column, linenumber: Column, partkey: Column) -> Colum
 
 def document_lines(spark: SparkSession, base: str) -> DataFrame:
     """Every lineitem row as one player line of a game document (no dedupe)."""
-    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_suppkey", *LINE_ORDER])
+    # The roster aggregation groups by order: partition by it before the
+    # per-line work so that work runs at full shuffle width.
+    li = read_table(spark, base, "lineitem", ["l_orderkey", "l_suppkey", *LINE_ORDER]).repartition("l_orderkey")
     sup = read_table(spark, base, "supplier", ["s_suppkey", "s_name"])
     pk, ln = F.col("l_partkey"), F.col("l_linenumber")
     stats = {name: stat_expr(i, pk, ln) for i, name in enumerate(ROLLING_STATS)}
@@ -159,10 +161,9 @@ def documents(spark: SparkSession, base: str) -> DataFrame:
     t = teams(spark, base)
     lines = document_lines(spark, base)
     # A roster is one game's lines: bounded by the number of lines per order.
-    rosters = lines.groupBy("game_id").agg(
-        F.sort_array(F.collect_list(F.when(~F.col("away"), F.struct("pos", "line")))).alias("h"),
-        F.sort_array(F.collect_list(F.when(F.col("away"), F.struct("pos", "line")))).alias("a"),
-    )
+    both = lines.groupBy("game_id").agg(F.sort_array(F.collect_list(F.struct("away", "pos", "line"))).alias("_r"))
+    rosters = both.select("game_id", F.filter("_r", lambda x: ~x["away"]).alias("h"),
+                          F.filter("_r", lambda x: x["away"]).alias("a"))
     home_t = t.select(F.col("id").alias("_hid"), F.col("name").alias("_hname"))
     away_t = t.select(F.col("id").alias("_aid"), F.col("name").alias("_aname"))
     d = (g.join(rosters, g.id == rosters.game_id, "left")

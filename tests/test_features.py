@@ -88,3 +88,21 @@ def test_preprocess_and_split(spark):
     train, test = PR.split(p, "2001")
     assert test.count() == 5 and train.count() == 0
     assert {r.part: r.rows for r in PR.split_counts(p, "2001").collect()} == {"test": 5}
+
+
+def test_game_level_ratios_equal_literal_joins(spark):
+    games, box = _setup(spark)
+    a = sorted(tuple(r) for r in FE.training_features(games, box).collect())
+    b = sorted(tuple(r) for r in FE.training_features(games, box, exact_joins=True).collect())
+    assert a == b
+
+
+def test_colliding_season_codes_fan_out_like_literal_joins(spark):
+    # E2001 and U2001 share season "2001" and game numbers: the keyed joins fan out
+    games = _games(spark, [(10, 1, 2, "1E2001", 80, 70), (20, 1, 3, "1U2001", 50, 70),
+                           (11, 2, 1, "2E2001", 90, 60)])
+    box = _box(spark, [(1, 7, 10, 1, True, 100, 10, 5), (2, 7, 20, 1, True, 100, 10, 5),
+                       (3, 7, 11, 1, False, 100, 10, 5)])
+    a = sorted(tuple(r) for r in FE.training_features(games, box).collect())
+    b = sorted(tuple(r) for r in FE.training_features(games, box, exact_joins=True).collect())
+    assert a == b and len(a) > 3
