@@ -46,7 +46,7 @@ def running_scan(
     row_number: str | None = None,
     exclusive_sums: Mapping[str, str | Column] | None = None,
     blocks: int | None = None,
-    materialize: str = "persist",
+    materialize: str = "checkpoint",
 ) -> DataFrame:
     """Append a 1-based row number and/or exclusive running sums per group.
 
@@ -62,17 +62,19 @@ def running_scan(
     # The block id is the range partition index.  It feeds two branches (the
     # per-block totals and the rows), and two separately planned reads of the
     # same shuffle may be coalesced differently by AQE, so the blocked rows
-    # are persisted once: both branches read the same partitions, and a lost
-    # partition is recomputed from the same RDD (same range bounds, same
-    # partition index, hence the same block id).  ``materialize="checkpoint"``
-    # writes them to the reliable checkpoint directory instead.
+    # are materialised once with a reliable checkpoint in the cluster's
+    # checkpoint directory: both branches read the same partitions, a lost
+    # executor re-reads the files instead of re-sampling the range bounds, and
+    # the lineage (and plan) downstream stays short.  ``materialize="persist"``
+    # keeps them in the block manager instead (faster, but the cached entry
+    # lives until unpersisted).
     blocked = df.repartitionByRange(n_blocks, *[F.col(g) for g in group], *order_cols) \
         .withColumn(_BLOCK, F.spark_partition_id())
-    if materialize == "checkpoint":
+    if materialize == "persist":
+        blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
         ensure_checkpoint_dir(df.sparkSession)
         blocked = blocked.checkpoint(eager=True)
-    else:
-        blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
 
     in_block = Window.partitionBy(*group, _BLOCK).orderBy(*order_cols)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)

@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_code_from_path, minutes_reject_reason, minutes_to_seconds, py_strip
 from courtline.operators.upsert import insert_if_absent
+from courtline.session import ensure_checkpoint_dir
 from courtline.schemas import BOX_COLUMNS, BOX_STATS, DOCUMENT, INVALID_REFEREES, STAT_FIELD_TO_COLUMN
 
 
@@ -92,10 +92,11 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
     """
     valid, doc_rejects = split_documents(docs)
     # The parsed documents feed four inserts (and the range sampling of each
-    # id assignment); keep one parsed copy instead of re-reading and
-    # re-parsing the JSON for every consumer.  MEMORY_AND_DISK spills, and a
-    # lost block is rebuilt from the (deterministic) source files.
-    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)
+    # id assignment): write one parsed copy to the reliable checkpoint
+    # directory instead of re-reading and re-parsing the JSON per consumer.
+    # It also cuts the lineage, so the plans of the four inserts stay short.
+    ensure_checkpoint_dir(valid.sparkSession)
+    valid = valid.checkpoint(eager=True)
     sides = game_sides(valid)
 
     # teams: home then away of every document

@@ -17,11 +17,13 @@ _LOCAL_CHECKPOINT_FALLBACK = "/tmp/courtline-checkpoints"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "courtline") -> SparkSession:
+                  app_name: str = "courtline", driver_memory: str | None = None) -> SparkSession:
     """Create or reuse a session with the settings the pipeline relies on."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -29,6 +31,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of collected DataFrames are removed by the cleaner
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
