@@ -29,7 +29,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.session import default_blocks, ensure_checkpoint_dir
+from courtline.session import default_blocks
+from courtline.session import materialize as write_checkpoint
 
 _BLOCK = "_scan_block"
 
@@ -73,8 +74,7 @@ def running_scan(
     if materialize == "persist":
         blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
     else:
-        ensure_checkpoint_dir(df.sparkSession)
-        blocked = blocked.checkpoint(eager=True)
+        blocked = write_checkpoint(blocked)
 
     in_block = Window.partitionBy(*group, _BLOCK).orderBy(*order_cols)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)

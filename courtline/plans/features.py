@@ -25,6 +25,7 @@ from courtline.functions.scalar import game_number_of, season_of, winning_team
 from courtline.operators.rolling import next_value_sql, trailing_mean_sql
 from courtline.operators.scan import running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
+from courtline.session import broadcast_threshold, estimated_bytes
 
 PLAYER_SEASON = ["player_id", "season"]
 TEAM_SEASON = ["team_id", "season"]
@@ -106,7 +107,7 @@ def _ratio_side(cw: DataFrame, tag: str) -> DataFrame:
 
 
 def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool = True,
-                      exact_joins: bool = False) -> DataFrame:
+                      exact_joins: bool | None = None) -> DataFrame:
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 
     Default plan: both teams' running ratios are attached to each *game*
@@ -118,9 +119,17 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
     included, provided every box row's team is the home or away team of its
     game, which both loaders guarantee.  ``exact_joins=True`` runs the two
     keyed joins on the box rows literally.
+
+    ``exact_joins=None`` decides by size: when Catalyst's estimate of the
+    ratio table is under the broadcast threshold, the literal joins are
+    broadcast hash joins that shuffle nothing, and they are used; beyond it
+    the game-level plan is used.
     """
     gi = game_info(games)
     cw = cumulative_win(gi, skew_safe=skew_safe).select("season", "team_id", "game_number", "cum_win_ratio")
+    if exact_joins is None:
+        est = estimated_bytes(cw)
+        exact_joins = est is not None and est <= broadcast_threshold(games.sparkSession)
     if exact_joins:
         pb = player_box(box, gi, n=n)
         own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")

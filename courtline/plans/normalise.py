@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_code_from_path, minutes_reject_reason, minutes_to_seconds, py_strip
 from courtline.operators.upsert import insert_if_absent
-from courtline.session import ensure_checkpoint_dir
+from courtline.session import materialize
 from courtline.schemas import BOX_COLUMNS, BOX_STATS, DOCUMENT, INVALID_REFEREES, STAT_FIELD_TO_COLUMN
 
 
@@ -95,8 +95,7 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
     # id assignment): write one parsed copy to the reliable checkpoint
     # directory instead of re-reading and re-parsing the JSON per consumer.
     # It also cuts the lineage, so the plans of the four inserts stay short.
-    ensure_checkpoint_dir(valid.sparkSession)
-    valid = valid.checkpoint(eager=True)
+    valid = materialize(valid)
     sides = game_sides(valid)
 
     # teams: home then away of every document

@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CHECKPOINT_FALLBACK = "/tmp/courtline-checkpoints"
 
@@ -82,3 +83,37 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the reliable checkpoint directory and return the copy.
+
+    ``checkpoint()`` alone computes its input twice (once for the eager count,
+    once to write the files); persisting around it makes that one pass, and
+    the cache entry is dropped as soon as the files exist, so nothing stays
+    registered in the cache manager.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (None when it cannot be read)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    raw = raw.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
