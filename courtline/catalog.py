@@ -670,6 +670,35 @@ def q_score_batch(spark, base):
     return MO.score(model, test).select("player_id", "season", "game_number", "next_game_valuation", "prediction")
 
 
+
+# ------------------------------------------------------------ later additions (G1, Q5/Q6)
+
+@register("features_sorted_sink", O.features_sql("SELECT * FROM tf ORDER BY game_id, player_id"))
+def q_features_sorted_sink(spark, base):
+    g, b = _gb(spark, base)
+    path = scratch_path(spark, "features_sorted", unique=True)
+    FE.sorted_features(FE.training_features(g, b)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("transform_mark_update", O.bridge_sql("""SELECT coalesce(o.stage, u.stage) AS stage,
+  coalesce(o.season, u.season) AS season, CAST(coalesce(u.last_id, o.last_id) AS BIGINT) AS last_id
+FROM (SELECT 'transform' AS stage, season_code AS season, max(file_number) // 2 AS last_id
+      FROM parsed GROUP BY season_code) o
+FULL OUTER JOIN (SELECT 'transform' AS stage, p.season_code AS season, max(p.file_number) AS last_id
+                 FROM parsed p JOIN marks m ON p.season_code = m.season_code
+                 WHERE p.file_number > m.last_id AND p.season_code < 'E2001'
+                 GROUP BY p.season_code) u
+  ON o.stage = u.stage AND o.season = u.season""", _PATHS_SQL, _PARSED_SQL, _MARKS_SQL))
+def q_transform_mark_update(spark, base):
+    parsed = _parsed(spark, base)
+    marks = INC.max_file_number(parsed).select("season_code", (F.col("max_file_number") / 2).cast("long").alias("last_id"))
+    old = marks.select(F.lit("transform").alias("stage"), F.col("season_code").alias("season"), "last_id")
+    # the batch: keys above the marks, except the last season, which has no new file
+    batch = INC.above_marks(parsed, marks).filter(F.col("season_code") < "E2001")
+    return INC.transform_marks(old, batch.select("season_code", "file_number"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

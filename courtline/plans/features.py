@@ -164,6 +164,15 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
     )
 
 
+def sorted_features(features: DataFrame) -> DataFrame:
+    """The feature table in (game_id, player_id) order, for a sink that needs it.
+
+    ``orderBy`` is a range-partitioned global sort: sampled bounds, one
+    shuffle, every partition sorted locally -- no single-task sort.
+    """
+    return features.orderBy("game_id", "player_id")
+
+
 def opponent_ratio(games: DataFrame, box: DataFrame) -> DataFrame:
     """Keys plus the ratio columns of the feature table."""
     f = training_features(games, box)

@@ -119,6 +119,19 @@ def advance_marks(old: DataFrame, kept: DataFrame, stage: str, as_written: bool
     return j.select(F.lit(stage).alias("stage"), "season", new.cast("long").alias("last_id"))
 
 
+def transform_marks(old: DataFrame, batch_keys: DataFrame, stage: str = "transform") -> DataFrame:
+    """New transform mark per season from the keys *processed in this batch*.
+
+    The mark is the largest numeric file number of the batch (non-numeric
+    names are skipped); a season with no file in the batch keeps its mark.
+    ``batch_keys`` is ``(season_code, file_number)``.
+    """
+    latest = max_file_number(batch_keys).filter(F.col("max_file_number").isNotNull()).select(
+        F.lit(stage).alias("stage"), F.col("season_code").alias("season"),
+        F.col("max_file_number").alias("last_id"))
+    return merge_marks(old, latest)
+
+
 def merge_marks(old: DataFrame, updates: DataFrame) -> DataFrame:
     """Keep every value not passed: ``coalesce(new, old)`` over a full outer join on (stage, season)."""
     u = updates.select("stage", "season", F.col("last_id").alias("_new"))

@@ -49,3 +49,11 @@ def test_incremental_filter_is_numeric(spark):
     assert [r.path for r in INC.above_marks(parsed, marks).collect()] == ["a/E1/10.json"]
     mx = {r.season_code: (r.max_file_number, r.rejected_names) for r in INC.max_file_number(parsed).collect()}
     assert mx == {"E1": (10, 1), "E2": (50, 0)}
+
+
+def test_transform_marks_from_batch_and_kept_when_empty(spark):
+    old = spark.createDataFrame([("transform", "E1", 5), ("transform", "E2", 7)], "stage string, season string, last_id long")
+    batch = spark.createDataFrame([("E1", 9), ("E1", None), ("E1", 12)], "season_code string, file_number long")
+    got = sorted(tuple(r) for r in INC.transform_marks(old, batch).collect())
+    # E1 advances to the largest number of its batch; E2 had no file and keeps its mark
+    assert got == [("transform", "E1", 12), ("transform", "E2", 7)]
