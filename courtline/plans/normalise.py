@@ -34,6 +34,8 @@ class Normalised:
     games: DataFrame
     boxscore: DataFrame
     rejects: DataFrame
+    # rows this load added to each table (equal to the tables without a target)
+    new: dict[str, DataFrame] | None = None
 
 
 def parse_documents(raw: DataFrame, body_col: str = "body", key_col: str = "file_key") -> DataFrame:
@@ -103,7 +105,7 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
         .unionByName(sides.select("file_key", F.lit(1).alias("side"), F.col("away_name").alias("name")))
     team_reject = team_batch.filter(F.col("name").isNull()).select(
         "file_key", F.lit("team").alias("level"), F.lit("team name is null").alias("reason"))
-    _, teams = insert_if_absent(target.teams if target else None, team_batch.filter(F.col("name").isNotNull()),
+    new_teams, teams = insert_if_absent(target.teams if target else None, team_batch.filter(F.col("name").isNotNull()),
                                 ["name"], ["file_key", "side"])
 
     lines = player_lines(valid)
@@ -120,7 +122,7 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
     # minutes cannot be stored still registers its player.
     player_batch = lines.filter(F.col("player_code").isNotNull() & F.col("line.Player").isNotNull()) \
         .select("file_key", "pos", "player_code", F.col("line.Player").alias("name"))
-    _, players = insert_if_absent(target.players if target else None, player_batch,
+    new_players, players = insert_if_absent(target.players if target else None, player_batch,
                                   ["player_code"], ["file_key", "pos"])
 
     home_t = teams.select(F.col("id").alias("home_team_id"), F.col("name").alias("home_name"))
@@ -128,7 +130,7 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
     game_batch = (sides.join(home_t, "home_name", "inner").join(away_t, "away_name", "inner")
                   .select("file_key", "home_team_id", "away_team_id", "game_code",
                           "home_team_score", "away_team_score"))
-    _, games = insert_if_absent(target.games if target else None, game_batch, ["game_code"], ["file_key"])
+    new_games, games = insert_if_absent(target.games if target else None, game_batch, ["game_code"], ["file_key"])
 
     # Box rows: resolve ids by natural key (no positional pairing).
     g = games.select(F.col("id").alias("game_id"), "game_code", F.col("home_team_id").alias("_h"),
@@ -147,15 +149,18 @@ def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
                      minutes_to_seconds(F.col("line.Minutes")).alias("seconds"),
                      *[stat_cols[c] for c in BOX_STATS],
                  ))
-    _, box = insert_if_absent(target.boxscore if target else None, box_batch,
+    new_box, box = insert_if_absent(target.boxscore if target else None, box_batch,
                               ["player_id", "game_id"], ["file_key", "pos"])
     box = box.select(*BOX_COLUMNS)
 
     rejects = doc_rejects.unionByName(team_reject).unionByName(line_rejects)
+    game_cols = ["id", "home_team_id", "away_team_id", "game_code", "home_team_score", "away_team_score"]
+    new = {"teams": new_teams.select("id", "name"),
+           "players": new_players.select("id", "player_code", "name"),
+           "games": new_games.select(*game_cols),
+           "boxscore_record": new_box.select(*BOX_COLUMNS)}
     return Normalised(teams=teams.select("id", "name"), players=players.select("id", "player_code", "name"),
-                      games=games.select("id", "home_team_id", "away_team_id", "game_code",
-                                         "home_team_score", "away_team_score"),
-                      boxscore=box, rejects=rejects)
+                      games=games.select(*game_cols), boxscore=box, rejects=rejects, new=new)
 
 
 def first_seen_players(docs: DataFrame) -> DataFrame:

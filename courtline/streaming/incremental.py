@@ -53,15 +53,24 @@ def above_marks(parsed: DataFrame, marks: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ fetch bookkeeping
 
-def fetch_plan(spec: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
+def fetch_plan(spec: DataFrame, base_url: str = DEFAULT_BASE_URL, chunk: int = 100_000) -> DataFrame:
     """Every (season, id) of a backfill spec ``(season_code, max_game_id)`` with its address and key.
 
-    ``sequence(1, 0)`` would count down, so a spec with ``max_game_id < 1``
-    yields nothing.
+    The range is expanded in two levels -- first into chunks of ``chunk``
+    ids, which are hash-distributed, then each chunk into its ids -- so a
+    season with a huge range is generated by many tasks, not by the one task
+    holding its spec row.  ``sequence(1, 0)`` would count down, so a spec with
+    ``max_game_id < 1`` yields nothing.
     """
-    ids = F.when(F.col("max_game_id") >= 1, F.sequence(F.lit(1).cast("long"), F.col("max_game_id").cast("long"))) \
-        .otherwise(F.array().cast("array<bigint>"))
-    rows = spec.select("season_code", F.explode(ids).alias("game_id"))
+    top = F.col("max_game_id").cast("long")
+    n_chunks = F.when(top >= 1, F.floor((top - 1) / chunk) + 1).otherwise(F.lit(0)).cast("long")
+    chunks = spec.select("season_code", top.alias("_top"),
+                         F.explode(F.when(n_chunks >= 1, F.sequence(F.lit(0).cast("long"), n_chunks - 1))
+                                   .otherwise(F.array().cast("array<bigint>"))).alias("_chunk"))
+    chunks = chunks.repartition("season_code", "_chunk")
+    lo = F.col("_chunk") * chunk + 1
+    hi = F.least(F.col("_top"), (F.col("_chunk") + 1) * chunk)
+    rows = chunks.select("season_code", F.explode(F.sequence(lo, hi)).alias("game_id"))
     url = F.format_string(REQUEST_FORMAT.replace("{base}", "%s").replace("{game_id}", "%d")
                           .replace("{season}", "%s"), F.lit(base_url), F.col("game_id"), F.col("season_code"))
     key = F.concat_ws("/", F.lit(LANDING_PREFIX), F.col("season_code"),
@@ -146,11 +155,14 @@ TABLES = ("teams", "players", "games", "boxscore_record")
 
 
 class TableStore:
-    """The four tables as versioned Parquet directories plus a commit log.
-
-    A version is written completely before its commit row is appended, and a
-    reader only follows committed versions, so a path that is being read is
-    never overwritten.
+    """The four tables as append-only Parquet deltas plus a commit log.
+
+    Each batch writes only the rows it added, under
+    ``<root>/<table>/batch_id=<n>/``, and then appends its commit row.  A
+    reader takes the union of the deltas whose batch is committed (a semi-join
+    with the commit log on the partition column), so a batch that failed half
+    way is invisible and its retry simply overwrites its own directories.
+    Work per batch is proportional to the batch, not to the table.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -159,31 +171,37 @@ class TableStore:
     def _commits(self) -> str:
         return f"{self.root}/_commits"
 
-    def latest(self) -> int | None:
+    def committed_batches(self) -> DataFrame | None:
         try:
-            row = self.spark.read.parquet(self._commits()).agg(F.max("version")).first()
+            return self.spark.read.parquet(self._commits())
         except Exception:  # no commit yet
             return None
-        return None if row is None else row[0]
 
-    def committed_batches(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self._commits())
-        except Exception:
+    def latest(self) -> int | None:
+        done = self.committed_batches()
+        if done is None:
             return None
+        row = done.agg(F.max("version")).first()
+        return None if row is None else row[0]
 
-    def read(self, version: int | None = None) -> Normalised | None:
-        v = self.latest() if version is None else version
-        if v is None:
+    def read(self) -> Normalised | None:
+        done = self.committed_batches()
+        if done is None:
             return None
-        t = {name: self.spark.read.parquet(f"{self.root}/{name}/version={v}") for name in TABLES}
+        ids = done.select(F.col("batch_id").cast("long").alias("batch_id")).distinct()
+        t = {name: self.spark.read.parquet(f"{self.root}/{name}")
+             .withColumn("batch_id", F.col("batch_id").cast("long"))
+             .join(ids, "batch_id", "left_semi").drop("batch_id")
+             for name in TABLES}
         empty = self.spark.createDataFrame([], "file_key string, level string, reason string")
         return Normalised(t["teams"], t["players"], t["games"], t["boxscore_record"], empty)
 
     def commit(self, tables: Normalised, batch_id: int) -> int:
+        deltas = tables.new or {"teams": tables.teams, "players": tables.players, "games": tables.games,
+                                "boxscore_record": tables.boxscore}
+        for name in TABLES:
+            deltas[name].write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={int(batch_id)}")
         v = (self.latest() or 0) + 1
-        for name, df in zip(TABLES, (tables.teams, tables.players, tables.games, tables.boxscore)):
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/version={v}")
         self.spark.createDataFrame([(v, int(batch_id))], "version long, batch_id long") \
             .write.mode("append").parquet(self._commits())
         return v

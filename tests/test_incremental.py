@@ -57,3 +57,11 @@ def test_transform_marks_from_batch_and_kept_when_empty(spark):
     got = sorted(tuple(r) for r in INC.transform_marks(old, batch).collect())
     # E1 advances to the largest number of its batch; E2 had no file and keeps its mark
     assert got == [("transform", "E1", 12), ("transform", "E2", 7)]
+
+
+def test_fetch_plan_chunked_expansion_is_complete(spark):
+    spec = spark.createDataFrame([("E1", 2500), ("E2", 1), ("E3", 1000)], "season_code string, max_game_id int")
+    rows = INC.fetch_plan(spec, chunk=1000).select("season_code", "game_id").collect()
+    got = sorted((r.season_code, r.game_id) for r in rows)
+    expect = sorted([("E1", i) for i in range(1, 2501)] + [("E2", 1)] + [("E3", i) for i in range(1, 1001)])
+    assert got == expect
