@@ -699,6 +699,17 @@ def q_transform_mark_update(spark, base):
     return INC.transform_marks(old, batch.select("season_code", "file_number"))
 
 
+
+@register("rolling_means_hot_groups", O.features_sql(
+    f"SELECT id, player_id, game_id, season, game_number, {O.ROLLING_COLS}, next_game_valuation FROM pb"))
+def q_rolling_means_hot_groups(spark, base):
+    """F1-F21 through the skew-safe frame operator (no task holds a whole player-season)."""
+    g, b = _gb(spark, base)
+    pb = FE.player_box(b, FE.game_info(g), hot_groups=True)
+    return pb.select("id", "player_id", "game_id", "season", "game_number",
+                     *[f"avg_last_3_{c}" for c in ROLLING_STATS], "next_game_valuation")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

@@ -50,3 +50,47 @@ def with_trailing_features(df: DataFrame, cols: Sequence[str], partition: Sequen
     if lead_col:
         exprs.append(next_value_sql(lead_col, partition, order, lead_alias or f"next_{lead_col}"))
     return df.selectExpr("*", *exprs)
+
+
+def shifted_frame_features(df: DataFrame, cols: Sequence[str], partition: Sequence[str],
+                           order: Sequence[str], n: int = 3, lead_col: str | None = None,
+                           lead_alias: str | None = None, prefix: str = "avg_last_{n}_",
+                           empty: float = 0.0) -> DataFrame:
+    """Same result as :func:`with_trailing_features`, safe when one group is huge.
+
+    A window partitioned by the group puts all of a group's rows on one task.
+    Here every row is numbered inside its group with the range-blocked
+    :func:`courtline.operators.scan.running_scan`; then each row sends its
+    values to the ``n`` rows after it (their trailing frames) and its
+    ``lead_col`` to the row before it, the contributions are summed per
+    (group, target row) -- a key with at most ``n + 1`` rows, and mostly
+    combined map-side because neighbours share a range block -- and joined
+    back on the row number.  ``order`` must be a total order within a group.
+    """
+    from courtline.operators.scan import running_scan
+
+    numbered = running_scan(df, partition, order, row_number="_fr_rn")
+    shifts = [F.struct((F.col("_fr_rn") + k).alias("t"), F.lit(k).alias("k")) for k in range(1, n + 1)]
+    if lead_col:
+        shifts.append(F.struct((F.col("_fr_rn") - 1).alias("t"), F.lit(-1).alias("k")))
+    keys = [F.col(g).alias(f"_fr_g{i}") for i, g in enumerate(partition)]
+    carried = list(dict.fromkeys([*cols, *([lead_col] if lead_col else [])]))
+    contrib = numbered.select(*keys, F.explode(F.array(*shifts)).alias("_s"), *[F.col(c) for c in carried])
+    trailing = F.col("_s.k") > 0
+    aggs = []
+    for c in cols:
+        aggs.append(F.sum(F.when(trailing, F.col(c).cast("double"))).alias(f"_fr_s_{c}"))
+        aggs.append(F.count(F.when(trailing, F.col(c))).alias(f"_fr_n_{c}"))
+    if lead_col:
+        aggs.append(F.max(F.when(F.col("_s.k") == -1, F.struct(F.col(lead_col).alias("v")))).alias("_fr_lead"))
+    frames = contrib.groupBy(*[f"_fr_g{i}" for i in range(len(partition))], F.col("_s.t").alias("_fr_t")).agg(*aggs)
+    cond = [F.col("_fr_rn") == F.col("_fr_t")] + [F.col(g).eqNullSafe(F.col(f"_fr_g{i}"))
+                                                  for i, g in enumerate(partition)]
+    j = numbered.join(frames, cond, "left")
+    name = prefix.format(n=n)
+    out = [F.col(c) for c in df.columns]
+    out += [F.when(F.col(f"_fr_n_{c}") > 0, F.col(f"_fr_s_{c}") / F.col(f"_fr_n_{c}"))
+            .otherwise(F.lit(float(empty))).alias(f"{name}{c}") for c in cols]
+    if lead_col:
+        out.append(F.col("_fr_lead.v").alias(lead_alias or f"next_{lead_col}"))
+    return j.select(*out)

@@ -94,7 +94,13 @@ def running_scan(
           for name in exclusive_sums],
     )
 
-    joined = local.join(carry, on=[*group, _BLOCK], how="inner")
+    # Null-safe on the group keys: a null group is a group, as for a window.
+    carry = carry.select(*[F.col(g).alias(f"_scan_g{i}") for i, g in enumerate(group)],
+                         F.col(_BLOCK).alias("_scan_cb"),
+                         *[c for c in carry.columns if c.startswith("_scan_") and c != _BLOCK])
+    cond = [F.col(_BLOCK) == F.col("_scan_cb")] + [F.col(g).eqNullSafe(F.col(f"_scan_g{i}"))
+                                                   for i, g in enumerate(group)]
+    joined = local.join(carry, cond, "inner")
     out_cols = [F.col(c) for c in df.columns]
     if row_number:
         out_cols.append((F.col("_scan_cn") + F.col("_scan_rn")).alias(row_number))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_number_of, season_of, winning_team
-from courtline.operators.rolling import next_value_sql, trailing_mean_sql
+from courtline.operators.rolling import next_value_sql, shifted_frame_features, trailing_mean_sql
 from courtline.operators.scan import running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
 from courtline.session import broadcast_threshold, estimated_bytes
@@ -50,23 +50,32 @@ def join_box_games(box: DataFrame, gi: DataFrame, gi_extra: tuple[str, ...] = ()
 
 
 def player_box(box: DataFrame, gi: DataFrame, n: int = 3, gi_extra: tuple[str, ...] = (),
-               extra: tuple[str, ...] = ()) -> DataFrame:
+               extra: tuple[str, ...] = (), hot_groups: bool = False) -> DataFrame:
     """b.*, season, game_number, opponent_team_id, trailing means, next valuation, win_ind.
 
     ``gi_extra`` are further game columns to bring along, ``extra`` further
-    SQL expressions evaluated on the joined row.
+    SQL expressions evaluated on the joined row.  ``hot_groups=True`` computes
+    the frame features with :func:`shifted_frame_features`, which needs no
+    task to hold a whole player-season.
     """
     j = join_box_games(box, gi, gi_extra)
     # game_id breaks ties in game_number, which only occur if two competitions
     # share a season code; it keeps the frame reproducible.
     order = ["game_number", "game_id"]
+    means = [f"avg_last_{n}_{c}" for c in ROLLING_STATS]
+    head = [*box.columns, "season", "game_number",
+            "CASE WHEN _home = team_id THEN _away ELSE _home END AS opponent_team_id"]
+    tail = ["CASE WHEN (_home = team_id AND _hs > _as) OR (_away = team_id AND _as > _hs) THEN 1 ELSE 0 END"
+            " AS win_ind", *extra]
+    if hot_groups:
+        f = shifted_frame_features(j, ROLLING_STATS, PLAYER_SEASON, order, n=n,
+                                   lead_col="valuation", lead_alias="next_game_valuation")
+        return f.selectExpr(*head, *means, "next_game_valuation", *tail)
     return j.selectExpr(
-        *box.columns, "season", "game_number",
-        "CASE WHEN _home = team_id THEN _away ELSE _home END AS opponent_team_id",
+        *head,
         *trailing_mean_sql(ROLLING_STATS, PLAYER_SEASON, order, n=n),
         next_value_sql("valuation", PLAYER_SEASON, order, "next_game_valuation"),
-        "CASE WHEN (_home = team_id AND _hs > _as) OR (_away = team_id AND _as > _hs) THEN 1 ELSE 0 END AS win_ind",
-        *extra,
+        *tail,
     )
 
 
@@ -107,7 +116,7 @@ def _ratio_side(cw: DataFrame, tag: str) -> DataFrame:
 
 
 def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool = True,
-                      exact_joins: bool | None = None) -> DataFrame:
+                      exact_joins: bool | None = None, hot_groups: bool = False) -> DataFrame:
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 
     Default plan: both teams' running ratios are attached to each *game*
@@ -131,7 +140,7 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
         est = estimated_bytes(cw)
         exact_joins = est is not None and est <= broadcast_threshold(games.sparkSession)
     if exact_joins:
-        pb = player_box(box, gi, n=n)
+        pb = player_box(box, gi, n=n, hot_groups=hot_groups)
         own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
         opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2",
                             "cum_win_ratio AS opponent_win_ratio")
@@ -150,7 +159,8 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
         # window sees each box row once; the pairs are expanded after it.
         pairs = gplus.groupBy(*gi.columns).agg(
             F.collect_list(F.struct("_home_ratio", "_away_ratio")).alias("_ratios"))
-        pb = player_box(box, pairs, n=n, gi_extra=("_ratios",), extra=("_home = team_id AS _is_home", "_ratios"))
+        pb = player_box(box, pairs, n=n, gi_extra=("_ratios",), extra=("_home = team_id AS _is_home", "_ratios"),
+                        hot_groups=hot_groups)
         cols = [c for c in pb.columns if c not in ("_is_home", "_ratios")]
         j = pb.select(*cols, "_is_home", F.explode("_ratios").alias("_r")).selectExpr(
             *cols,

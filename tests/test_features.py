@@ -106,3 +106,23 @@ def test_colliding_season_codes_fan_out_like_literal_joins(spark):
     a = sorted(tuple(r) for r in FE.training_features(games, box, exact_joins=False).collect())
     b = sorted(tuple(r) for r in FE.training_features(games, box, exact_joins=True).collect())
     assert a == b and len(a) > 3
+
+
+def test_hot_group_frames_equal_window(spark):
+    games, box = _setup(spark)
+    for exact in (True, False):
+        a = sorted(tuple(r) for r in FE.training_features(games, box, exact_joins=exact, hot_groups=True).collect())
+        b = sorted(tuple(r) for r in FE.training_features(games, box, exact_joins=exact).collect())
+        assert a == b
+
+
+def test_shifted_frames_random_against_window(spark):
+    import random
+    from courtline.operators.rolling import shifted_frame_features, with_trailing_features
+    rnd = random.Random(5)
+    rows = [("hot" if rnd.random() < 0.4 else f"g{rnd.randint(0, 9)}", i, rnd.choice([None, 1, 2, 7]))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "grp string, o int, v int")
+    a = shifted_frame_features(df, ["v"], ["grp"], ["o"], lead_col="v", lead_alias="nv")
+    b = with_trailing_features(df, ["v"], ["grp"], ["o"], lead_col="v", lead_alias="nv")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)

@@ -42,3 +42,11 @@ def test_dense_ids_consecutive(spark):
     df = spark.createDataFrame([(f"k{i:04d}",) for i in random.Random(3).sample(range(5000), 1200)], "key string")
     ids = dense_ids(df, ["key"], start=11).orderBy("key").collect()
     assert [r.id for r in ids] == list(range(11, 11 + 1200))
+
+
+def test_running_scan_keeps_null_groups(spark):
+    rows = [(None, 1, 1, 1), (None, 2, 2, 1), ("a", 1, 3, 1), ("a", 2, 4, None), ("a", 3, 5, 1)]
+    df = spark.createDataFrame(rows, "grp string, k int, uid int, v int")
+    got = sorted((r.uid, r.rn, r.cum) for r in running_scan(df, ["grp"], ["k", "uid"], blocks=3, row_number="rn",
+                                                            exclusive_sums={"cum": "v"}).collect())
+    assert got == [(1, 1, 0), (2, 2, 1), (3, 1, 0), (4, 2, 1), (5, 3, 1)]
