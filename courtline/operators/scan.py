@@ -33,6 +33,7 @@ from courtline.session import default_blocks
 from courtline.session import materialize as write_checkpoint
 
 _BLOCK = "_scan_block"
+_KEY = "_scan_key"
 
 
 def _col(c: str | Column) -> Column:
@@ -69,38 +70,37 @@ def running_scan(
     # the lineage (and plan) downstream stays short.  ``materialize="persist"``
     # keeps them in the block manager instead (faster, but the cached entry
     # lives until unpersisted).
+    # One struct key for the group: struct equality treats null fields as
+    # equal (a null group is a group, as for a window), and the window, the
+    # block totals and the carry join all partition on the same expression,
+    # so the rows are shuffled once for the scan and not again for the join.
+    key = F.struct(*[F.col(g) for g in group]) if group else F.lit(0)
     blocked = df.repartitionByRange(n_blocks, *[F.col(g) for g in group], *order_cols) \
-        .withColumn(_BLOCK, F.spark_partition_id())
+        .withColumn(_BLOCK, F.spark_partition_id()).withColumn(_KEY, key)
     if materialize == "persist":
         blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
     else:
         blocked = write_checkpoint(blocked)
 
-    in_block = Window.partitionBy(*group, _BLOCK).orderBy(*order_cols)
+    in_block = Window.partitionBy(_KEY, _BLOCK).orderBy(*order_cols)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
     local = blocked.withColumn("_scan_rn", F.row_number().over(in_block))
     for name, c in exclusive_sums.items():
         local = local.withColumn(f"_scan_l_{name}", F.coalesce(F.sum(_col(c)).over(before), F.lit(0)))
 
-    totals = blocked.groupBy(*group, _BLOCK).agg(
+    totals = blocked.groupBy(_KEY, _BLOCK).agg(
         F.count(F.lit(1)).alias("_scan_n"),
         *[F.coalesce(F.sum(_col(c)), F.lit(0)).alias(f"_scan_t_{name}") for name, c in exclusive_sums.items()],
     )
-    earlier = Window.partitionBy(*group).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(_KEY).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
-        *group, _BLOCK,
+        _KEY, _BLOCK,
         F.coalesce(F.sum("_scan_n").over(earlier), F.lit(0)).alias("_scan_cn"),
         *[F.coalesce(F.sum(f"_scan_t_{name}").over(earlier), F.lit(0)).alias(f"_scan_c_{name}")
           for name in exclusive_sums],
     )
 
-    # Null-safe on the group keys: a null group is a group, as for a window.
-    carry = carry.select(*[F.col(g).alias(f"_scan_g{i}") for i, g in enumerate(group)],
-                         F.col(_BLOCK).alias("_scan_cb"),
-                         *[c for c in carry.columns if c.startswith("_scan_") and c != _BLOCK])
-    cond = [F.col(_BLOCK) == F.col("_scan_cb")] + [F.col(g).eqNullSafe(F.col(f"_scan_g{i}"))
-                                                   for i, g in enumerate(group)]
-    joined = local.join(carry, cond, "inner")
+    joined = local.join(carry, on=[_KEY, _BLOCK], how="inner")
     out_cols = [F.col(c) for c in df.columns]
     if row_number:
         out_cols.append((F.col("_scan_cn") + F.col("_scan_rn")).alias(row_number))

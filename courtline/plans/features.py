@@ -25,9 +25,12 @@ from courtline.functions.scalar import game_number_of, season_of, winning_team
 from courtline.operators.rolling import next_value_sql, shifted_frame_features, trailing_mean_sql
 from courtline.operators.scan import running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
-from courtline.session import broadcast_threshold, estimated_bytes
+from courtline.session import broadcast_threshold
 
 PLAYER_SEASON = ["player_id", "season"]
+# Upper bound of one ratio row (season, team_id, game_number, ratio) in a
+# broadcast hash relation: fixed-width slots, a short season string, key copy.
+RATIO_ROW_BYTES = 64
 TEAM_SEASON = ["team_id", "season"]
 
 
@@ -129,21 +132,26 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
     game, which both loaders guarantee.  ``exact_joins=True`` runs the two
     keyed joins on the box rows literally.
 
-    ``exact_joins=None`` decides by size: when Catalyst's estimate of the
-    ratio table is under the broadcast threshold, the literal joins are
-    broadcast hash joins that shuffle nothing, and they are used; beyond it
-    the game-level plan is used.
+    ``exact_joins=None`` decides by a proven size bound: the ratio table has
+    two rows per game, so a game count bounds its size.  Under the broadcast
+    threshold the literal joins are used as broadcast hash joins that shuffle
+    nothing; beyond it the game-level plan is used.
     """
     gi = game_info(games)
     cw = cumulative_win(gi, skew_safe=skew_safe).select("season", "team_id", "game_number", "cum_win_ratio")
+    hint = False
     if exact_joins is None:
-        est = estimated_bytes(cw)
-        exact_joins = est is not None and est <= broadcast_threshold(games.sparkSession)
+        # The ratio table has exactly two rows per game: count the games (one
+        # cheap job) for a proven bound on its broadcast size.
+        bound = 2 * gi.count() * RATIO_ROW_BYTES
+        exact_joins = hint = bound <= broadcast_threshold(games.sparkSession)
     if exact_joins:
         pb = player_box(box, gi, n=n, hot_groups=hot_groups)
         own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
         opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2",
                             "cum_win_ratio AS opponent_win_ratio")
+        if hint:
+            own, opp = F.broadcast(own), F.broadcast(opp)
         j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
              .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2)
                    & (pb.game_number == opp._n2), "left"))

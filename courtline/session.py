@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CHECKPOINT_FALLBACK = "/tmp/courtline-checkpoints"
+# Broadcast budget for sizes that are measured or proven (not estimated).
+RUNTIME_BROADCAST_BUDGET = "64MB"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -34,6 +36,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # checkpoint files of collected DataFrames are removed by the cleaner
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Runtime (AQE) broadcast budget: applies to *measured* shuffle sizes
+        # only; the static, estimate-based threshold keeps its default.
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", RUNTIME_BROADCAST_BUDGET)
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -109,11 +114,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_threshold(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+def _bytes(raw: str) -> int:
     raw = raw.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     for suffix in sorted(units, key=len, reverse=True):
         if raw.endswith(suffix):
             return int(float(raw[: -len(suffix)]) * units[suffix])
     return int(raw)
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """Broadcast budget for a side whose size is proven (counted) or measured.
+
+    That is AQE's runtime threshold when set, else the static one.
+    """
+    raw = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) \
+        or spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    return _bytes(raw)
