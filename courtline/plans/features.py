@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_number_of, season_of, winning_team
 from courtline.operators.rolling import next_value_sql, shifted_frame_features, trailing_mean_sql
-from courtline.operators.scan import running_scan, window_scan
+from courtline.operators.scan import group_scan, running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
 from courtline.session import broadcast_threshold
 
@@ -97,10 +97,15 @@ def team_games(gi: DataFrame, keep_game_id: bool = False) -> DataFrame:
     return out if keep_game_id else out.drop("_game_id")
 
 
-def cumulative_win(gi: DataFrame, skew_safe: bool = True) -> DataFrame:
-    """Per (team, season, game): wins before, games before, running win ratio."""
+def cumulative_win(gi: DataFrame, skew_safe: bool | str = "auto") -> DataFrame:
+    """Per (team, season, game): wins before, games before, running win ratio.
+
+    ``skew_safe="auto"`` measures the largest team-season and splits it into
+    range blocks only when one task cannot hold it; ``True`` always splits,
+    ``False`` never does.
+    """
     tg = team_games(gi, keep_game_id=True)
-    scan = running_scan if skew_safe else window_scan
+    scan = {"auto": group_scan, True: running_scan, False: window_scan}[skew_safe]
     s = scan(tg, TEAM_SEASON, ["game_number", "_game_id"],
              row_number="_rn", exclusive_sums={"cum_wins": "win"})
     before = (F.col("_rn") - 1).cast("long")
@@ -118,7 +123,7 @@ def _ratio_side(cw: DataFrame, tag: str) -> DataFrame:
                          f"cum_win_ratio AS _{tag}_ratio")
 
 
-def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool = True,
+def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool | str = "auto",
                       exact_joins: bool | None = None, hot_groups: bool = False) -> DataFrame:
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 

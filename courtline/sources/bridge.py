@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from courtline.operators.scan import running_scan
+from courtline.operators.scan import group_scan, running_scan, window_scan
 from courtline.schemas import BOX_COLUMNS, INVALID_REFEREES, LANDING_PREFIX, ROLLING_STATS
 from courtline.sources.tables import read_table
 
@@ -47,7 +47,7 @@ def _away(custkey: Column, orderkey: Column) -> Column:
     return (custkey % N_TEAMS + 1 + orderkey % (N_TEAMS - 1)) % N_TEAMS
 
 
-def games(spark: SparkSession, base: str) -> DataFrame:
+def games(spark: SparkSession, base: str, skew_safe: bool | str = "auto") -> DataFrame:
     """One game per order; game number = rank in the season by (date, key)."""
     o = read_table(spark, base, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     g = o.select(
@@ -56,9 +56,10 @@ def games(spark: SparkSession, base: str) -> DataFrame:
         F.col("o_orderdate").alias("_date"),
         F.col("o_custkey").alias("_cust"),
     )
-    # A season is one huge group whose size grows with the data: use the
-    # range-blocked scan rather than a window partitioned by season.
-    g = running_scan(g, ["_season"], ["_date", "id"], row_number="_game_number")
+    # A season is one group whose size grows with the data: measure the
+    # largest season and cut it into range blocks when one task cannot hold it.
+    scan = {"auto": group_scan, True: running_scan, False: window_scan}[skew_safe]
+    g = scan(g, ["_season"], ["_date", "id"], row_number="_game_number")
     return g.select(
         "id",
         _home(F.col("_cust")).alias("home_team_id"),
