@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_number_of, season_of, winning_team
 from courtline.operators.rolling import next_value_sql, shifted_frame_features, trailing_mean_sql
-from courtline.operators.scan import group_scan, running_scan, window_scan
+from courtline.operators.scan import HOT_GROUP_ROWS, group_scan, largest_group, running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
 from courtline.session import broadcast_threshold
 
@@ -124,7 +124,7 @@ def _ratio_side(cw: DataFrame, tag: str) -> DataFrame:
 
 
 def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool | str = "auto",
-                      exact_joins: bool | None = None, hot_groups: bool = False) -> DataFrame:
+                      exact_joins: bool | None = None, hot_groups: bool | str = "auto") -> DataFrame:
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 
     Default plan: both teams' running ratios are attached to each *game*
@@ -143,6 +143,10 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
     nothing; beyond it the game-level plan is used.
     """
     gi = game_info(games)
+    if hot_groups == "auto":
+        # A player's rows over all seasons bound any player-season: one
+        # partial aggregate decides whether W1 needs the shifted-frame form.
+        hot_groups = largest_group(box, ["player_id"]) > HOT_GROUP_ROWS
     cw = cumulative_win(gi, skew_safe=skew_safe).select("season", "team_id", "game_number", "cum_win_ratio")
     hint = False
     if exact_joins is None:
