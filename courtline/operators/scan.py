@@ -136,9 +136,12 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], out: str = "id",
               start: Column | int = 1) -> DataFrame:
     """Consecutive ids ``start, start+1, ...`` in the given total order.
 
-    A global ``row_number()`` without partitioning would pull every row into one
-    task; the range-blocked scan keeps the work spread over all blocks.
+    A global ``row_number()`` would pull every row into one task; the
+    range-blocked scan spreads the numbering over all blocks.
     """
+    # Always blocked: measuring the size first would compute the input twice
+    # (it is usually a fresh join + dedupe), while the blocked scan
+    # materialises it exactly once.
     numbered = running_scan(df, [], order, row_number="_dense_rn")
     start_col = start if isinstance(start, Column) else F.lit(start)
     return numbered.withColumn(out, (F.col("_dense_rn") - 1 + start_col).cast("long")).drop("_dense_rn")
