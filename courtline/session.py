@@ -106,14 +106,6 @@ def materialize(df: DataFrame) -> DataFrame:
         cached.unpersist()
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (None when it cannot be read)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - an estimate is optional
-        return None
-
-
 def _bytes(raw: str) -> int:
     raw = raw.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
