@@ -60,8 +60,9 @@ def minutes_to_seconds(minutes: Column) -> Column:
     ``int(float(MM) * 60) + float(SS)``; a part that is not a number gives 0
     (e.g. ``DNP``, ``12:xx``, empty); parts after the second are ignored.  The
     value is stored in an integer column, which rounds half away from zero.
-    Inputs the source cannot handle at all (no ``:`` in a numeric text, null)
-    give null here; :func:`minutes_reject_reason` names them.
+    Inputs the source cannot handle at all (no ``:`` in a numeric text, null,
+    a value outside the integer range) give null here;
+    :func:`minutes_reject_reason` names them.
     """
     parts = F.split(minutes, ":", -1)
     mm_txt, ss_txt = F.get(parts, 0), F.get(parts, 1)
@@ -72,7 +73,9 @@ def minutes_to_seconds(minutes: Column) -> Column:
     value = F.floor(mm * 60) + ss
     # Python's int() truncates toward zero; floor differs only for negatives.
     value = F.when(mm * 60 < 0, F.ceil(mm * 60) + ss).otherwise(value)
-    seconds = F.round(value, 0).cast("int")
+    # Out of integer range (or infinite): the database would refuse the row,
+    # so it is a reject (null), not a failed job.
+    seconds = F.round(value, 0).try_cast("int")
     return (
         F.when(minutes.isNull(), F.lit(None).cast("int"))
         .when(~mm_ok, F.lit(0))
@@ -88,6 +91,7 @@ def minutes_reject_reason(minutes: Column) -> Column:
     return (
         F.when(minutes.isNull(), F.lit("minutes is null"))
         .when(F.get(parts, 0).rlike(_MINUTES_OK) & F.get(parts, 1).isNull(), F.lit("minutes has no ':'"))
+        .when(minutes_to_seconds(minutes).isNull(), F.lit("seconds out of integer range"))
     )
 
 
