@@ -126,3 +126,12 @@ def test_shifted_frames_random_against_window(spark):
     a = shifted_frame_features(df, ["v"], ["grp"], ["o"], lead_col="v", lead_alias="nv")
     b = with_trailing_features(df, ["v"], ["grp"], ["o"], lead_col="v", lead_alias="nv")
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_csv_sink_round_trip_and_count(spark, tmp_area):
+    games, box = _setup(spark)
+    p = PR.preprocess(FE.training_features(games, box))
+    path, rows = PR.write_csv_counted(p, f"{tmp_area}/train")
+    assert rows == 5
+    back = PR.read_csv(spark, path, p.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, p.collect()), key=str)
