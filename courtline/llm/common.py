@@ -59,41 +59,40 @@ def words(text: str | Column) -> Column:
 
 
 def running(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], spread: Column, *,
-            sums: dict[str, str] | None = None, index: str | None = None, rows_per_block: int = 20_000) -> DataFrame:
+            sums: dict[str, str] | None = None, index: str | None = None, rows_per_block: int = 5000) -> DataFrame:
     """Append a gapless index from 0 and exclusive running sums per group, with no group in one task.
 
-    ``spread`` is a non-negative 62-bit number by which a group's rows are
-    ordered first (``order`` breaks its ties).  Equal slices of its range are
-    the blocks: as many per group as give about ``rows_per_block`` rows each,
-    however large the group.  A window runs inside each block, and block totals
-    are summed over the small block table.  The input is read twice, so pass a
-    stored table.
+    ``spread`` is an even 62-bit number by which a group's rows are ordered
+    first (``order`` breaks its ties).  Equal slices of its range are the
+    blocks, as many as give about ``rows_per_block`` rows if one group held
+    all rows.  A window runs inside each (group, block), block totals are
+    summed over the small block table, and the sums come back by an equi-join
+    on the same key, so rows are shuffled once.  Null groups are groups.  The
+    input is read three times: pass a stored table.
     """
     sums = dict(sums or {})
+    # 31 bits of the spread times a block count below 2**31 cannot overflow a long.
+    blocks = max(1, min(2 ** 31 - 1, -(-df.count() // rows_per_block)))
     key = F.struct(*[F.col(c) for c in group]) if group else F.struct(F.lit(0).alias("all"))
-    rows = df.withColumn("_key", key).withColumn("_spread", spread)
-    counts = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.select("_key", F.ceil(F.col("_rows") / rows_per_block).cast("long").alias("_blocks"))
-    # 31 bits of the spread times the block count cannot overflow a long.
-    rows = rows.join(counts, "_key").withColumn(
-        "_block", F.shiftrightunsigned(F.shiftrightunsigned("_spread", 31) * F.col("_blocks"), 31)).drop("_blocks")
-    totals = rows.groupBy("_key", "_block").agg(
+    block = F.shiftrightunsigned(F.shiftrightunsigned("_spread", 31) * F.lit(blocks).cast("long"), 31)
+    rows = df.withColumn("_spread", spread).withColumn("_block", F.struct(key.alias("g"), block.alias("b")))
+    totals = rows.groupBy("_block").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
-    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_block.g").orderBy("_block.b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
-        "_key", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_c"),
+        "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_c"),
         *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums])
-    within = Window.partitionBy("_key", "_block").orderBy("_spread", *order)
+    within = Window.partitionBy("_block").orderBy("_spread", *order)
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     out = rows.select(
         "*", (F.row_number().over(within) - 1).cast("long").alias("_i"),
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_l_{n}") for n, c in sums.items()],
-    ).join(carry, ["_key", "_block"])
+    ).join(carry, "_block")
     if index:
         out = out.withColumn(index, F.col("_c") + F.col("_i"))
     for n in sums:
         out = out.withColumn(n, F.col(f"_c_{n}") + F.col(f"_l_{n}"))
-    return out.drop("_key", "_block", "_spread", "_i", "_c", *[f"_{p}_{n}" for n in sums for p in ("c", "l")])
+    return out.drop("_block", "_spread", "_i", "_c", *[f"_{p}_{n}" for n in sums for p in ("c", "l")])
 
 
 def spread_of(*cols: str | Column) -> Column:

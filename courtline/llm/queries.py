@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import simhash
+from courtline.llm import mixing, sharding, simhash, token_binary, token_counts
 from courtline.llm.common import ship, table
+from courtline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,6 +28,38 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op1_token_binary")
+def op1(spark, sf_dir):
+    path = scratch_path(spark, "llm", "tokens", unique=True)
+    token_binary.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=1)
+    return token_binary.with_crc32(token_binary.read_tokens(spark, path)).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 @register("op5_simhash_neardup")
 def op5(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), k=4, radius=4)
+
+
+@register("op6_source_mixing")
+def op6(spark, sf_dir):
+    mixed, _ = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op8_token_counts")
+def op8(spark, sf_dir):
+    counts = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@register("op10_sharding")
+def op10(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.tree(16))
