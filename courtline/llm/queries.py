@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import mixing, sharding, simhash, token_binary, token_counts
+from courtline.llm import langid, mixing, sharding, simhash, token_binary, token_counts, toxicity
 from courtline.llm.common import ship, table
 from courtline.session import scratch_path
 
@@ -43,6 +43,15 @@ def op1(spark, sf_dir):
         F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~langid.held_out(F.col("doc_id"), 5, 0))
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.learn(docs, labels))
+    return scored.select("doc_id", langid.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register("op5_simhash_neardup")
 def op5(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), k=4, radius=4)
@@ -54,6 +63,13 @@ def op6(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register("op7_language_id")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id"), 4, 2))
+    model = langid.train(docs.filter(~F.col("held_out")))
+    return langid.identify(docs, model, keep=("doc_id", "held_out"))
+
+
 @register("op8_token_counts")
 def op8(spark, sf_dir):
     counts = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
