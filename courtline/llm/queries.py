@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import langid, mixing, sharding, simhash, token_binary, token_counts, toxicity
+from courtline.llm import decontaminate, langid, mixing, sharding, simhash, token_binary, token_counts, toxicity
 from courtline.llm.common import ship, table
 from courtline.session import scratch_path
 
@@ -52,6 +52,12 @@ def op3(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@register("op4_decontamination", decontaminate.ORACLE)
+def op4(spark, sf_dir):
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.col("item").alias("item_id"), "start", "similarity")
+
+
 @register("op5_simhash_neardup")
 def op5(spark, sf_dir):
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), k=4, radius=4)
