@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import decontaminate, langid, mixing, sharding, simhash, token_binary, token_counts, toxicity
+from courtline.llm import cover_tree, decontaminate, langid, mixing, sharding, simhash, token_binary, token_counts, toxicity
 from courtline.llm.common import ship, table
 from courtline.session import scratch_path
 
@@ -43,6 +43,11 @@ def op1(spark, sf_dir):
         F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+@register("op2_embedding_neardup")
+def op2(spark, sf_dir):
+    return cover_tree.neardup(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 @register("op3_toxicity")
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
