@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import courtline
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from courtline.session import scratch_path
 
@@ -51,6 +53,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KINDS = {"long": (LongType(), pa.int64()), "double": (DoubleType(), pa.float64()), "string": (StringType(), pa.string())}
+
+
+def map_texts(df: DataFrame, keep: Sequence[str], text: str, outputs: dict[str, str],
+              make: Callable[[], Callable[[list], Sequence]]) -> DataFrame:
+    """``keep`` columns, untouched, and ``outputs`` (name to kind) computed from the text column in Arrow batches.
+
+    ``make`` runs once per task and gives the function from a batch's texts
+    (None for null) to one sequence per output.
+    """
+    src = df.select(*[df[c] for c in keep], df[text].alias("_text"))
+    schema = StructType([*src.schema.fields[:-1], *[StructField(n, _KINDS[k][0]) for n, k in outputs.items()]])
+    kinds = [_KINDS[k][1] for k in outputs.values()]
+
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for f in frames:
+            got = compute(f.column(f.num_columns - 1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*f.columns[:-1], *[pa.array(x, k) for x, k in zip(got, kinds)]], names=schema.names)
+
+    return src.mapInArrow(batches, schema)
+
+
 def words(text: str | Column) -> Column:
     """Array of ASCII-lower-cased words of a text; null and blank texts give an empty array."""
     text = F.col(text) if isinstance(text, str) else text

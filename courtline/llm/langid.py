@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from courtline.llm.common import map_texts
+
 BUCKET_BITS = 14
 SIZES = (1, 2, 3)
 SMOOTHING = 0.5
@@ -121,13 +123,8 @@ def identify(docs: DataFrame, model: Model, *, keep: Sequence[str] = ("doc_id",)
     """``keep`` columns, lang_pred and score per row; equal rows get equal results, an empty table none."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            got = [shared.value.predict(t) for t in f.pop("_text")]
-            f["lang_pred"] = [x[0] for x in got]
-            f["score"] = np.array([x[1] for x in got], np.float64)
-            yield f
-
-    src = docs.select(*keep, F.col(text).alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInPandas(score, f"{kinds}, lang_pred string, score double")
+    def make():
+        model = shared.value
+        return lambda texts: list(zip(*map(model.predict, texts))) or [[], []]
+
+    return map_texts(docs, keep, text, {"lang_pred": "string", "score": "double"}, make)

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.llm.common import stored
+from courtline.llm.common import map_texts, stored
 from courtline.llm.components import components
 
 SEED = 42
@@ -64,15 +64,10 @@ def fingerprint(text: str | None, k: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", k: int = 4, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``fp``, the fingerprint as a signed long."""
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            fps = np.array([fingerprint(t, k) for t in f.pop("_text")], np.uint64)
-            f["fp"] = fps.view(np.int64)
-            yield f
+    def make():
+        return lambda texts: [np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64)]
 
-    src = docs.select(*keep, F.col(text).alias("_text"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInPandas(batches, f"{kinds}, fp long")
+    return map_texts(docs, keep, text, {"fp": "long"}, make)
 
 
 def segments(radius: int, bits: int = 64, width: int = 21) -> list[tuple[int, int, int]]:
@@ -194,10 +189,32 @@ def simhash_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def classes_of(marked: DataFrame, key: str, radius: int) -> DataFrame:
-    """(fp, component_id) per distinct fingerprint of ``marked(key, fp)``."""
+    """(fp, root, component_id) per distinct fingerprint of ``marked(key, fp)``."""
     distinct = stored(marked.groupBy("fp").agg(F.min(key).alias("least")), "simhash-classes")
     roots = components(fingerprint_links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
+
+
+def representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, of which each near-duplicate group keeps one.
+
+    That is the row with the group's smallest key; a group of null keys keeps
+    one of them, and of rows with that key the one whose text hash is smallest.
+    Rows are found again by key and text hash, so the texts are shuffled once,
+    for that join, and equal rows, which the join brings together, leave one.
+    """
+    hashed = docs.select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
+    marked = stored(fingerprints(hashed, k=k, keep=("id", "h")), "simhash")
+    classes = classes_of(marked, "id", radius)
+    # Null keys sort last; one row per distinct fingerprint, then per component.
+    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("h"))
+    first = marked.groupBy("fp").agg(F.min(order).alias("o"))
+    roots = first.join(classes, "fp").groupBy("root").agg(F.min("o").alias("o"))
+    kept = stored(roots.select(F.col("o.id").alias("_kept_id"), F.col("o.h").alias("_kept_hash")), "simhash-kept")
+    here = docs.withColumn("_hash", F.xxhash64(F.col(text)))
+    found = here.join(kept, here[key].eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash")))
+    same = Window.partitionBy("_kept_id", "_kept_hash").orderBy("_hash")
+    return found.withColumn("_row", F.row_number().over(same)).filter("_row = 1").select(*[docs[c] for c in docs.columns])

@@ -20,10 +20,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtline.llm.common import stored
+from courtline.llm.common import map_texts, stored
 
 # Letters that a character is commonly written for.
 LOOKALIKES = {
@@ -320,12 +321,21 @@ def score(docs: DataFrame, model: Model, *, keep: Sequence[str] = ("doc_id",), t
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
+        scorer = Scorer(shared.value)
+        return lambda texts: [[scorer.score(t) for t in texts]]
+
+    return map_texts(docs, keep, text, {"score": "double"}, make)
+
+
+def keep_clean(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def batches(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for f in frames:
-            f["score"] = np.array([scorer.score(t) for t in f.pop("_text")], np.float64)
-            yield f
+            yield f.filter(pa.array([scorer.score(t) < threshold for t in f.column(at).to_pylist()], pa.bool_()))
 
-    src = docs.select(*keep, F.col(text).alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInPandas(rows, f"{kinds}, score double")
+    return docs.mapInArrow(batches, docs.schema)
