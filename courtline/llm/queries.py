@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import cover_tree, decontaminate, langid, mixing, sharding, simhash, token_binary, token_counts, toxicity
+from courtline.llm import cover_tree, decontaminate, langid, mixing, secrets, sharding, simhash, token_binary, token_counts, toxicity
 from courtline.llm.common import ship, table
 from courtline.session import scratch_path
 
@@ -87,6 +87,12 @@ def op8(spark, sf_dir):
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+@register("op9_secret_scan")
+def op9(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"), train_on=~langid.held_out(F.col("key"), 5, 0))
+    return found.select("doc_id", "start", "length", "label", "score", "secret")
+
+
 @register("op10_sharding")
 def op10(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.tree(16))
