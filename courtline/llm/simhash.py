@@ -100,6 +100,7 @@ def _ball(value, n: int, radius: int) -> list:
 def _links_in_bucket(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among one bucket's fingerprints."""
     n = len(fps)
+    bits = fps.view(np.uint64)  # of signed numbers numpy would count the bits of the absolute value
     root = np.arange(n)
     out: list[tuple[int, int]] = []
 
@@ -110,7 +111,7 @@ def _links_in_bucket(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
         return i
 
     for lo in range(0, n, 256):
-        near = np.bitwise_count(fps[lo:lo + 256, None] ^ fps[None, lo:]) <= radius
+        near = np.bitwise_count(bits[lo:lo + 256, None] ^ bits[None, lo:]) <= radius
         for i, j in zip(*np.nonzero(np.triu(near, 1))):
             a, b = find(lo + int(i)), find(lo + int(j))
             if a != b:
