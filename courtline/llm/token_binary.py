@@ -11,8 +11,8 @@ chunk, let a reader fetch one document's ids or the metadata alone.
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,45 +22,75 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-CACHE_ENTRIES = 400_000
+from courtline.llm.token_counts import byte_symbols
+
+CACHE_ENTRIES = 1_000_000
 CACHE_CHARS = 64
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 1024
-_BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
+_BLANKS = "\n\t\r\x0b\x0c"
+# Signs that never belong to a contraction or a special token.
+_TAIL = ".,;:!?|&$#%*()-\""
 
 
-class Encoder:
-    """Ids of whole texts, by pieces between ASCII blanks.
-
-    Only for vocabularies whose pre-tokens never hold a blank and whose
-    normalizer leaves blanks apart: then a text's ids are those of its pieces,
-    one after another, and a piece that comes again costs one lookup.
-    """
+class _Known(dict):
+    """Ids of pieces, as bytes; a piece that is not there is encoded and kept."""
 
     def __init__(self, content: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        super().__init__({"": b""})
         self.library = Tokenizer.from_buffer(content)
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.library.model
+        self.shown = {b: c for c, b in byte_symbols().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        body = piece.rstrip(_TAIL)
+        if body.isalpha() and body.isascii() or body.isalpha() and ord(max(body)) < 256:
+            if len(body) < len(piece):
+                out = self[body] + self[piece[len(body):]]
+            else:
+                # One pre-token of Latin-1 letters: already composed, lower-cased letter by letter.
+                shown = body.lower()
+                if not shown.isascii():
+                    shown = shown.encode("utf-8").decode("latin-1").translate(self.shown)
+                out = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        else:
+            out = array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(piece) <= CACHE_CHARS:
+            if len(self) > CACHE_ENTRIES:
+                self.clear()
+                self[""] = b""
+            self[piece] = out
+        return out
+
+
+class Encoder:
+    """Ids of whole texts, by pieces between ASCII blanks.
+
+    Only for vocabularies like the one here, whose normalizer composes and
+    lower-cases and whose pre-tokens are letter runs, single digits and runs of
+    other signs, never with a blank: then a text's ids are those of its pieces,
+    one after another, and a piece that comes again costs one lookup.  Pieces
+    of plain letters go straight to the library's BPE model, others through
+    its whole pipeline.
+    """
+
+    def __init__(self, content: bytes):
+        self.known = _Known(content)
 
     def encode(self, texts: list[str | None], end_id: int | None) -> list[bytes]:
         """Little-endian 32-bit ids of each text, ``end_id`` after each."""
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        cut = [_BLANKS.split(t) if t else [] for t in texts]
-        known, once = self.known, {}
-        missing = list({p for pieces in cut for p in pieces if p not in known})
-        if len(known) + len(missing) > CACHE_ENTRIES:
-            known.clear()
-            known[""] = b""
-            missing = list({p for pieces in cut for p in pieces} - {""})
-        for lo in range(0, len(missing), 4096):
-            some = missing[lo:lo + 4096]
-            for piece, got in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                (known if len(piece) <= CACHE_CHARS else once)[piece] = np.array(got.ids, "<u4").tobytes()
-        if once:
-            return [b"".join([once[p] if p in once else known[p] for p in pieces]) + end for pieces in cut]
-        return [b"".join(map(known.__getitem__, pieces)) + end for pieces in cut]
+        look = self.known.__getitem__
+        out = []
+        for t in texts:
+            for blank in _BLANKS:
+                if t and blank in t:
+                    t = t.replace(blank, " ")
+            out.append(b"".join(map(look, t.split(" "))) + end if t else end)
+        return out
 
 
 _ENCODERS: dict[bytes, Encoder] = {}
