@@ -20,14 +20,9 @@ def season_of(game_code: Column) -> Column:
     return F.substring(game_code, -4, 4)
 
 
-def game_number_of(game_code: Column, strict: bool = False) -> Column:
-    """Game number = game code without its last five characters, as integer.
-
-    ``strict=True`` casts (ANSI raises on bad input, like the database);
-    the default returns null for unparsable codes so they can be routed.
-    """
-    head = F.substring(game_code, F.lit(1), F.length(game_code) - 5)
-    return head.cast("int") if strict else head.try_cast("int")
+def game_number_of(game_code: Column) -> Column:
+    """Game number = game code without its last five characters, as a long; null where it is no such number."""
+    return F.substring(game_code, F.lit(1), F.length(game_code) - 5).try_cast("long")
 
 
 def winning_team(home_id: Column, away_id: Column, home_score: Column, away_score: Column) -> Column:
@@ -35,22 +30,6 @@ def winning_team(home_id: Column, away_id: Column, home_score: Column, away_scor
     return F.when(home_score > away_score, home_id).otherwise(away_id)
 
 
-def opponent_team(team_id: Column, home_id: Column, away_id: Column) -> Column:
-    return F.when(home_id == team_id, away_id).otherwise(home_id)
-
-
-def win_indicator(team_id: Column, home_id: Column, away_id: Column,
-                  home_score: Column, away_score: Column) -> Column:
-    """1 when the row's team won outright, else 0 (a tie is 0 for both sides)."""
-    won = ((home_id == team_id) & (home_score > away_score)) | ((away_id == team_id) & (away_score > home_score))
-    return F.when(won, F.lit(1)).otherwise(F.lit(0))
-
-
-def guarded_ratio(num: Column, den: Column) -> Column:
-    """num / den, null when the denominator is 0 (or null)."""
-    return F.when(den == 0, F.lit(None).cast("double")).otherwise(num / den)
-
-
 _MINUTES_OK = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -112,9 +91,3 @@ def path_file_number(path: Column) -> Column:
     """File number of a landing key, null when the name is not an integer."""
     name = F.regexp_extract(path, r"([^/]+)$", 1)
     return F.regexp_replace(name, r"\.json", "").try_cast("long")
-
-
-def path_file_number_strict(path: Column) -> Column:
-    """As :func:`path_file_number` but a non-integer name raises (ANSI cast)."""
-    name = F.regexp_extract(path, r"([^/]+)$", 1)
-    return F.regexp_replace(name, r"\.json", "").cast("long")

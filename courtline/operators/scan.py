@@ -139,45 +139,6 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], out: str = "id",
     A global ``row_number()`` would pull every row into one task; the
     range-blocked scan spreads the numbering over all blocks.
     """
-    # Always blocked: measuring the size first would compute the input twice
-    # (it is usually a fresh join + dedupe), while the blocked scan
-    # materialises it exactly once.
     numbered = running_scan(df, [], order, row_number="_dense_rn")
     start_col = start if isinstance(start, Column) else F.lit(start)
     return numbered.withColumn(out, (F.col("_dense_rn") - 1 + start_col).cast("long")).drop("_dense_rn")
-
-
-# A group up to this many rows is sorted and scanned by one task in seconds,
-# within executor memory (the window spills beyond it); above it the group is
-# cut into range blocks.
-HOT_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Row count of the largest group: one partial (map-side) aggregate, one scalar back."""
-    if not group:
-        row = df.agg(F.count(F.lit(1))).first()
-    else:
-        row = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
-
-
-def group_scan(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str | Column],
-    *,
-    row_number: str | None = None,
-    exclusive_sums: Mapping[str, str | Column] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """Running row number / sums per group, choosing the plan by the largest group.
-
-    The size of the largest group is measured first (a cheap aggregate).  When
-    every group fits one task (``<= hot_rows``) a plain window is used;
-    otherwise :func:`running_scan` splits the hot groups into range blocks.
-    """
-    kw = dict(row_number=row_number, exclusive_sums=exclusive_sums)
-    if largest_group(df, group) <= hot_rows:
-        return window_scan(df, group, order, **kw)
-    return running_scan(df, group, order, **kw)

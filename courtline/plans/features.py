@@ -10,10 +10,12 @@ thing as one job):
     player_box LEFT JOIN cumulative_win (own team) LEFT JOIN cumulative_win (opponent)
 
 Window W1 is partitioned by (player_id, season): a player's season is bounded
-by the schedule, so a plain window is the right operator.  Window W2 (team,
-season) is different: there are few teams, and a team's season grows with the
-data, so it runs through :func:`courtline.operators.scan.running_scan`, which
-splits a hot group into range blocks.
+by the schedule, so a plain window is the right operator, and
+``hot_groups=True`` asks for the form that splits it.  Window W2 (team, season)
+is different: there are few teams, and a team's season grows with the data, so
+it runs through :func:`courtline.operators.scan.running_scan`, which splits a
+hot group into range blocks.  Nothing is measured to choose a plan, and joins
+are left to the optimizer: it broadcasts a side only by its size.
 """
 
 from __future__ import annotations
@@ -23,18 +25,22 @@ from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_number_of, season_of, winning_team
 from courtline.operators.rolling import next_value_sql, shifted_frame_features, trailing_mean_sql
-from courtline.operators.scan import HOT_GROUP_ROWS, group_scan, largest_group, running_scan, window_scan
+from courtline.operators.scan import running_scan, window_scan
 from courtline.schemas import ROLLING_STATS
-from courtline.session import broadcast_threshold
 
 PLAYER_SEASON = ["player_id", "season"]
-# Upper bound of one ratio row (season, team_id, game_number, ratio) in a
-# broadcast hash relation: fixed-width slots, a short season string, key copy.
-RATIO_ROW_BYTES = 64
 TEAM_SEASON = ["team_id", "season"]
 
 
+def game_code_rejects(games: DataFrame) -> DataFrame:
+    """Games whose code holds no game number, with a reason; :func:`game_info` leaves them out."""
+    return games.filter(game_number_of(F.col("game_code")).isNull()).select(
+        "id", "game_code", F.lit("game code without a number").alias("reason"))
+
+
 def game_info(games: DataFrame) -> DataFrame:
+    """Games with season, number and winner; see :func:`game_code_rejects` for those left out."""
+    games = games.filter(game_number_of(F.col("game_code")).isNotNull())
     hs, as_ = F.col("home_team_score"), F.col("away_team_score")
     return games.select(
         "id", "game_code",
@@ -97,15 +103,14 @@ def team_games(gi: DataFrame, keep_game_id: bool = False) -> DataFrame:
     return out if keep_game_id else out.drop("_game_id")
 
 
-def cumulative_win(gi: DataFrame, skew_safe: bool | str = "auto") -> DataFrame:
+def cumulative_win(gi: DataFrame, skew_safe: bool = True) -> DataFrame:
     """Per (team, season, game): wins before, games before, running win ratio.
 
-    ``skew_safe="auto"`` measures the largest team-season and splits it into
-    range blocks only when one task cannot hold it; ``True`` always splits,
-    ``False`` never does.
+    Team-seasons are cut into range blocks; ``skew_safe=False`` scans each with
+    one plain window.
     """
     tg = team_games(gi, keep_game_id=True)
-    scan = {"auto": group_scan, True: running_scan, False: window_scan}[skew_safe]
+    scan = running_scan if skew_safe else window_scan
     s = scan(tg, TEAM_SEASON, ["game_number", "_game_id"],
              row_number="_rn", exclusive_sums={"cum_wins": "win"})
     before = (F.col("_rn") - 1).cast("long")
@@ -118,72 +123,21 @@ def cumulative_win(gi: DataFrame, skew_safe: bool | str = "auto") -> DataFrame:
     )
 
 
-def _ratio_side(cw: DataFrame, tag: str) -> DataFrame:
-    return cw.selectExpr(f"season AS _s_{tag}", f"team_id AS _t_{tag}", f"game_number AS _n_{tag}",
-                         f"cum_win_ratio AS _{tag}_ratio")
-
-
-def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool | str = "auto",
-                      exact_joins: bool | None = None, hot_groups: bool | str = "auto") -> DataFrame:
+def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: bool = True,
+                      hot_groups: bool = False) -> DataFrame:
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 
-    Default plan: both teams' running ratios are attached to each *game*
-    (two joins and a regrouping over game-sized data), then the box rows take
-    them through the game-id join they need anyway.  The box rows -- the largest relation --
-    are shuffled for that join and for the player window only, instead of two
-    more times for the own/opponent joins on (season, team, game_number).  The
-    result is the same row multiset, fan-out on colliding season codes
-    included, provided every box row's team is the home or away team of its
-    game, which both loaders guarantee.  ``exact_joins=True`` runs the two
-    keyed joins on the box rows literally.
-
-    ``exact_joins=None`` decides by a proven size bound: the ratio table has
-    two rows per game, so a game count bounds its size.  Under the broadcast
-    threshold the literal joins are used as broadcast hash joins that shuffle
-    nothing; beyond it the game-level plan is used.
+    Both teams' running ratios are joined by (season, team, game number); a
+    row whose team has no such game gets null.
     """
     gi = game_info(games)
-    if hot_groups == "auto":
-        # A player's rows over all seasons bound any player-season: one
-        # partial aggregate decides whether W1 needs the shifted-frame form.
-        hot_groups = largest_group(box, ["player_id"]) > HOT_GROUP_ROWS
-    cw = cumulative_win(gi, skew_safe=skew_safe).select("season", "team_id", "game_number", "cum_win_ratio")
-    hint = False
-    if exact_joins is None:
-        # The ratio table has exactly two rows per game: count the games (one
-        # cheap job) for a proven bound on its broadcast size.
-        bound = 2 * gi.count() * RATIO_ROW_BYTES
-        exact_joins = hint = bound <= broadcast_threshold(games.sparkSession)
-    if exact_joins:
-        pb = player_box(box, gi, n=n, hot_groups=hot_groups)
-        own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
-        opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2",
-                            "cum_win_ratio AS opponent_win_ratio")
-        if hint:
-            own, opp = F.broadcast(own), F.broadcast(opp)
-        j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
-             .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2)
-                   & (pb.game_number == opp._n2), "left"))
-        cols = pb.columns
-    else:
-        h, a = _ratio_side(cw, "home"), _ratio_side(cw, "away")
-        gplus = (gi.join(h, (gi.season == h._s_home) & (gi.home_team_id == h._t_home)
-                         & (gi.game_number == h._n_home), "left")
-                 .join(a, (gi.season == a._s_away) & (gi.away_team_id == a._t_away)
-                       & (gi.game_number == a._n_away), "left"))
-        # One row per game again: every matching (home, away) ratio pair in a
-        # small array (one pair unless season codes collide), so the player
-        # window sees each box row once; the pairs are expanded after it.
-        pairs = gplus.groupBy(*gi.columns).agg(
-            F.collect_list(F.struct("_home_ratio", "_away_ratio")).alias("_ratios"))
-        pb = player_box(box, pairs, n=n, gi_extra=("_ratios",), extra=("_home = team_id AS _is_home", "_ratios"),
-                        hot_groups=hot_groups)
-        cols = [c for c in pb.columns if c not in ("_is_home", "_ratios")]
-        j = pb.select(*cols, "_is_home", F.explode("_ratios").alias("_r")).selectExpr(
-            *cols,
-            "CASE WHEN _is_home THEN _r._home_ratio ELSE _r._away_ratio END AS team_win_ratio",
-            "CASE WHEN _is_home THEN _r._away_ratio ELSE _r._home_ratio END AS opponent_win_ratio",
-        )
+    cw = cumulative_win(gi, skew_safe=skew_safe)
+    pb = player_box(box, gi, n=n, hot_groups=hot_groups)
+    own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
+    opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2", "cum_win_ratio AS opponent_win_ratio")
+    j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
+         .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2) & (pb.game_number == opp._n2), "left"))
+    cols = pb.columns
     return j.selectExpr(
         *cols, "team_win_ratio", "opponent_win_ratio",
         "CASE WHEN opponent_win_ratio = 0 THEN CAST(NULL AS DOUBLE) "

@@ -17,6 +17,7 @@ null minutes, null codes or names) are routed to ``rejects`` with a reason.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,10 @@ class Normalised:
     new: dict[str, DataFrame] | None = None
 
 
+# Game and player ids side by side make a box row's id: one game's rows never wait for another's to be numbered.
+PLAYER_SPAN = 1 << 32
+
+
 def parse_documents(raw: DataFrame, body_col: str = "body", key_col: str = "file_key") -> DataFrame:
     """``(file_key, doc)`` with the JSON body parsed by the declared schema."""
     return raw.select(F.col(key_col).alias("file_key"), F.from_json(F.col(body_col), DOCUMENT).alias("doc"))
@@ -82,85 +87,130 @@ def player_lines(valid: DataFrame) -> DataFrame:
         "file_key",
         game_code_from_path(F.col("file_key")).alias("game_code"),
         s0["tmr"]["Team"].alias("home_name"),
+        s1["tmr"]["Team"].alias("away_name"),
         F.posexplode(F.concat(home, away)).alias("pos", "line"),
     )
 
 
-def normalise(docs: DataFrame, target: Normalised | None = None) -> Normalised:
+def normalise(docs: DataFrame, target: Normalised | None = None) -> "Load":
     """Load parsed documents ``(file_key, doc)`` into the four tables.
 
     With ``target`` the rows are inserted into existing tables (insert-if-absent
     on each natural key, first write wins, new ids after the current maximum).
+    Each table is built when it is first asked for, with what it needs.
     """
-    valid, doc_rejects = split_documents(docs)
-    # The parsed documents feed four inserts (and the range sampling of each
-    # id assignment): write one parsed copy to the reliable checkpoint
-    # directory instead of re-reading and re-parsing the JSON per consumer.
-    # It also cuts the lineage, so the plans of the four inserts stay short.
-    valid = materialize(valid)
-    sides = game_sides(valid)
-
-    # teams: home then away of every document
-    team_batch = sides.select("file_key", F.lit(0).alias("side"), F.col("home_name").alias("name")) \
-        .unionByName(sides.select("file_key", F.lit(1).alias("side"), F.col("away_name").alias("name")))
-    team_reject = team_batch.filter(F.col("name").isNull()).select(
-        "file_key", F.lit("team").alias("level"), F.lit("team name is null").alias("reason"))
-    new_teams, teams = insert_if_absent(target.teams if target else None, team_batch.filter(F.col("name").isNotNull()),
-                                ["name"], ["file_key", "side"])
-
-    lines = player_lines(valid)
-    code = py_strip(F.col("line.Player_ID"))
-    line_reason = (F.when(F.col("line.Player_ID").isNull(), F.lit("Player_ID is null"))
-                   .when(F.col("line.Player").isNull(), F.lit("Player is null"))
-                   .otherwise(minutes_reject_reason(F.col("line.Minutes"))))
-    lines = lines.withColumn("player_code", code).withColumn("_reason", line_reason)
-    line_rejects = lines.filter(F.col("_reason").isNotNull()).select(
-        "file_key", F.lit("player line").alias("level"), F.col("_reason").alias("reason"))
-    good = lines.filter(F.col("_reason").isNull())
-
-    # Players are loaded before any stat row (as by the source), so a line whose
-    # minutes cannot be stored still registers its player.
-    player_batch = lines.filter(F.col("player_code").isNotNull() & F.col("line.Player").isNotNull()) \
-        .select("file_key", "pos", "player_code", F.col("line.Player").alias("name"))
-    new_players, players = insert_if_absent(target.players if target else None, player_batch,
-                                  ["player_code"], ["file_key", "pos"])
-
-    home_t = teams.select(F.col("id").alias("home_team_id"), F.col("name").alias("home_name"))
-    away_t = teams.select(F.col("id").alias("away_team_id"), F.col("name").alias("away_name"))
-    game_batch = (sides.join(home_t, "home_name", "inner").join(away_t, "away_name", "inner")
-                  .select("file_key", "home_team_id", "away_team_id", "game_code",
-                          "home_team_score", "away_team_score"))
-    new_games, games = insert_if_absent(target.games if target else None, game_batch, ["game_code"], ["file_key"])
-
-    # Box rows: resolve ids by natural key (no positional pairing).
-    g = games.select(F.col("id").alias("game_id"), "game_code", F.col("home_team_id").alias("_h"),
-                     F.col("away_team_id").alias("_a"))
-    p = players.select(F.col("id").alias("player_id"), "player_code")
-    team_name = py_strip(F.col("line.Team"))
-    for_home = F.coalesce(team_name == F.col("home_name"), F.lit(False))
-    stat_cols = {col: F.coalesce(F.col("line")[field], F.lit(0)).alias(col)
-                 for field, col in STAT_FIELD_TO_COLUMN.items()}
-    box_batch = (good.join(g, "game_code", "inner").join(p, "player_code", "inner")
-                 .select(
-                     "file_key", "pos", "player_id", "game_id",
-                     F.when(for_home, F.col("_h")).otherwise(F.col("_a")).alias("team_id"),
-                     for_home.alias("played_for_home"),
-                     F.coalesce(F.col("line.IsStarter") != 0, F.lit(False)).alias("is_starter"),
-                     minutes_to_seconds(F.col("line.Minutes")).alias("seconds"),
-                     *[stat_cols[c] for c in BOX_STATS],
-                 ))
-    new_box, box = insert_if_absent(target.boxscore if target else None, box_batch,
-                              ["player_id", "game_id"], ["file_key", "pos"])
-    box = box.select(*BOX_COLUMNS)
-
-    rejects = doc_rejects.unionByName(team_reject).unionByName(line_rejects)
-    game_cols = ["id", "home_team_id", "away_team_id", "game_code", "home_team_score", "away_team_score"]
-    new = {"teams": new_teams.select("id", "name"),
-           "players": new_players.select("id", "player_code", "name"),
-           "games": new_games.select(*game_cols),
-           "boxscore_record": new_box.select(*BOX_COLUMNS)}
-    return Normalised(teams=teams.select("id", "name"), players=players.select("id", "player_code", "name"),
-                      games=games.select(*game_cols), boxscore=box, rejects=rejects, new=new)
+    return Load(docs, target)
+
+
+class Load:
+    """The tables of one load; see :class:`Normalised` for the attributes."""
+
+    GAME = ["id", "home_team_id", "away_team_id", "game_code", "home_team_score", "away_team_score"]
+
+    def __init__(self, docs: DataFrame, target: Normalised | None):
+        self._target = target
+        self._parsed, self._doc_rejects = split_documents(docs)
+
+    @cached_property
+    def _valid(self) -> DataFrame:
+        # The parsed documents feed every insert (and the range sampling of id
+        # assignments): one parsed copy in the reliable checkpoint directory
+        # instead of re-reading and re-parsing the JSON per consumer.  It also
+        # cuts the lineage, so the plans of the inserts stay short.
+        return materialize(self._parsed)
+
+    @cached_property
+    def _sides(self) -> DataFrame:
+        return game_sides(self._valid)
+
+    @cached_property
+    def _team_batch(self) -> DataFrame:
+        sides = self._sides
+        return sides.select("file_key", F.lit(0).alias("side"), F.col("home_name").alias("name")) \
+            .unionByName(sides.select("file_key", F.lit(1).alias("side"), F.col("away_name").alias("name")))
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        reason = (F.when(F.col("line.Player_ID").isNull(), F.lit("Player_ID is null"))
+                  .when(F.col("line.Player").isNull(), F.lit("Player is null"))
+                  .otherwise(minutes_reject_reason(F.col("line.Minutes"))))
+        return player_lines(self._valid).withColumn("player_code", py_strip(F.col("line.Player_ID"))).withColumn("_reason", reason)
+
+    def _insert(self, name: str, *args, **options) -> tuple[DataFrame, DataFrame]:
+        return insert_if_absent(getattr(self._target, name) if self._target else None, *args, **options)
+
+    @cached_property
+    def _teams(self) -> tuple[DataFrame, DataFrame]:
+        return self._insert("teams", self._team_batch.filter(F.col("name").isNotNull()), ["name"], ["file_key", "side"])
+
+    @cached_property
+    def _players(self) -> tuple[DataFrame, DataFrame]:
+        # Players are loaded before any stat row (as by the source), so a line whose
+        # minutes cannot be stored still registers its player.
+        batch = self._lines.filter(F.col("player_code").isNotNull() & F.col("line.Player").isNotNull()) \
+            .select("file_key", "pos", "player_code", F.col("line.Player").alias("name"))
+        return self._insert("players", batch, ["player_code"], ["file_key", "pos"])
+
+    def _with_team_ids(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the ids of the two teams that the document itself names."""
+        home = self.teams.select(F.col("id").alias("home_team_id"), F.col("name").alias("home_name"))
+        away = self.teams.select(F.col("id").alias("away_team_id"), F.col("name").alias("away_name"))
+        return rows.join(home, "home_name", "inner").join(away, "away_name", "inner")
+
+    @cached_property
+    def _games(self) -> tuple[DataFrame, DataFrame]:
+        batch = self._with_team_ids(self._sides).select("file_key", *self.GAME[1:])
+        return self._insert("games", batch, ["game_code"], ["file_key"])
+
+    @cached_property
+    def _boxscore(self) -> tuple[DataFrame, DataFrame]:
+        # Ids are resolved by natural key (no positional pairing).
+        g = self.games.select(F.col("id").alias("game_id"), "game_code")
+        p = self.players.select(F.col("id").alias("player_id"), "player_code")
+        good = self._with_team_ids(self._lines.filter(F.col("_reason").isNull()))
+        for_home = F.coalesce(py_strip(F.col("line.Team")) == F.col("home_name"), F.lit(False))
+        stat_cols = {col: F.coalesce(F.col("line")[field], F.lit(0)).alias(col)
+                     for field, col in STAT_FIELD_TO_COLUMN.items()}
+        batch = good.join(g, "game_code", "inner").join(p, "player_code", "inner").select(
+            "file_key", "pos", "player_id", "game_id",
+            F.when(for_home, F.col("home_team_id")).otherwise(F.col("away_team_id")).alias("team_id"),
+            for_home.alias("played_for_home"),
+            F.coalesce(F.col("line.IsStarter") != 0, F.lit(False)).alias("is_starter"),
+            minutes_to_seconds(F.col("line.Minutes")).alias("seconds"),
+            *[stat_cols[c] for c in BOX_STATS])
+        return self._insert("boxscore", batch, ["player_id", "game_id"], ["file_key", "pos"],
+                            id_expr=F.col("game_id") * PLAYER_SPAN + F.col("player_id"))
+
+    @cached_property
+    def teams(self) -> DataFrame:
+        return self._teams[1].select("id", "name")
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return self._players[1].select("id", "player_code", "name")
+
+    @cached_property
+    def games(self) -> DataFrame:
+        return self._games[1].select(*self.GAME)
+
+    @cached_property
+    def boxscore(self) -> DataFrame:
+        return self._boxscore[1].select(*BOX_COLUMNS)
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        teams = self._team_batch.filter(F.col("name").isNull()).select(
+            "file_key", F.lit("team").alias("level"), F.lit("team name is null").alias("reason"))
+        lines = self._lines.filter(F.col("_reason").isNotNull()).select(
+            "file_key", F.lit("player line").alias("level"), F.col("_reason").alias("reason"))
+        return self._doc_rejects.unionByName(teams).unionByName(lines)
+
+    @cached_property
+    def new(self) -> dict[str, DataFrame]:
+        return {"teams": self._teams[0].select("id", "name"),
+                "players": self._players[0].select("id", "player_code", "name"),
+                "games": self._games[0].select(*self.GAME),
+                "boxscore_record": self._boxscore[0].select(*BOX_COLUMNS)}
 
 
 def first_seen_players(docs: DataFrame) -> DataFrame:

@@ -48,13 +48,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting one only if unset."""
+    """Return the shared checkpoint directory, setting one only if unset.
+
+    A machine-local folder is set only for a local master; on a cluster the
+    session has to name a folder that all machines share.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf_dir or _LOCAL_CHECKPOINT_FALLBACK
+    target = spark.conf.get("spark.checkpoint.dir", None)
+    if not target:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        target = _LOCAL_CHECKPOINT_FALLBACK
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 
@@ -104,22 +111,3 @@ def materialize(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
-
-
-def _bytes(raw: str) -> int:
-    raw = raw.strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
-
-
-def broadcast_threshold(spark: SparkSession) -> int:
-    """Broadcast budget for a side whose size is proven (counted) or measured.
-
-    That is AQE's runtime threshold when set, else the static one.
-    """
-    raw = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) \
-        or spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return _bytes(raw)

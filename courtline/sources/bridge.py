@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from courtline.operators.scan import group_scan, running_scan, window_scan
+from courtline.operators.scan import running_scan, window_scan
 from courtline.schemas import BOX_COLUMNS, INVALID_REFEREES, LANDING_PREFIX, ROLLING_STATS
 from courtline.sources.tables import read_table
 
@@ -30,7 +30,8 @@ def teams(spark: SparkSession, base: str) -> DataFrame:
 
 
 def player_code(key: Column) -> Column:
-    return F.concat(F.lit("P"), F.lpad(key.cast("string"), 6, "0"))
+    text = key.cast("string")  # padded to six digits; a longer key stays whole
+    return F.concat(F.lit("P"), F.lpad(text, F.greatest(F.lit(6), F.length(text)), F.lit("0")))
 
 
 def players(spark: SparkSession, base: str) -> DataFrame:
@@ -47,7 +48,7 @@ def _away(custkey: Column, orderkey: Column) -> Column:
     return (custkey % N_TEAMS + 1 + orderkey % (N_TEAMS - 1)) % N_TEAMS
 
 
-def games(spark: SparkSession, base: str, skew_safe: bool | str = "auto") -> DataFrame:
+def games(spark: SparkSession, base: str, skew_safe: bool = True) -> DataFrame:
     """One game per order; game number = rank in the season by (date, key)."""
     o = read_table(spark, base, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     g = o.select(
@@ -56,9 +57,8 @@ def games(spark: SparkSession, base: str, skew_safe: bool | str = "auto") -> Dat
         F.col("o_orderdate").alias("_date"),
         F.col("o_custkey").alias("_cust"),
     )
-    # A season is one group whose size grows with the data: measure the
-    # largest season and cut it into range blocks when one task cannot hold it.
-    scan = {"auto": group_scan, True: running_scan, False: window_scan}[skew_safe]
+    # A season is one group whose size grows with the data: it is cut into range blocks.
+    scan = running_scan if skew_safe else window_scan
     g = scan(g, ["_season"], ["_date", "id"], row_number="_game_number")
     return g.select(
         "id",
@@ -112,8 +112,11 @@ def boxscore(spark: SparkSession, base: str) -> DataFrame:
         .select("l_orderkey", "l_suppkey", F.struct(*[F.col(c) for c in LINE_ORDER]).alias("f"))
     rows = first.join(_order_sides(spark, base), F.col("l_orderkey") == F.col("_ok"), "inner") \
         .select("l_orderkey", "l_suppkey", "_home", "_away", "f.*")
+    # One more than the largest supplier key keeps (order, supplier) pairs apart in one number.
+    span = li.agg(F.greatest(F.lit(100000), F.max("l_suppkey") + 1)).scalar()
+    rows = rows.withColumn("_id", F.col("l_orderkey") * span + F.col("l_suppkey"))
     sql = {
-        "id": "l_orderkey * 100000 + l_suppkey",
+        "id": "_id",
         "player_id": "l_suppkey",
         "game_id": "l_orderkey",
         "team_id": "CASE WHEN l_linestatus = 'O' THEN _home ELSE _away END",
@@ -191,7 +194,7 @@ def documents(spark: SparkSession, base: str) -> DataFrame:
     return d.select(
         F.concat_ws("/", F.lit(LANDING_PREFIX), season_code, F.concat(number, F.lit(".json"))).alias("file_key"),
         season_code.alias("season_code"),
-        number.cast("int").alias("game_number"),
+        number.cast("long").alias("game_number"),
         F.col("id").alias("game_id"),
         F.to_json(body).alias("body"),
     )

@@ -11,9 +11,14 @@ wins, so a replayed batch adds nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import re
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtline.functions.scalar import path_file_number, path_season
 from courtline.plans.normalise import Normalised, normalise
 from courtline.schemas import LANDING_PREFIX
 from courtline.session import scratch_path
@@ -25,6 +30,7 @@ from courtline.session import scratch_path
 REQUEST_FORMAT = "{base}?gamecode={game_id}&seasoncode={season}"
 JSON_ERROR_PREFIX = "JSON decode error: "
 STATUS_ERROR_FORMAT = "Failed to fetch data for season: {season} game ID: {game_id} - Status: {status}"
+SAVE_ERROR_FORMAT = "Failed to save JSON for season: {season} game ID: {game_id}"
 # ---------------------------------------------------------------------------
 DEFAULT_BASE_URL = "boxscore"
 
@@ -42,13 +48,13 @@ def max_file_number(parsed: DataFrame) -> DataFrame:
 def above_marks(parsed: DataFrame, marks: DataFrame) -> DataFrame:
     """Keys whose number is strictly above their season's mark (numeric, not lexical).
 
-    ``marks`` is one row per season -- small and bounded by the number of
-    seasons -- and the join lets AQE broadcast it at run time.
+    A season without a mark has nothing processed yet: its mark counts as 0.
+    ``marks`` is one row per season, and the join lets AQE broadcast it at run
+    time.
     """
     m = marks.select(F.col("season_code").alias("_season"), F.col("last_id").alias("_mark"))
-    j = parsed.join(m, parsed.season_code == m._season, "inner")
-    return j.filter(F.col("file_number").isNotNull() & (F.col("file_number") > F.col("_mark"))) \
-        .drop("_season", "_mark")
+    j = parsed.join(m, parsed.season_code == m._season, "left")
+    return j.filter(F.col("file_number") > F.coalesce(F.col("_mark"), F.lit(0))).drop("_season", "_mark")
 
 
 # ------------------------------------------------------------ fetch bookkeeping
@@ -79,14 +85,27 @@ def fetch_plan(spec: DataFrame, base_url: str = DEFAULT_BASE_URL, chunk: int = 1
 
 
 def classify_fetch(responses: DataFrame) -> DataFrame:
-    """Responses ``(id, season, status, body)`` -> ``(season, id, success, error)``."""
+    """Responses ``(id, season, status, body)`` -> ``(season, id, success, error)``.
+
+    Two more columns are read where there are any: ``transport_error``, the
+    text of a request that got no response, and ``saved``, false where the
+    document could not be stored.
+    """
+    has = lambda c, kind: F.col(c) if c in responses.columns else F.lit(None).cast(kind)
+    broken, saved = has("transport_error", "string"), F.coalesce(has("saved", "boolean"), F.lit(True))
+    fetched = broken.isNull() & F.coalesce(F.col("status") == 200, F.lit(False))
     parsed_ok = F.try_parse_json(F.col("body")).isNotNull()
-    ok = (F.col("status") == 200) & parsed_ok
-    err = (F.when(ok, F.lit(None).cast("string"))
-           .when(F.col("status") == 200, F.lit(JSON_ERROR_PREFIX + "invalid JSON"))
-           .otherwise(F.format_string(STATUS_ERROR_FORMAT.replace("{season}", "%s").replace("{game_id}", "%d")
-                                      .replace("{status}", "%d"), F.col("season"), F.col("id"), F.col("status"))))
-    return responses.select("season", "id", ok.alias("success"), err.alias("error"))
+
+    def text(form: str) -> Column:
+        names = re.findall(r"\{(\w+)\}", form)
+        kinds = {"season": ("%s", "season"), "game_id": ("%d", "id"), "status": ("%d", "status")}
+        return F.format_string(re.sub(r"\{(\w+)\}", lambda m: kinds[m[1]][0], form), *[F.col(kinds[n][1]) for n in names])
+
+    err = (F.when(broken.isNotNull(), broken)
+           .when(~fetched, text(STATUS_ERROR_FORMAT))
+           .when(~parsed_ok, F.lit(JSON_ERROR_PREFIX + "invalid JSON"))
+           .when(~saved, text(SAVE_ERROR_FORMAT)))
+    return responses.select("season", "id", (fetched & parsed_ok & saved).alias("success"), err.alias("error"))
 
 
 def fetch_summary(outcomes: DataFrame) -> DataFrame:
@@ -132,99 +151,154 @@ def transform_marks(old: DataFrame, batch_keys: DataFrame, stage: str = "transfo
     """New transform mark per season from the keys *processed in this batch*.
 
     The mark is the largest numeric file number of the batch (non-numeric
-    names are skipped); a season with no file in the batch keeps its mark.
-    ``batch_keys`` is ``(season_code, file_number)``.
+    names are skipped); it is never lowered by a batch of late files, and a
+    season with no file in the batch keeps it.  ``batch_keys`` is
+    ``(season_code, file_number)``.
     """
     latest = max_file_number(batch_keys).filter(F.col("max_file_number").isNotNull()).select(
         F.lit(stage).alias("stage"), F.col("season_code").alias("season"),
         F.col("max_file_number").alias("last_id"))
-    return merge_marks(old, latest)
+    return raised_marks(old, latest)
 
 
-def merge_marks(old: DataFrame, updates: DataFrame) -> DataFrame:
-    """Keep every value not passed: ``coalesce(new, old)`` over a full outer join on (stage, season)."""
+def _both_marks(old: DataFrame, updates: DataFrame) -> DataFrame:
     u = updates.select("stage", "season", F.col("last_id").alias("_new"))
     o = old.select("stage", "season", F.col("last_id").alias("_old"))
-    j = o.join(u, ["stage", "season"], "full_outer")
-    return j.select("stage", "season", F.coalesce(F.col("_new"), F.col("_old")).cast("long").alias("last_id"))
+    return o.join(u, ["stage", "season"], "full_outer")
+
+
+def merge_marks(old: DataFrame, updates: DataFrame) -> DataFrame:
+    """Keep every value not passed: ``coalesce(new, old)`` over a full outer join on (stage, season)."""
+    return _both_marks(old, updates).select(
+        "stage", "season", F.coalesce(F.col("_new"), F.col("_old")).cast("long").alias("last_id"))
+
+
+def raised_marks(old: DataFrame, updates: DataFrame) -> DataFrame:
+    """The larger of both marks per (stage, season)."""
+    return _both_marks(old, updates).select(
+        "stage", "season", F.greatest(F.col("_new"), F.col("_old")).cast("long").alias("last_id"))
+
+
+def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The Parquet table at ``path``; None if there is no such path, and only then."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+class MarkStore:
+    """State table ``(stage, season, last_id)`` in versions: every change is a new version, the last one counts."""
+
+    SCHEMA = "stage string, season string, last_id long"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _version(self) -> int:
+        done = read_if_present(self.spark, f"{self.root}/_versions", "version long")
+        return 0 if done is None else done.agg(F.max("version")).first()[0] or 0
+
+    def read(self) -> DataFrame:
+        """The current marks; no rows before the first write."""
+        v = self._version()
+        if not v:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/version={v}")
+
+    def advance(self, updates: DataFrame) -> int:
+        """Raise marks to those of ``updates``, never lowering one; the version counts once its number is written."""
+        v = self._version() + 1
+        raised_marks(self.read(), updates).write.mode("overwrite").parquet(f"{self.root}/version={v}")
+        self.spark.createDataFrame([(v,)], "version long").write.mode("append").parquet(f"{self.root}/_versions")
+        return v
 
 
 # ------------------------------------------------------------ versioned tables
 
-TABLES = ("teams", "players", "games", "boxscore_record")
+TABLES = ("teams", "players", "games", "boxscore_record", "rejects")
+COMMITS = "version long, query_id string, batch_id long, delta string"
 
 
 class TableStore:
-    """The four tables as append-only Parquet deltas plus a commit log.
-
-    Each batch writes only the rows it added, under
-    ``<root>/<table>/batch_id=<n>/``, and then appends its commit row.  A
-    reader takes the union of the deltas whose batch is committed (a semi-join
-    with the commit log on the partition column), so a batch that failed half
-    way is invisible and its retry simply overwrites its own directories.
-    Work per batch is proportional to the batch, not to the table.
+    """The four tables and the rejects as append-only Parquet deltas plus a commit log.
+
+    Each batch writes only the rows it added, under ``<root>/<table>/delta=<n>/``,
+    and then appends its commit row.  A reader takes the union of the deltas
+    that are committed (a semi-join with the commit log on the partition
+    column), so a batch that failed half way is invisible and its retry simply
+    overwrites its own directories.  Work per batch is proportional to the
+    batch, not to the table.  A batch is known by its query and its number
+    within that query: a query that starts over has batches of its own.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _commits(self) -> str:
-        return f"{self.root}/_commits"
-
     def committed_batches(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self._commits())
-        except Exception:  # no commit yet
-            return None
+        """The commit log; None before the first commit.  A log that cannot be read is an error."""
+        return read_if_present(self.spark, f"{self.root}/_commits", COMMITS)
 
     def latest(self) -> int | None:
         done = self.committed_batches()
-        if done is None:
-            return None
-        row = done.agg(F.max("version")).first()
-        return None if row is None else row[0]
+        return None if done is None else done.agg(F.max("version")).first()[0]
+
+    def holds(self, batch_id: int, query_id: str) -> bool:
+        done = self.committed_batches()
+        return done is not None and not done.filter(
+            (F.col("batch_id") == batch_id) & (F.col("query_id") == query_id)).isEmpty()
 
     def read(self) -> Normalised | None:
         done = self.committed_batches()
         if done is None:
             return None
-        ids = done.select(F.col("batch_id").cast("long").alias("batch_id")).distinct()
-        t = {name: self.spark.read.parquet(f"{self.root}/{name}")
-             .withColumn("batch_id", F.col("batch_id").cast("long"))
-             .join(ids, "batch_id", "left_semi").drop("batch_id")
-             for name in TABLES}
-        empty = self.spark.createDataFrame([], "file_key string, level string, reason string")
-        return Normalised(t["teams"], t["players"], t["games"], t["boxscore_record"], empty)
-
-    def commit(self, tables: Normalised, batch_id: int) -> int:
+        kept = done.select("delta").distinct()
+        t = {name: self.spark.read.option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{name}")
+             .withColumn("delta", F.col("delta").cast("string")).join(kept, "delta", "left_semi").drop("delta") for name in TABLES}
+        return Normalised(t["teams"], t["players"], t["games"], t["boxscore_record"], t["rejects"])
+
+    def commit(self, tables: Normalised, batch_id: int, query_id: str) -> int:
         deltas = tables.new or {"teams": tables.teams, "players": tables.players, "games": tables.games,
                                 "boxscore_record": tables.boxscore}
+        deltas = {**deltas, "rejects": tables.rejects}
+        delta = f"b{int(batch_id)}-{hashlib.sha256(query_id.encode()).hexdigest()[:16]}"
         for name in TABLES:
-            deltas[name].write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={int(batch_id)}")
+            deltas[name].write.mode("overwrite").parquet(f"{self.root}/{name}/delta={delta}")
         v = (self.latest() or 0) + 1
-        self.spark.createDataFrame([(v, int(batch_id))], "version long, batch_id long") \
-            .write.mode("append").parquet(self._commits())
+        self.spark.createDataFrame([(v, query_id, int(batch_id), delta)], COMMITS) \
+            .write.mode("append").parquet(f"{self.root}/_commits")
         return v
 
 
-def load_batch(store: TableStore, docs: DataFrame, batch_id: int) -> None:
-    """Insert one batch of parsed documents; a batch id already committed is skipped."""
-    done = store.committed_batches()
-    if done is not None and done.filter(F.col("batch_id") == batch_id).limit(1).count() > 0:
-        return
-    current = store.read()
-    store.commit(normalise(docs, target=current), batch_id)
+def load_batch(store: TableStore, docs: DataFrame, batch_id: int, query_id: str = "") -> bool:
+    """Insert one batch of parsed documents; a batch of that query already committed is skipped (False)."""
+    if store.holds(batch_id, query_id):
+        return False
+    store.commit(normalise(docs, target=store.read()), batch_id, query_id)
+    return True
 
 
 def run_incremental(spark: SparkSession, landing: str, store_root: str, checkpoint: str,
-                    max_files_per_trigger: int | None = None) -> TableStore:
-    """Process every landing file not yet seen, in micro-batches, then stop."""
+                    max_files_per_trigger: int | None = None, layout: str = "partitioned") -> TableStore:
+    """Process every landing file not yet seen, in micro-batches, then stop.
+
+    The query is known by the id that its checkpoint holds.  After a batch is
+    committed the transform marks in ``<store_root>/_marks`` advance to its files.
+    """
     from courtline.sources.landing import read_landing_stream
 
-    store = TableStore(spark, store_root)
-    stream = read_landing_stream(spark, landing, max_files_per_trigger)
-    q = (stream.writeStream.foreachBatch(lambda df, bid: load_batch(store, df, bid))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    store, marks = TableStore(spark, store_root), MarkStore(spark, f"{store_root.rstrip('/')}/_marks")
+    stream = read_landing_stream(spark, landing, max_files_per_trigger, layout)
+
+    def batch(df: DataFrame, number: int) -> None:
+        query = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+        load_batch(store, df, number, query)
+        keys = df.select(path_season(F.col("file_key")).alias("season_code"), path_file_number(F.col("file_key")).alias("file_number"))
+        marks.advance(transform_marks(marks.read(), keys))
+
+    q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return store
 

@@ -50,15 +50,3 @@ def test_running_scan_keeps_null_groups(spark):
     got = sorted((r.uid, r.rn, r.cum) for r in running_scan(df, ["grp"], ["k", "uid"], blocks=3, row_number="rn",
                                                             exclusive_sums={"cum": "v"}).collect())
     assert got == [(1, 1, 0), (2, 2, 1), (3, 1, 0), (4, 2, 1), (5, 3, 1)]
-
-
-def test_group_scan_paths_agree(spark):
-    from courtline.operators.scan import group_scan, largest_group
-    df = spark.createDataFrame(_rows(800, 9), "grp string, k int, uid int, v int")
-    assert largest_group(df, ["grp"]) > 200
-    kw = dict(row_number="rn", exclusive_sums={"cum": "v"})
-    blocked = group_scan(df, ["grp"], ["k", "uid"], hot_rows=50, **kw)   # hot groups: range blocks
-    plain = group_scan(df, ["grp"], ["k", "uid"], **kw)                  # all groups fit a task
-    a = sorted(tuple(r) for r in blocked.select("uid", "rn", "cum").collect())
-    b = sorted(tuple(r) for r in plain.select("uid", "rn", "cum").collect())
-    assert a == b
