@@ -401,6 +401,26 @@ def q_transform_all(spark, base):
     return _summary(store.read())
 
 
+# Of every eleven documents, by game id: one is cut short, one has no referees, one a stat of a wrong type, one odd minutes.
+_FAULTY_SQL = """SELECT file_key, 'document' AS level, 'unparsable document or field of a wrong type' AS reason
+FROM all_docs WHERE id % 11 = 1 OR (id % 11 = 4 AND players > 0)
+UNION ALL SELECT file_key, 'document', 'missing Referees' FROM all_docs WHERE id % 11 = 2
+UNION ALL SELECT d.file_key, 'player line', 'minutes has no '':'''
+FROM all_docs d JOIN lineitem l ON l.l_orderkey = d.id JOIN supplier s ON s.s_suppkey = l.l_suppkey
+WHERE d.id % 50 <> 0 AND d.id % 11 = 6 AND l.l_partkey % 37 = 0"""
+
+
+def _faulty_docs(spark, base):
+    d = B.documents(spark, base)
+    body, kind = F.col("body"), F.col("game_id") % 11
+    faulty = (F.when(kind == 1, F.substring(body, F.lit(1), F.floor(F.length(body) / 2).cast("int")))
+              .when(kind == 2, F.replace(body, F.lit('"Referees"'), F.lit('"Refs"')))
+              .when(kind == 4, F.regexp_replace(body, r'"Steals":(\d+)', '"Steals":"x$1"'))
+              .when(kind == 6, F.replace(body, F.lit('"Minutes":"DNP"'), F.lit('"Minutes":"10"')))
+              .otherwise(body))
+    return NO.parse_documents(d.withColumn("body", faulty))
+
+
 def _landing_docs(spark, base):
     d = B.documents(spark, base)
     return d.select("season_code", "game_number", F.from_json("body", NO.DOCUMENT).alias("doc"))
@@ -421,6 +441,14 @@ _ALL_DOCS_SQL = {"all_docs": """SELECT g.id,
 FROM games g JOIN teams th ON th.id = g.home_team_id JOIN teams ta ON ta.id = g.away_team_id"""}
 
 
+@register("load_rejects", O.bridge_sql(_FAULTY_SQL, _ALL_DOCS_SQL))
+def q_load_rejects(spark, base):
+    """Rejects as a reader finds them in the store after a load of faulty documents."""
+    store = INC.TableStore(spark, INC.fresh_area(spark, "load_rejects"))
+    INC.load_batch(store, _faulty_docs(spark, base), 0)
+    return store.read().rejects
+
+
 @register("landing_sink", O.bridge_sql(
     "SELECT file_key, referees, home_team, away_team, home_points, away_points, players FROM all_docs",
     _ALL_DOCS_SQL))
@@ -714,7 +742,7 @@ def q_train_gbt(spark, base):
         F.lit("validation_mae").alias("metric"), "n", (F.col("_mae") < 1.1 * F.col("_base")).alias("near_mean_or_better"))
 
 
-@register("score_batch", O.features_sql(f"""SELECT player_id, CAST(season AS DOUBLE) AS season, game_number, next_game_valuation, true AS scored
+@register("score_batch", O.features_sql(f"""SELECT player_id, CAST(season AS INTEGER) AS season, game_number, next_game_valuation, true AS scored
 FROM prep WHERE season IS NOT DISTINCT FROM '{_TEST}'""", _PREP))
 def q_score_batch(spark, base):
     """Every row of the test part with its label, and that it got a finite prediction."""

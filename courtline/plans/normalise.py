@@ -45,7 +45,8 @@ PLAYER_SPAN = 1 << 32
 
 def parse_documents(raw: DataFrame, body_col: str = "body", key_col: str = "file_key") -> DataFrame:
     """``(file_key, doc)`` with the JSON body parsed by the declared schema."""
-    return raw.select(F.col(key_col).alias("file_key"), F.from_json(F.col(body_col), DOCUMENT).alias("doc"))
+    return raw.select(F.col(key_col).alias("file_key"), F.from_json(
+        F.col(body_col), DOCUMENT, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("doc"))
 
 
 def is_invalid_game(doc: F.Column) -> F.Column:
@@ -55,9 +56,10 @@ def is_invalid_game(doc: F.Column) -> F.Column:
 
 def split_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid documents, rejects).  Placeholder games are dropped silently."""
-    malformed = (F.col("doc").isNull() | F.col("doc.Referees").isNull()
-                 | (F.coalesce(F.size("doc.Stats"), F.lit(0)) < 2))
-    reason = (F.when(F.col("doc").isNull(), F.lit("unparsable document"))
+    # A value of a wrong type must not pass for a missing one, which counts as 0.
+    broken = F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull()
+    malformed = broken | F.col("doc.Referees").isNull() | (F.coalesce(F.size("doc.Stats"), F.lit(0)) < 2)
+    reason = (F.when(broken, F.lit("unparsable document or field of a wrong type"))
               .when(F.col("doc.Referees").isNull(), F.lit("missing Referees"))
               .otherwise(F.lit("fewer than two team sides")))
     rejects = docs.filter(malformed).select("file_key", F.lit("document").alias("level"), reason.alias("reason"))

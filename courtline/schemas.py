@@ -34,7 +34,6 @@ STAT_FIELD_TO_COLUMN: dict[str, str] = {
 INVALID_REFEREES = "N/D, N/D, N/D"
 # Landing layout: <prefix>/<season code>/<game number>.json
 LANDING_PREFIX = "data/boxscore_json"
-# ---------------------------------------------------------------------------
 
 # The 20 statistics averaged over the previous three games, in feature order.
 ROLLING_STATS: list[str] = [
@@ -51,6 +50,7 @@ BOX_STATS: list[str] = [
     "total_rebounds", "assists", "steals", "turnovers", "blocks_favor",
     "blocks_against", "fouls_committed", "fouls_received", "valuation", "plus_minus",
 ]
+# ---------------------------------------------------------------------------
 
 BOX_COLUMNS: list[str] = [
     "id", "player_id", "game_id", "team_id", "played_for_home", "is_starter", "seconds",
@@ -107,14 +107,6 @@ FOREIGN_KEYS: list[tuple[str, str, str]] = [
     ("boxscore_record", "team_id", "teams"),
 ]
 
-# Not-null columns of each table.
-REQUIRED_COLUMNS: dict[str, list[str]] = {
-    "teams": ["id", "name"],
-    "players": ["id", "player_code", "name"],
-    "games": ["id", "home_team_id", "away_team_id", "game_code"],
-    "boxscore_record": ["id", "player_id", "game_id", "team_id", "seconds"],
-}
-
 # Raw landing document.  Only fields the pipeline reads are declared; the
 # reader ignores the rest.
 _PLAYER_ROW = T.StructType(
@@ -137,11 +129,6 @@ _TEAM_SIDE = T.StructType([
 DOCUMENT = T.StructType([
     T.StructField("Referees", T.StringType()),
     T.StructField("Stats", T.ArrayType(_TEAM_SIDE)),
-])
-
-# High-water mark state table.
-STATE = T.StructType([
-    T.StructField("stage", T.StringType(), False),
-    T.StructField("season", T.StringType(), True),
-    T.StructField("last_id", T.LongType(), True),
+    # The text of a document that is no JSON or holds a value of another type than declared.
+    T.StructField("_corrupt_record", T.StringType()),
 ])

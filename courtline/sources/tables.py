@@ -9,12 +9,3 @@ def read_table(spark: SparkSession, base_dir: str, name: str, columns: list[str]
     """Read ``<base_dir>/<name>.parquet``; selecting columns here lets the scan prune them."""
     df = spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
-
-
-def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> str:
-    """Write a DataFrame as Parquet (optionally partitioned) and return the path."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
