@@ -45,6 +45,8 @@ LEAST_PRECISION = 0.5
 PRIOR_ROWS = 2.0
 PENALTY = 0.2
 STEPS = 400
+# A feature of at least this support and weight, and hardly ever in other texts, may convince alone.
+ALONE_SUPPORT, ALONE_WEIGHT, ALONE_OTHERS = 20, 1.0, 0.01
 CACHE_ENTRIES = 300_000
 CACHE_CHARS = 64
 
@@ -273,9 +275,10 @@ def fit(sample: DataFrame, counts: np.ndarray) -> Model:
         return model
     prior = toxic / total
     per = seen.select("label", F.explode("features").alias("f")).groupBy("f").agg(
-        F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
-    telling = per.filter((F.col("toxic") >= LEAST_SUPPORT)
-                         & ((F.col("toxic") + PRIOR_ROWS * prior) / (F.col("n") + PRIOR_ROWS) >= LEAST_PRECISION))
+        F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n")).select("f", "toxic", "n")
+    telling = stored(per.filter((F.col("toxic") >= LEAST_SUPPORT)
+                                & ((F.col("toxic") + PRIOR_ROWS * prior) / (F.col("n") + PRIOR_ROWS) >= LEAST_PRECISION)),
+                     "toxic-telling")
     # The sampled rows that hold a candidate, and the candidates they hold: bounded by the sample.
     held = seen.select("id", "label", F.explode("features").alias("f")).join(telling.select("f"), "f") \
         .groupBy("id", "label").agg(F.sort_array(F.collect_list("f")).alias("fs")).toPandas().sort_values("id")
@@ -288,6 +291,12 @@ def fit(sample: DataFrame, counts: np.ndarray) -> Model:
     label[len(held):len(held) + int(toxic - held["label"].sum())] = 1
     weights, model.base = _logistic(rows_, cols, label, len(names))
     model.lexicon = {f: float(x) for f, x in zip(names, weights) if x > 1e-3}
+    # Toxic texts mostly hold several telling words, which share the weight that one of them deserves on its own.
+    for f, t, n in telling.filter(
+            (F.col("toxic") >= ALONE_SUPPORT) & (F.col("n") - F.col("toxic") <= ALONE_OTHERS * F.col("toxic"))).collect():
+        if model.lexicon.get(f, 0.0) >= ALONE_WEIGHT:
+            odds = np.log((t + PRIOR_ROWS * prior) / (n - t + PRIOR_ROWS * (1 - prior)))
+            model.lexicon[f] = max(model.lexicon[f], float(odds) - model.base)
     return model
 
 
