@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from courtline.session import scratch_path
 
 # ASCII blanks and the words between them, as every operator here counts words.
-BLANK = r"[\x20\x09-\x0D]+"
+_BLANKS = "\t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -80,8 +80,8 @@ def map_texts(df: DataFrame, keep: Sequence[str], text: str, outputs: dict[str,
 def words(text: str | Column) -> Column:
     """Array of ASCII-lower-cased words of a text; null and blank texts give an empty array."""
     text = F.col(text) if isinstance(text, str) else text
-    flat = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower()), BLANK, " "))
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
+    flat = F.translate(F.coalesce(text, F.lit("")), _BLANKS + UPPER, " " * len(_BLANKS) + UPPER.lower())
+    return F.array_remove(F.split(flat, " "), "")
 
 
 def running(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], spread: Column, *,

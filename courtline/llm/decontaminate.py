@@ -26,6 +26,8 @@ SIMILARITY = 0.8
 # At similarity 0.8 two weighted SimHashes differ by 9.7 of 64 bits in the mean, with deviation 2.9: three deviations on.
 RADIUS = 18
 BLOCK_BITS = 7
+# Distinct benchmark shingles, 24 bytes each, up to which they are broadcast; beyond, they are joined by a shuffle.
+MOST_BROADCAST_ANCHORS = 1_000_000
 
 
 def _shingle_at(w: Column | str, at: Column, k: int) -> Column:
@@ -79,7 +81,8 @@ def matches(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str
     rows with equal key and text count once, null keys are reported as null,
     equal items are reported each.  Either table may be empty.
 
-    ``items`` is the benchmark; nothing assumes that it fits a broadcast.
+    ``items`` is the benchmark.  Its distinct shingles are counted, and broadcast
+    only up to ``MOST_BROADCAST_ANCHORS``.
     """
     own = items.select(F.col(item_key).alias("item"), words(text).alias("w")).filter(F.size("w") > 0)
     own = own.withColumn("size", F.size("w")).withColumn("k", F.least(F.lit(shingle), "size"))
@@ -99,23 +102,29 @@ def matches(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str
     item_shingles = stored(item_shingles, "bench-shingles")
     anchors = stored(item_shingles.select("k", "h", "size").distinct(), "bench-anchors")
 
-    # One pass over all shingles of all documents, kept inside one generated loop up to the join.
+    # One pass over all shingles of all documents, kept inside one generated loop up to the join with the anchors.
+    small = anchors.count() <= MOST_BROADCAST_ANCHORS
+    start = F.greatest(F.lit(0), F.least("p", F.col("n") - F.col("size")))
+    window = F.slice("w", F.col("start") + 1, F.col("size"))
     found = None
     for k in lengths:
         at = src.select("id", "text_hash", "w", F.size("w").alias("n"), F.posexplode("w").alias("p", "word")) \
             .filter(F.col("p") <= F.col("n") - k).select(
-                "id", "text_hash", "n", "p", _shingle_at("w", F.col("p"), k).alias("h"))
-        hit = at.join(anchors.filter(F.col("k") == k).select("h", "size"), "h")
+                "id", "text_hash", *(["w"] if small else []), "n", "p", _shingle_at("w", F.col("p"), k).alias("h"))
+        own_k = anchors.filter(F.col("k") == k).select("h", "size")
+        hit = at.join(F.broadcast(own_k) if small else own_k, "h").withColumn("start", start)
+        hit = hit.select("id", "text_hash", "size", "start", *([window.alias("w")] if small else []))
         found = hit if found is None else found.unionAll(hit)
-    start = F.greatest(F.lit(0), F.least("p", F.col("n") - F.col("size")))
-    spots = stored(found.select("id", "text_hash", "size", start.alias("start")).distinct(), "bench-spots")
-
-    # The documents that hold a spot come once more, for the words of their windows.
-    held = spots.select(F.col("id").alias("i"), F.col("text_hash").alias("t")).distinct()
-    some = src.join(held, (F.col("id").eqNullSafe(F.col("i"))) & (F.col("text_hash") == F.col("t")), "left_semi") \
-        .dropDuplicates(["id", "text_hash"]).select(F.col("id").alias("i"), F.col("text_hash").alias("t"), "w")
-    windows = spots.join(some, (F.col("id").eqNullSafe(F.col("i"))) & (F.col("text_hash") == F.col("t"))).select(
-        "id", "text_hash", "size", "start", F.slice("w", F.col("start") + 1, F.col("size")).alias("w"))
+    windows = found.distinct()
+    if not small:
+        # Too many anchors to broadcast: the shuffle must not carry texts with every shingle, so the documents that
+        # hold a spot come a second time for the words of their windows.
+        spots = stored(windows, "bench-spots")
+        held = spots.select(F.col("id").alias("i"), F.col("text_hash").alias("t")).distinct()
+        some = src.join(held, (F.col("id").eqNullSafe(F.col("i"))) & (F.col("text_hash") == F.col("t")), "left_semi") \
+            .dropDuplicates(["id", "text_hash"]).select(F.col("id").alias("i"), F.col("text_hash").alias("t"), "w")
+        windows = spots.join(some, (F.col("id").eqNullSafe(F.col("i"))) & (F.col("text_hash") == F.col("t"))).select(
+            "id", "text_hash", "size", "start", window.alias("w"))
     windows = stored(windows.withColumn("window", F.monotonically_increasing_id()), "bench-windows")
     parts = [windows.select("window", "size", "w", F.least(F.lit(shingle), "size").alias("k"), F.size("w").alias("n"))
              .filter(F.col("k") == k).filter(F.col("n") >= k).select(

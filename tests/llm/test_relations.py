@@ -99,7 +99,9 @@ def plain_matches(docs, items, least=0.8):
     return {(k, i, s) for (k, i), (s, _) in out.items()}
 
 
-def test_benchmark_windows_by_brute_force(spark, docs_of):
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_benchmark_windows_by_brute_force(spark, docs_of, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST_ANCHORS", most)
     r = random.Random(4)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(3))
     items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([50, 30, 60, 12, 3, 1])]
