@@ -30,9 +30,11 @@ from pyspark.sql.types import LongType
 
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_200_000
 CACHE_CHARS = 64
 INNER, UNSURE, WHOLE = 0, 1, 2
+# Signs that never belong to a contraction or a special token.
+_TAIL = ".,;:!?|&$#%*()-\""
 _TWO_BLANKS = re.compile(r"\s\s|^\s|\s$")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -44,6 +46,28 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class _Later(dict):
+    """Steps of pieces that follow a single space, the space included; a piece that is not there is worked out and kept."""
+
+    def __init__(self, counter: "PrefixCounter"):
+        super().__init__()
+        self.counter = counter
+
+    def __missing__(self, piece: str) -> bytes:
+        body = piece.rstrip(_TAIL)
+        if not body.isalpha():
+            out = self.counter._span(" " + piece)
+        elif len(body) < len(piece):  # letters and signs are pre-tokens of their own
+            out = self[body] + self.counter._pre_token(piece[len(body):])
+        else:
+            out = self.counter._worked_out(" " + piece)
+        if len(piece) <= CACHE_CHARS:
+            if len(self) > CACHE_ENTRIES:
+                self.clear()
+            self[piece] = out
+        return out
+
+
 class PrefixCounter:
     """Token counts of all prefixes under one byte-level BPE vocabulary (a tokenizers JSON file's bytes)."""
 
@@ -71,8 +95,7 @@ class PrefixCounter:
         self.edges: dict[tuple[bytes, int], list[tuple[bytes, float]]] = {}
         self.fits: dict[tuple[bytes, bytes], bool] = {}
         self.tokens: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.later = _Later(self)
 
     # -- merges ---------------------------------------------------------------
 
@@ -106,7 +129,7 @@ class PrefixCounter:
                     r = rank((a, b))
                     if r is not None and r < ta and r <= tb:
                         known = False
-            if len(self.fits) > 4 * CACHE_ENTRIES:
+            if len(self.fits) > CACHE_ENTRIES:
                 self.fits.clear()
             self.fits[left, right] = known
         return known
@@ -129,10 +152,18 @@ class PrefixCounter:
     # -- prefixes ---------------------------------------------------------------
 
     def _pre_token(self, piece: str) -> bytes:
-        """Steps of one pre-token, one signed byte per character."""
+        """Steps of one pre-token, one signed byte per character, remembered."""
         known = self.tokens.get(piece)
-        if known is not None:
-            return known
+        if known is None:
+            known = self._worked_out(piece)
+            if len(piece) <= CACHE_CHARS:
+                if len(self.tokens) > CACHE_ENTRIES // 8:
+                    self.tokens.clear()
+                self.tokens[piece] = known
+        return known
+
+    def _worked_out(self, piece: str) -> bytes:
+        """Steps of one pre-token, by the dynamic program."""
         data = piece.encode("utf-8")
         n, kind, fits, stays = len(data), self.kind.get, self.fits.get, self._pair_stays
         last, count = [b""] * (n + 1), [0] * (n + 1)
@@ -156,10 +187,6 @@ class PrefixCounter:
         else:
             ends = [0, *itertools.accumulate(len(c.encode("utf-8")) for c in piece)]
             steps = bytearray((count[b] - count[a]) & 255 for a, b in zip(ends, ends[1:]))
-        if len(piece) <= CACHE_CHARS:
-            if len(self.tokens) > CACHE_ENTRIES:
-                self.tokens.clear()
-            self.tokens[piece] = bytes(steps)
         return bytes(steps)
 
     def _span(self, text: str) -> bytes:
@@ -211,21 +238,7 @@ class PrefixCounter:
     def _plain(self, text: str) -> bytes:
         """Steps of a text without special tokens, by cached pieces."""
         pieces = text.split(" ") if not _TWO_BLANKS.search(text) else _INNER_SPACE.split(text)
-        parts = [self._remembered(pieces[0], self.first, "")]
-        parts += map(self.later.get, pieces[1:])
-        if None in parts:
-            parts = [self._remembered(p, self.later, " ") if s is None else s for p, s in zip(pieces, parts)]
-        return b"".join(parts)
-
-    def _remembered(self, piece: str, cache: dict[str, bytes], lead: str) -> bytes:
-        known = cache.get(piece)
-        if known is None:
-            known = self._span(lead + piece)
-            if len(piece) <= CACHE_CHARS:
-                if len(cache) > CACHE_ENTRIES:
-                    cache.clear()
-                cache[piece] = known
-        return known
+        return self._span(pieces[0]) + b"".join(map(self.later.__getitem__, pieces[1:]))
 
     def steps(self, text: str | None) -> bytes:
         """One signed byte per character of ``text``: the count of the prefix it ends, less that of the prefix before."""
