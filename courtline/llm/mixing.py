@@ -5,7 +5,8 @@ which is read round and round and cut into blocks of equal word counts.  A
 schedule of slots visits the sources: slot k's golden-ratio point falls into
 one source's stretch of the cumulative targets, so every run of slots is close
 to the target mixture.  The r-th slot of a source takes the r-th block of its
-tape, an equi-join, until the source's target is met.
+tape, an equi-join, until the source's target is met.  A source whose blocks
+outnumber its slots gets the missing slots at the end of the schedule.
 """
 
 from __future__ import annotations
@@ -76,6 +77,24 @@ def slots(spark, sources: DataFrame, n: int) -> DataFrame:
     return running(stored(placed, "mix-points"), ["source_no"], [], F.col("slot") * F.lit(scale), index="rank")
 
 
+def schedule_of(spark, sources: DataFrame, n: int, block: int = BLOCK_WORDS) -> DataFrame:
+    """``slots``, and after them one slot for each block of ``sources(.., wanted)`` that drew none.
+
+    Blocks are rounded up per source and points only come close to the shares,
+    so small sources may draw fewer slots than they have blocks.  The added slots
+    of a source are spread evenly over the end of the schedule, in rank order.
+    """
+    drawn = stored(slots(spark, sources, n), "mix-slots")
+    have = drawn.groupBy("source_no").agg(F.count(F.lit(1)).alias("have"))
+    owed = sources.select("source_no", F.ceil(F.col("wanted") / block).alias("need")).join(have, "source_no", "left") \
+        .withColumn("have", F.coalesce("have", F.lit(0).cast("long"))).filter("need > have")
+    missing = owed.select("source_no", "have", "need", F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("rank"))
+    begin = F.pmod(F.xxhash64("source_no"), F.lit(2 ** 20)) / 2 ** 20
+    at = (F.col("rank") - F.col("have") + begin) / (F.col("need") - F.col("have"))
+    late = running(stored(missing, "mix-missing"), [], ["source_no", "rank"], F.floor(at * 2.0 ** 62), index="late")
+    return drawn.unionByName(late.select((F.col("late") + n).alias("slot"), "source_no", "rank"))
+
+
 def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: Sequence[float] = WEIGHTS, most: int = MOST_REPEATS, block: int = BLOCK_WORDS,
         seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -102,8 +121,8 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     wanted = F.round("target").cast("long")
     words = sources.agg(F.sum(wanted)).first()[0] or 0
     n = -(-words // block)
-    # A few spare slots, so that sources of some hundred blocks are never short of one; each stops at its target.
-    schedule = slots(spark, sources, n + n // 64 + 64) if words else None
+    # A few spare slots, so that hardly any source is short of one; each stops at its target.
+    schedule = schedule_of(spark, sources.withColumn("wanted", wanted), n + n // 64 + 64, block) if words else None
 
     by_source = sized.alias("d").join(
         sources.select(F.col("source").alias("s"), "source_no", "source_size", "target", wanted.alias("wanted")),

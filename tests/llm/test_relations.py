@@ -171,6 +171,23 @@ def test_mixture(spark, docs_of):
     assert [x.taken for x in wordless.collect()] == [0, 0]
 
 
+def test_mixture_takes_every_word_it_owes(spark, docs_of):
+    r = random.Random(12)
+    rows = [(i, " ".join("w" for _ in range(500)), "en", "hot") for i in range(200)]
+    rows += [(1000 + i, " ".join("w" for _ in range(r.randrange(1, 50))), "en", f"s{i % 400}") for i in range(800)]
+    mixed, pieces = mixing.mix(docs_of(rows).withColumn("of", F.col("source")))
+    source = {i: s for i, _, _, s in rows}
+    size, taken, target = {}, {}, {}
+    for x in mixed.collect():
+        s = source[x.doc_id]
+        size[s] = size.get(s, 0) + x["size"]
+        taken[s], target[s] = taken.get(s, 0) + x.taken, x.target
+    assert sum(z < 100 for z in size.values()) > 300
+    assert {s: t - int(np.floor(target[s] + 0.5)) for s, t in taken.items()} == dict.fromkeys(size, 0)
+    got = pieces.collect()
+    assert len({(x.source_no, x["rank"]) for x in got}) == len({x.slot for x in got})
+
+
 def test_schedule_is_spread_evenly(spark):
     sources = spark.createDataFrame([("a", 0, 50.0), ("b", 1, 30.0), ("c", 2, 20.0)], "source string, source_no int, target double")
     rows = sorted(mixing.slots(spark, sources, 2000).collect(), key=lambda x: x.slot)
