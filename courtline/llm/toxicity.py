@@ -51,11 +51,25 @@ CACHE_ENTRIES = 300_000
 CACHE_CHARS = 64
 
 _SYMBOL = {c: i + 1 for i, c in enumerate(LETTERS)}
-_EDGE = re.compile(r"^[^\w@$!|+€£(*#]+|[^\w@$!|+€£)*#]+$")
-_LONG_EDGE = re.compile(r"^([^\w])\1{2,}|([^\w])\2{2,}$|[!()*#|+]+$|^[(*#|+]+")
+# Options of a character that stands once, and of a letter's second in a row.
+_OPTIONS = {c: [(c, 0.0)] for c in LETTERS} | {
+    c: [*((x, SUBSTITUTED) for x in letters), (c, KEPT_SYMBOL), ("", DROPPED_DIGIT if c.isdigit() else DROPPED_SYMBOL)]
+    for c, letters in LOOKALIKES.items()}
+_AGAIN = {c: [(c, 0.0), ("", DROPPED_REPEAT)] for c in LETTERS}
+_MARKS = re.escape("".join(c for c in LOOKALIKES if not c.isdigit()))
+_EDGE = re.compile(rf"^[^\w{_MARKS}]+|[^\w{_MARKS}]+$")
+# Marks at a token's edges that may as well be punctuation: it is decoded with and without them.
+_FRONT = re.compile(rf"^[\W_]*?(?:([^\w])\1{{2,}}|[{_MARKS}]+)[^\w{_MARKS}]*")
+_BACK = re.compile(rf"[^\w{_MARKS}]*(?:([^\w])\1{{2,}}|[{_MARKS}]+)[^\w{_MARKS}]*$")
 _PARTS = re.compile(r"[^\W\d_]+")
-_REPEAT = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(r"(?<![^\W_])(?:[^\W_@$!|][ .\-_*]{1,2}|[@$!|][ .\-_*]{1,2}){2,}[^\W_](?![^\W_])")
+_REPEAT = re.compile(r"([^\W\d_])\1")
+_MARK = re.compile(rf"[{_MARKS}]")
+_LOOKALIKE = re.compile(f"[{re.escape(''.join(LOOKALIKES))}]")
+# Three or more single or doubled characters or marks, anything but letters and digits between them.
+_SPACED = re.compile(rf"(?<![^\W_])(?:(?:([^\W_])\1?(?![^\W_])|[{_MARKS}])(?:[^\w{_MARKS}]|_)*){{3,}}")
+_ONLY_MARKS = re.compile(rf"[{_MARKS}]+")
+# What a mark in a spaced stretch may be.
+GAPS, LETTERS_ONLY, EITHER = "gaps", "letters", "either"
 
 
 _TABLE = np.full(0x250, OTHER, np.uint8)
@@ -115,60 +129,90 @@ class Restorer:
     def __init__(self, log_probs: np.ndarray):
         self.rows = log_probs.tolist()
         self.known: dict[str, tuple[str, ...]] = {}
+        self.spaced: dict[str, tuple[str, ...]] = {}
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
-        """The likeliest string: each position gives one of its options, a character or nothing."""
+        """The likeliest string: each position gives one of its options, a character or nothing.
+
+        What comes before the first choice, and what follows the last one once
+        all paths share a state, costs every path the same and is not walked.
+        """
         rows = self.rows
-        states: dict[tuple[int, int], tuple[float, tuple]] = {(OTHER, BREAK): (0.0, ())}
-        for options in [*lattice, [(" ", 0.0)]]:
+        open_ = [i for i, options in enumerate(lattice) if len(options) > 1]
+        if not open_:
+            return "".join([o[0][0] for o in lattice]).strip()
+        start, last = "".join([o[0][0] for o in lattice[:open_[0]]]), open_[-1]
+        a, b = [OTHER, BREAK, *[BREAK if c == " " else _SYMBOL.get(c, OTHER) for c in start[-2:]]][-2:]
+        states: dict[tuple[int, int], tuple[float, tuple]] = {(a, b): (0.0, ((), start))}
+        rest = ""
+        for i in range(open_[0], len(lattice) + 1):
+            if i > last and len(states) == 1:
+                rest = "".join([o[0][0] for o in lattice[i:]])
+                break
+            options = [(out, BREAK if out == " " else _SYMBOL.get(out, OTHER), p) for out, p in lattice[i]] \
+                if i < len(lattice) else [(" ", BREAK, 0.0)]
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (a, b), (cost, path) in states.items():
                 row = rows[a][b]
-                for out, p in options:
-                    if not out:
-                        state, total, new = (a, b), cost + p, path
-                    else:
-                        c = BREAK if out == " " else _SYMBOL.get(out, OTHER)
+                for out, c, p in options:
+                    if out:
                         state, total, new = (b, c), cost + p + row[c], (path, out)
+                    else:
+                        state, total, new = (a, b), cost + p, path
                     best = after.get(state)
                     if best is None or total > best[0]:
                         after[state] = (total, new)
             states = after
-        path, out = max(states.values(), key=lambda x: x[0])[1], []
+        path, out = max(states.values(), key=lambda x: x[0])[1], [rest]
         while path:
             path, c = path
             out.append(c)
         return "".join(reversed(out)).strip()
 
     @staticmethod
-    def lattice(stretch: str, spaced: bool) -> list[list[tuple[str, float]]]:
-        """Options of each character of a stretch; ``spaced`` lets gaps close."""
+    def lattice(stretch: str, spaced: bool, marks: str = LETTERS_ONLY) -> list[list[tuple[str, float]]]:
+        """Options of each character of a stretch; ``spaced`` lets gaps close, ``marks`` says what its look-alike marks may be."""
         out: list[list[tuple[str, float]]] = []
-        run = 0
-        for i, c in enumerate(stretch):
-            run = run + 1 if i and stretch[i - 1] == c else 1
-            if spaced and c in " .-_*":
-                out.append([("", CLOSED_GAP), (" ", KEPT_GAP)] if stretch[i - 1] not in " .-_*" else [("", 0.0)])
-            elif c in _SYMBOL:
-                out.append([(c, 0.0)] if run < 2 else [(c, KEPT_REPEAT if run > 2 else 0.0), ("", DROPPED_REPEAT)])
-            elif c in LOOKALIKES:
-                out.append([(x, SUBSTITUTED) for x in LOOKALIKES[c]] + [
-                    (c, KEPT_SYMBOL), ("", DROPPED_DIGIT if c.isdigit() else DROPPED_SYMBOL)])
+        before, run, gap = "", 0, False
+        for c in stretch:
+            run = run + 1 if c == before else 1
+            before = c
+            if spaced and not c.isalnum():
+                mark = c in LOOKALIKES
+                closing = [("", 0.0)] if gap else [("", CLOSED_GAP), (" ", KEPT_GAP)]
+                if not mark or marks == GAPS:
+                    out.append(closing)
+                    gap = True
+                    continue
+                if marks == EITHER:
+                    out.append([(x, SUBSTITUTED) for x in LOOKALIKES[c]] + closing)
+                    continue
+            gap = False
+            if run > 1 and c in _SYMBOL:
+                out.append(_AGAIN[c] if run == 2 else [(c, KEPT_REPEAT), ("", DROPPED_REPEAT)])
             else:
-                out.append([(c, 0.0)])
+                out.append(_OPTIONS.get(c) or [(c, 0.0)])
         return out
 
+    @staticmethod
+    def cores(token: str) -> list[str]:
+        """A token without punctuation around it, with and without the look-alike marks at either edge."""
+        core = _EDGE.sub("", token)
+        if core.isalnum():
+            return [core]
+        front = dict.fromkeys((core, _FRONT.sub("", core, count=1)))
+        return [c for c in dict.fromkeys(x for f in front for x in (f, _BACK.sub("", f, count=1))) if c]
+
     def words(self, token: str) -> tuple[str, ...]:
-        """The letter runs of one blank-free, lower-case token, as it is and, where it looks obfuscated, restored."""
+        """The letter runs of one blank-free, lower-case token, as it is and, where it may be obfuscated, restored."""
         known = self.known.get(token)
         if known is not None:
             return known
         found = _PARTS.findall(token)
-        core = _EDGE.sub("", token)
-        if found and (_REPEAT.search(core) or not core.isalpha()):
-            bare = _LONG_EDGE.sub("", core)
-            if _REPEAT.search(bare) or any(c in LOOKALIKES for c in bare) and not bare.isalpha():
-                found += _PARTS.findall(self.decode(self.lattice(bare, False)))
+        if _REPEAT.search(token) or not token.isalpha():
+            for core in self.cores(token):
+                if _REPEAT.search(core) or _LOOKALIKE.search(core):
+                    found += _PARTS.findall(self.decode(self.lattice(core, False)))
         out = tuple(dict.fromkeys(found))
         if len(token) <= CACHE_CHARS:
             if len(self.known) > CACHE_ENTRIES:
@@ -177,10 +221,24 @@ class Restorer:
         return out
 
     def spaced_words(self, text: str) -> list[str]:
-        """Words hidden in runs of single characters with gaps between them."""
+        """Words hidden in runs of single or doubled characters with gaps between them."""
         out: list[str] = []
         for m in _SPACED.finditer(text):
-            out += _PARTS.findall(self.decode(self.lattice(m[0], True)))
+            stretch = m[0].strip()
+            if _ONLY_MARKS.fullmatch(stretch):
+                continue  # a part of one token
+            known = self.spaced.get(stretch)
+            if known is None:
+                found: list[str] = []
+                for core in self.cores(stretch):
+                    for marks in (GAPS, LETTERS_ONLY, EITHER) if _MARK.search(core) else (GAPS,):
+                        found += _PARTS.findall(self.decode(self.lattice(core, True, marks)))
+                known = tuple(dict.fromkeys(found))
+                if len(stretch) <= CACHE_CHARS:
+                    if len(self.spaced) > CACHE_ENTRIES:
+                        self.spaced.clear()
+                    self.spaced[stretch] = known
+            out += known
         return out
 
     def restored(self, text: str) -> set[str]:

@@ -273,6 +273,17 @@ def test_toxicity_without_labels(spark, docs_of):
     assert toxicity.score(spark.createDataFrame([], DOCS), empty).count() == 0
 
 
+def test_every_obfuscation_of_the_lattice_reaches_it():
+    texts = [t for _, t in toxic_corpus()[0]] + ["what a stupid clown with trash and an ass", "stupid clown", "trash ass"] * 40
+    restorer = toxicity.Restorer(toxicity.char_model(toxicity.trigram_counts(texts)))
+    hidden = {"stuupid": "stupid", "iiddiioott": "idiot", "mmoorroonn": "moron", "(lown": "clown", "+rash": "trash", "|diot": "idiot",
+              "@$$": "ass", "i/d/i/o/t": "idiot", "i,d,i,o,t": "idiot", "i\td\ti\to\tt": "idiot", "i\nd\ni\no\nt": "idiot",
+              "i   d   i   o   t": "idiot", "ii dd ii oo tt": "idiot", "i|d|i|o|t": "idiot", "i*d*i*o*t": "idiot", "@ $ $": "ass",
+              "((lown)": "clown", "m . 0 . r . 0 . n": "moron", "(i d i o t)": "idiot", "idiot!": "idiot"}
+    for h, word in hidden.items():
+        assert word in restorer.restored(f"walks towards {h} fields"), (h, restorer.restored(h))
+
+
 def test_viterbi_finds_the_likeliest_string():
     """Against enumeration of all paths through small lattices."""
     from itertools import product
