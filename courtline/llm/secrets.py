@@ -1,6 +1,7 @@
 """Secret scan with a random forest against false positives.
 
-Long strings with digits are findings.  A forest, trained on labelled
+Long strings with digits and values assigned to a secret's name, whatever
+their length and signs, are findings.  A forest, trained on labelled
 findings, tells secrets from addresses, numbers, paths and identifiers by
 length, character transitions, dictionary coverage, path signs and the
 neighbouring words.  Transition and word counts cover all texts; only the
@@ -36,7 +37,11 @@ TREES, DEPTH, SEED = 30, 6, 7
 _RUN = re.compile(r"[A-Za-z0-9+/_\-.@=:]{%d,}" % LEAST_LENGTH)
 _DIGIT = re.compile(r"\d")
 # Names before an assigned secret, and the form of one provider's key ids.
-_ASSIGNED = re.compile(r"(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s*[=:]\s*[\"']?$", re.I)
+_NAMES = r"(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key|auth)[\"']?"
+_ASSIGNED = re.compile(_NAMES + r"\s*[=:]\s*[\"']?$", re.I)
+_NAME, _LONGEST_NAME, _SIGN = re.compile(_NAMES + "$", re.I), 11, re.compile("[=:]")
+# An assigned value: quoted, up to the same quote on its line (escapes included), or else up to the next blank.
+_VALUE = re.compile(r"\s*(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|[\"']?([^\s\"']\S*))")
 _PROVIDER = re.compile(r"AKIA[A-Z0-9]{16}")
 # Forms that are never secrets.
 _HARMLESS = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}|[\d.\-+/:]+|[\w.+\-]+@[\w\-]+(?:\.[\w\-]+)+|https?://.*|(?:/[\w.\-]+)+/?", re.I)
@@ -103,12 +108,39 @@ def describe(text: str, start: int, end: int, table: np.ndarray, known: frozense
         float(bool(right) and re.sub(r"[^a-z]", "", right[0].lower()) in known), *neighbour]
 
 
+def assigned(text: str) -> list[tuple[int, int, int]]:
+    """(name, start, end) of values behind a secret's name, without quotes and the signs that close a clause behind a bare value."""
+    out, at = [], 0
+    for sign in _SIGN.finditer(text):
+        behind = sign.start()
+        if behind < at:
+            continue
+        while behind > at and text[behind - 1].isspace():
+            behind -= 1
+        name = _NAME.search(text, max(at, behind - _LONGEST_NAME), behind)
+        value = name and _VALUE.match(text, sign.end())
+        if not value:
+            continue
+        start, at = value.span(value.lastindex)
+        if value.lastindex == 3:
+            while at > start + 1 and text[at - 1] in "\"',;)]}":
+                at -= 1
+        out.append((name.start(), start, at))
+    return out
+
+
 def spans(text: str) -> list[tuple[int, int]]:
-    """Findings of a text: long runs with a digit, without the name that an assignment puts before them."""
-    out = []
+    """Findings of a text, in order: assigned values, and long runs with a digit outside of them, without an assignment's name."""
+    sure = assigned(text)
+    out, at = [(start, end) for _, start, end in sure], 0
     for m in _RUN.finditer(text):
         start, end = m.span()
         value = m[0]
+        while at < len(sure) and sure[at][2] <= start:
+            at += 1
+        if at < len(sure) and sure[at][1] < end:  # the name, if inside, ends what stands before it
+            end = max(start, sure[at][0])
+            value = text[start:end]
         cut = max(value.rfind("=", 0, len(value.rstrip("=")) or 1), -1)
         if cut >= 0:
             start += cut + 1
@@ -116,7 +148,7 @@ def spans(text: str) -> list[tuple[int, int]]:
             end -= 1
         if end - start >= LEAST_LENGTH and _DIGIT.search(text, start, end):
             out.append((start, end))
-    return out
+    return sorted(out)
 
 
 def rule_label(text: str, start: int, end: int) -> int | None:

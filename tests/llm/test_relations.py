@@ -303,6 +303,20 @@ def test_viterbi_finds_the_likeliest_string():
         assert restorer.decode(lattice) == "".join(o for o, _ in best)
 
 
+def test_assigned_values_are_findings_whatever_their_form():
+    cases = {'password = "hunter2" and more': "hunter2", "token: correcthorsebatterystaple next": "correcthorsebatterystaple",
+             "pwd='a b c!' x": "a b c!", "secret=p$s&w~rd!%?x, then": "p$s&w~rd!%?x", "api_key=abc": "abc",
+             'export API-KEY="ab\\"cd" x': 'ab\\"cd', "{'password': 'open sesame'}": "open sesame", "auth=x": "x",
+             "password=0123456789abcdef01 x": "0123456789abcdef01", 'token = "0123456789abcdef"': "0123456789abcdef"}
+    for text, value in cases.items():
+        got = secrets.spans(text)
+        assert [text[a:b] for a, b in got] == [value], text
+        assert secrets.rule_label(text, *got[0]) == 1, text
+    both = "x9y8z7w6v5u4t3:password:abc 0123456789abcdef"
+    assert [both[a:b] for a, b in secrets.spans(both)] == ["x9y8z7w6v5u4t3", "abc", "0123456789abcdef"]
+    assert secrets.spans("password hunter2, token ring; the secret is out") == []
+
+
 def test_secret_scan(spark, docs_of):
     r = random.Random(6)
     hexed = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
