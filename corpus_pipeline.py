@@ -38,14 +38,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: every document as often as the mix takes it, in whole copies (its taken words over its size, rounded).
 
     A tape is cut within one document at most, and only there does rounding
-    differ from the words taken.  Documents that the mix does not take are out.
+    differ from the words taken, by half that document's size at most.  Where it
+    is all that a source gives and would be rounded away, one copy stays.
+    Documents that the mix does not take are out.
     """
     ship(spark)
     mixed, _ = mixing.mix(docs)
     # Halves round up; a document without words is never taken.
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
     mixed = stored(mixed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("copy").alias("_copy"),
-                                copies.alias("_copies")).filter("_copies > 0"), "mix-copies")
+                                copies.alias("_copies"), "source_no", "taken").filter("taken > 0"), "mix-copies")
+    kept, cut = mixed.filter("_copies > 0"), mixed.filter("_copies = 0")  # at most one cut document a source
+    alone = cut.join(kept.select("source_no").distinct(), "source_no", "left_anti").withColumn("_copies", F.lit(1))
+    mixed = kept.unionByName(alone).drop("source_no", "taken")
     same = Window.partitionBy("doc_id", "_text").orderBy("source")
     numbered = docs.withColumn("_text", F.xxhash64("text")).withColumn("_same", F.row_number().over(same) - 1)
     joined = numbered.join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_text").eqNullSafe(F.col("_hash"))

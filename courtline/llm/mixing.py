@@ -100,7 +100,7 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
         seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """The mixture of ``docs``: what each document gives, and the schedule.
 
-    First (key, text_hash, copy, size, source_size, target, taken) per row:
+    First (key, text_hash, copy, size, source_no, source_size, target, taken) per row:
     ``taken`` counts the words that the mix takes, repeats included; ``copy``
     numbers rows of equal key and text from 0.  Then (slot, source_no, rank,
     row, words) per piece of a block, ``row`` a row number.
@@ -150,4 +150,4 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
 def _numbered(mixed: DataFrame, key: str) -> DataFrame:
     same = Window.partitionBy("id", "text_hash").orderBy("source", "row")
     return mixed.withColumn("copy", F.row_number().over(same) - 1).select(
-        F.col("id").alias(key), "text_hash", "copy", "size", "source_size", "target", "taken")
+        F.col("id").alias(key), "text_hash", "copy", "size", "source_no", "source_size", "target", "taken")

@@ -73,3 +73,10 @@ def test_pipeline(spark, tmp_area):
         assert slots == list(range(len(slots)))
     again = corpus_pipeline.run(spark, tmp_area).collect()
     assert sorted((str(x.doc_id), x.shard) for x in again) == sorted((str(x.doc_id), x.shard) for x in last)
+
+
+def test_no_source_is_rounded_away(spark, docs_of, tmp_area):
+    rows = [(i, " ".join(["w"] * 10), "en", "ab"[i % 2]) for i in range(80)] + [(900, " ".join(["long"] * 1000), "en", "c")]
+    got = [x.source for x in corpus_pipeline.mix_sources(spark, docs_of(rows), tmp_area).collect()]
+    assert got.count("c") == 1
+    assert (10 * got.count("a"), 10 * got.count("b")) == (1130, 450)
