@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import cover_tree, decontaminate, langid, mixing, secrets, sharding, simhash, token_binary, token_counts, toxicity
+from courtline.llm import cover_tree, decontaminate, langid, mixing, ranked, secrets, sharding, simhash, token_binary, token_counts
+from courtline.llm import toxicity, warc, whitening
 from courtline.llm.common import ship, table
 from courtline.session import scratch_path
 
@@ -96,3 +97,20 @@ def op9(spark, sf_dir):
 @register("op10_sharding")
 def op10(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.tree(16))
+
+
+@register("op11_ranked_search", ranked.ORACLE)
+def op11(spark, sf_dir):
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@register("op12_warc", warc.ORACLE)
+def op12(spark, sf_dir):
+    path = scratch_path(spark, "llm", "archives", unique=True)
+    warc.write_warc(table(spark, sf_dir, "pages"), path, least_revisit_bytes=0)
+    return warc.page_captures(warc.captures(warc.read_warc(spark, path)))
+
+
+@register("op13_whitening")
+def op13(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), k=16)
