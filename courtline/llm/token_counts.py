@@ -5,9 +5,9 @@ off leaves the encoding of a shorter prefix.  So one pass from left to right
 finds, for each prefix, the token that ends it: the one whose pair with the
 last token of the shorter prefix would be left alone by the merges.  The count
 of a prefix is then one more than the count of the shorter one.  The counts
-are stored per text as one signed byte per character, the step from the
-prefix before, and answer truncation and budget questions without encoding
-anything again.
+are stored per text as the step from the prefix before, one signed byte per
+character or, in a text that has a step beyond it, four; they answer truncation
+and budget questions without encoding anything again.
 
 Texts are cut where a single space stands between two other characters: a
 pre-token always starts at such a space.  Steps of the pieces are remembered,
@@ -19,7 +19,8 @@ from __future__ import annotations
 import itertools
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,10 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class StepTooWide(Exception):
+    """A step does not fit the bytes that hold steps."""
+
+
 class _Later(dict):
     """Steps of pieces that follow a single space, the space included; a piece that is not there is worked out and kept."""
 
@@ -69,9 +74,14 @@ class _Later(dict):
 
 
 class PrefixCounter:
-    """Token counts of all prefixes under one byte-level BPE vocabulary (a tokenizers JSON file's bytes)."""
+    """Token counts of all prefixes under one byte-level BPE vocabulary (a tokenizers JSON file's bytes).
+
+    Steps are signed numbers of one byte, or of four with ``wide``; one that does not fit raises StepTooWide.
+    """
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, wide: bool = False):
+        self.content, self.wide = content, wide
+        self.code, self.most = ("i", (1 << 31) - 1) if wide else ("b", 127)
         spec = json.loads(content)
         back = byte_symbols()
         raw = lambda s: bytes(back[c] for c in s)
@@ -152,7 +162,7 @@ class PrefixCounter:
     # -- prefixes ---------------------------------------------------------------
 
     def _pre_token(self, piece: str) -> bytes:
-        """Steps of one pre-token, one signed byte per character, remembered."""
+        """Steps of one pre-token, one number per character, remembered."""
         known = self.tokens.get(piece)
         if known is None:
             known = self._worked_out(piece)
@@ -182,12 +192,25 @@ class PrefixCounter:
                         ok = stays(end, t)
                     if ok:
                         last[i], count[i] = t, next_count
-        if n == len(piece):
-            steps = bytearray((b - a) & 255 for a, b in zip(count, count[1:]))
-        else:
-            ends = [0, *itertools.accumulate(len(c.encode("utf-8")) for c in piece)]
-            steps = bytearray((count[b] - count[a]) & 255 for a, b in zip(ends, ends[1:]))
-        return bytes(steps)
+        if n != len(piece):
+            count = [0, *(count[e] for e in itertools.accumulate(len(c.encode("utf-8")) for c in piece))]
+        return self._packed([b - a for a, b in zip(count, count[1:])])
+
+    def _packed(self, steps: Iterable[int]) -> bytes:
+        try:
+            return array(self.code, steps).tobytes()
+        except OverflowError:
+            raise StepTooWide from None
+
+    def _moved(self, steps: bytes, at: int, by: int) -> bytes:
+        """``steps`` with ``by`` added to the one at position ``at``, if there is one."""
+        got = array(self.code, steps)
+        if at < len(got):
+            value = got[at] + by
+            if not -self.most <= value <= self.most:
+                raise StepTooWide
+            got[at] = value
+        return got.tobytes()
 
     def _span(self, text: str) -> bytes:
         """Steps of a text without special tokens, by its pre-tokens."""
@@ -207,18 +230,15 @@ class PrefixCounter:
                 inner = j < len(found)
                 total = sum(self._total(p) for p in found[i:j])
                 extra = " " if inner and found[j][0] == " " else ""  # the blank that the next pre-token takes
-                steps = np.frombuffer(self._pre_token(run + extra), np.int8)
-                counts = np.cumsum(steps)
-                out += steps.tobytes()
+                steps = self._pre_token(run + extra)
+                out += steps
+                ahead = total - self._sum(steps)  # back from the run to the pre-tokens as they are
                 if extra:
-                    nxt = np.frombuffer(self._pre_token(found[j]), np.int8).copy()
-                    nxt[1:2] += np.int8(total + nxt[0] - counts[-1])  # back from the run to the pre-tokens as they are
-                    out += nxt[1:].tobytes()
+                    following = array(self.code, self._pre_token(found[j]))
+                    out += self._moved(following[1:].tobytes(), 0, ahead + following[0])
                     j += 1
                 elif inner:
-                    nxt = np.frombuffer(self._cut(found[j]), np.int8).copy()
-                    nxt[0] += np.int8(total - counts[-1])
-                    out += nxt.tobytes()
+                    out += self._moved(self._cut(found[j]), 0, ahead)
                     j += 1
                 i = j
             else:
@@ -229,11 +249,14 @@ class PrefixCounter:
     def _cut(self, piece: str) -> bytes:
         """Steps of a pre-token whose own prefixes may be several pre-tokens: 'll is ' and l until its last letter."""
         if len(piece) == 3 and piece in ("'re", "'ve", "'ll"):
-            return bytes([1, 1, (self._total(piece) - 2) & 255])
+            return self._packed([1, 1, self._total(piece) - 2])
         return self._pre_token(piece)
 
+    def _sum(self, steps: bytes) -> int:
+        return int(np.frombuffer(steps, self.code).sum(dtype=np.int64))
+
     def _total(self, piece: str) -> int:
-        return int(np.frombuffer(self._pre_token(piece), np.int8).sum())
+        return self._sum(self._pre_token(piece))
 
     def _plain(self, text: str) -> bytes:
         """Steps of a text without special tokens, by cached pieces."""
@@ -241,22 +264,37 @@ class PrefixCounter:
         return self._span(pieces[0]) + b"".join(map(self.later.__getitem__, pieces[1:]))
 
     def steps(self, text: str | None) -> bytes:
-        """One signed byte per character of ``text``: the count of the prefix it ends, less that of the prefix before."""
+        """One number per character of ``text``: the count of the prefix it ends, less that of the prefix before."""
         if not text:
             return b""
         found = list(self.special.finditer(text)) if self.special and any(s in text for s in self.specials) else ()
         out, at = [], 0
         for m in found:
             # Inside the special string a prefix is ordinary text; its last character makes it one token.
-            own = np.frombuffer(self._plain(text[at:m.start()]), np.int8)
-            through = np.frombuffer(self._plain(text[at:m.end()]), np.int8).copy()
-            through[-1] = own.sum() + 1 - through[:-1].sum(dtype=np.int64)
-            out.append(through.tobytes())
+            own = self._sum(self._plain(text[at:m.start()]))
+            through = self._plain(text[at:m.end()])
+            out.append(self._moved(through, m.end() - at - 1, own + 1 - self._sum(through)))
             at = m.end()
         if at < len(text):
             out.append(self._plain(text[at:]))
         return b"".join(out)
 
+    def stored_steps(self, text: str | None) -> bytes:
+        """The steps of a text after a byte that says how many bytes each has; nothing for an empty text."""
+        if not text:
+            return b""
+        try:
+            return b"\1" + self.steps(text)
+        except StepTooWide:
+            if not hasattr(self, "wider"):
+                self.wider = PrefixCounter(self.content, wide=True)
+            return b"\4" + self.wider.steps(text)
+
+
+def read_steps(stored: bytes) -> np.ndarray:
+    """Steps of one text as they were stored."""
+    return np.frombuffer(stored, np.int8 if stored[0] == 1 else np.int32, offset=1) if stored else np.zeros(0, np.int8)
+
 
 _COUNTERS: dict[bytes, PrefixCounter] = {}
 
@@ -286,8 +324,8 @@ def prefix_counts(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text
         count = counter(shared.value)
         for f in frames:
             texts = f.column(1).to_pylist()
-            steps = [count.steps(t) for t in texts]
-            totals = [int(np.frombuffer(s, np.int8).sum(dtype=np.int64)) for s in steps]
+            steps = [count.stored_steps(t) for t in texts]
+            totals = [int(read_steps(s).sum(dtype=np.int64)) for s in steps]
             sizes = [len(t.encode("utf-8")) if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [f.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()), pa.array(steps, pa.binary())],
@@ -299,7 +337,7 @@ def prefix_counts(docs: DataFrame, vocabulary: str, *, key: str = "doc_id", text
 
 def counts_of(steps: bytes) -> np.ndarray:
     """Token count of the empty prefix and of each longer one."""
-    return np.concatenate([[0], np.cumsum(np.frombuffer(steps, np.int8), dtype=np.int64)])
+    return np.concatenate([[0], np.cumsum(read_steps(steps), dtype=np.int64)])
 
 
 @F.pandas_udf(LongType())
@@ -307,7 +345,7 @@ def tokens_in_prefix(steps, n_chars):
     """Tokens of the first ``n_chars`` characters, from stored steps."""
     import pandas as pd
 
-    return pd.Series([int(np.frombuffer(s, np.int8)[:max(0, n)].sum(dtype=np.int64)) for s, n in zip(steps, n_chars)])
+    return pd.Series([int(read_steps(s)[:max(0, n)].sum(dtype=np.int64)) for s, n in zip(steps, n_chars)])
 
 
 @F.pandas_udf(LongType())

@@ -32,4 +32,8 @@ LONG = "lorem ipsum dolor sit amet " * 40_000
 AWKWARD = [
     (1, None), (2, ""), (3, " \t\n\r\x0b\x0c "), (4, "One word"), (4, "One word"), (None, "null key here now"),
     (None, "null key here now"), (5, LONG), (6, "Ünïcödé — naïve 日本語 テスト 🙂 café"), (None, None),
+    # Long runs of blanks and of signs, alone and around words.
+    (7, "tabs" + "\t" * 500 + " after"), (8, "\n" * 5000 + "lines"), (9, "a" + "-" * 5000 + "b"), (10, "# " * 2000), (11, "#" * 5000),
+    (12, "x" + "*" * 3000 + "y " + ".," * 3000 + " z" + "!" * 4000), (13, "|---" * 1500 + "|"), (14, " " * 3000 + "spaces " + "\u2003" * 100 + " em"),
+    (15, "_" * 4000 + "@" * 4000),
 ]

@@ -29,7 +29,48 @@ def test_prefix_counts_match_the_library_at_every_prefix():
     for seed in range(400):
         t = mixture(seed)
         want = [len(library.encode(t[:i], add_special_tokens=False).ids) for i in range(len(t) + 1)]
-        assert token_counts.counts_of(mine.steps(t)).tolist() == want, t
+        assert token_counts.counts_of(mine.stored_steps(t)).tolist() == want, t
+
+
+BLANKS = [" ", "\t", "\n", "\r\n", " \t", "\n\n ", "\u2003", "\xa0", "\t\t ", "\x0b", "\u3000 "]
+
+
+def test_long_blank_runs_count_as_in_the_library():
+    path = P.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    mine = token_counts.PrefixCounter(open(path, "rb").read())
+    wide = token_counts.PrefixCounter(open(path, "rb").read(), wide=True)
+
+    def count(t):
+        return len(library.encode(t, add_special_tokens=False).ids)
+
+    for blank in BLANKS:
+        for n in (1, 2, 60, 127, 128, 129, 300, 5000):
+            run = (blank * n)[:n] if n < 5000 else blank * n
+            for text in (run, f"a{run}b", f"a{run} b", f"{run} word", f"word{run}", f"x{run} 'll{run}!", f"1{run}<|endoftext|>{run} 2"):
+                assert token_counts.counts_of(mine.stored_steps(text))[-1] == count(text), (blank, n, text[:3], text[-3:])
+            if n <= 129:
+                text = f"a{run} b{run}'re"
+                want = [count(text[:i]) for i in range(len(text) + 1)]
+                assert token_counts.counts_of(mine.stored_steps(text)).tolist() == want
+                assert np.concatenate([[0], np.cumsum(np.frombuffer(wide.steps(text), np.int32))]).tolist() == want
+
+
+def test_steps_beyond_a_byte_are_stored_wider(monkeypatch):
+    mine = token_counts.PrefixCounter(open(P.path("byte_bpe_50k.json"), "rb").read())
+    text = "one  two\t\t\tthree <|endoftext|> four"
+    plain = token_counts.counts_of(mine.stored_steps(text)).tolist()
+
+    def too_wide(text):
+        raise token_counts.StepTooWide
+
+    monkeypatch.setattr(mine, "steps", too_wide)
+    stored = mine.stored_steps(text)
+    assert stored[0] == 4 and token_counts.counts_of(stored).tolist() == plain
+    with pytest.raises(token_counts.StepTooWide):
+        mine._packed([1, 200])
+    with pytest.raises(token_counts.StepTooWide):
+        mine._moved(b"\x01", 0, 127)
 
 
 def test_prefix_counts_rows_and_budgets(spark, docs_of):
