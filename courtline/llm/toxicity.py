@@ -15,7 +15,7 @@ labelled rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,8 +47,9 @@ PENALTY = 0.2
 STEPS = 400
 # A feature of at least this support and weight, and hardly ever in other texts, may convince alone.
 ALONE_SUPPORT, ALONE_WEIGHT, ALONE_OTHERS = 20, 1.0, 0.01
-CACHE_ENTRIES = 300_000
-CACHE_CHARS = 64
+# Entries of a worker's one cache of tokens.
+CACHE_ENTRIES = 60_000
+CACHE_CHARS = 32
 
 _SYMBOL = {c: i + 1 for i, c in enumerate(LETTERS)}
 # Options of a character that stands once, and of a letter's second in a row.
@@ -56,12 +57,13 @@ _OPTIONS = {c: [(c, 0.0)] for c in LETTERS} | {
     c: [*((x, SUBSTITUTED) for x in letters), (c, KEPT_SYMBOL), ("", DROPPED_DIGIT if c.isdigit() else DROPPED_SYMBOL)]
     for c, letters in LOOKALIKES.items()}
 _AGAIN = {c: [(c, 0.0), ("", DROPPED_REPEAT)] for c in LETTERS}
-_MARKS = re.escape("".join(c for c in LOOKALIKES if not c.isdigit()))
-_EDGE = re.compile(rf"^[^\w{_MARKS}]+|[^\w{_MARKS}]+$")
-# Marks at a token's edges that may as well be punctuation: it is decoded with and without them.
-_FRONT = re.compile(rf"^[\W_]*?(?:([^\w])\1{{2,}}|[{_MARKS}]+)[^\w{_MARKS}]*")
-_BACK = re.compile(rf"[^\w{_MARKS}]*(?:([^\w])\1{{2,}}|[{_MARKS}]+)[^\w{_MARKS}]*$")
+_GAP, _GAP_ON = [("", CLOSED_GAP), (" ", KEPT_GAP)], [("", 0.0)]
+_MARK_SIGNS = frozenset(c for c in LOOKALIKES if not c.isdigit())
+_MARKS = re.escape("".join(sorted(_MARK_SIGNS)))
 _PARTS = re.compile(r"[^\W\d_]+")
+# Common punctuation that is no look-alike mark.
+_AROUND = ".,;:?\"'-"
+_RUN = re.compile(r"([^\W\d_])\1+")
 _REPEAT = re.compile(r"([^\W\d_])\1")
 _MARK = re.compile(rf"[{_MARKS}]")
 _LOOKALIKE = re.compile(f"[{re.escape(''.join(LOOKALIKES))}]")
@@ -72,6 +74,66 @@ _ONLY_MARKS = re.compile(rf"[{_MARKS}]+")
 GAPS, LETTERS_ONLY, EITHER = "gaps", "letters", "either"
 
 
+def _is_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def _is_junk(c: str) -> bool:
+    """Punctuation that is no look-alike mark."""
+    return not _is_word(c) and c not in _MARK_SIGNS
+
+
+def _same_run(s: str, at: int, stop: int, step: int) -> int:
+    """Where the run of the character at ``at`` ends, going by ``step`` until ``stop``."""
+    i = at
+    while i != stop and s[i] == s[at]:
+        i += step
+    return i
+
+
+def _inner(s: str) -> str:
+    """A stretch without the punctuation around it."""
+    i, j = 0, len(s)
+    while i < j and _is_junk(s[i]):
+        i += 1
+    while j > i and _is_junk(s[j - 1]):
+        j -= 1
+    return s[i:j]
+
+
+def _without_front(s: str) -> str:
+    """A stretch without the marks, or the sign repeated three times or more, that it opens with, and what punctuation is around them."""
+    n = len(s)
+    i = 0
+    while i < n and not s[i].isalnum():
+        run = _same_run(s, i, n, 1) if s[i] != "_" else i
+        if run - i < 3 and s[i] not in _MARK_SIGNS:
+            i = max(run, i + 1)
+            continue
+        if run - i < 3:
+            run = i
+            while run < n and s[run] in _MARK_SIGNS:
+                run += 1
+        while run < n and _is_junk(s[run]):
+            run += 1
+        return s[run:]
+    return s
+
+
+def _without_back(s: str) -> str:
+    """A stretch without the marks that it closes with, or signs one of which stands three times or more, and the punctuation around."""
+    i = len(s)
+    while i and _is_junk(s[i - 1]):
+        i -= 1
+    if i and s[i - 1] in _MARK_SIGNS:
+        while i and s[i - 1] in _MARK_SIGNS:
+            i -= 1
+        while i and _is_junk(s[i - 1]):
+            i -= 1
+        return s[:i]
+    return s[:i] if re.search(r"(.)\1\1", s[i:], re.S) else s
+
+
 _TABLE = np.full(0x250, OTHER, np.uint8)
 for _c, _i in _SYMBOL.items():
     _TABLE[ord(_c)] = _i
@@ -123,13 +185,75 @@ def char_model(counts: np.ndarray) -> np.ndarray:
     return np.log(mix(c3, mix(c2, p)))
 
 
+def _is_letter(c: str) -> bool:
+    """Whether ``_PARTS`` takes a character for a letter."""
+    return c.isalnum() and not c.isdecimal()
+
+
+class Beginnings:
+    """Trie of a lexicon's features, to tell which lattices cannot hold any of them."""
+
+    def __init__(self, features: Iterable[str]):
+        self.after: list[dict[str, int]] = [{}]
+        self.ends = [False]
+        for f in features:
+            at = 0
+            for c in f.removesuffix("$"):
+                to = self.after[at].get(c)
+                if to is None:
+                    to = self.after[at][c] = len(self.after)
+                    self.after.append({})
+                    self.ends.append(False)
+                at = to
+            self.ends[at] = True
+
+    def in_reach(self, lattice: list[list[tuple[str, float]]]) -> bool:
+        """Whether some path through the lattice holds the letters of a feature from the beginning of a word on."""
+        after, ends = self.after, self.ends
+        active: set[int] = {0}  # the root stands for a word that may begin here
+        for options in lattice:
+            if len(options) == 1:
+                c = options[0][0]
+                if not _is_letter(c):
+                    active = {0}
+                    continue
+                moved = set()
+            else:
+                moved = set()
+                for c, _ in options:
+                    if not c:
+                        moved |= active
+                    elif not _is_letter(c):
+                        moved.add(0)
+            for c, _ in options:
+                if c:
+                    for at in active:
+                        to = after[at].get(c)
+                        if to is not None:
+                            if ends[to]:
+                                return True
+                            moved.add(to)
+            active = moved
+        return False
+
+
 class Restorer:
-    """Viterbi decoding of obfuscated stretches under a character model."""
+    """Viterbi decoding of obfuscated stretches under a character model.
+
+    With a lexicon's ``beginnings``, a stretch that cannot be restored to any
+    of its features is not decoded, as nothing in it would count.
+    """
 
-    def __init__(self, log_probs: np.ndarray):
+    def __init__(self, log_probs: np.ndarray, beginnings: Beginnings | None = None):
         self.rows = log_probs.tolist()
+        self.beginnings = beginnings
         self.known: dict[str, tuple[str, ...]] = {}
-        self.spaced: dict[str, tuple[str, ...]] = {}
+
+    def _decoded(self, stretch: str, spaced: bool, marks: str = LETTERS_ONLY) -> list[str]:
+        lattice = self.lattice(stretch, spaced, marks)
+        if self.beginnings is not None and not self.beginnings.in_reach(lattice):
+            return []
+        return _PARTS.findall(self.decode(lattice))
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The likeliest string: each position gives one of its options, a character or nothing.
@@ -179,7 +303,7 @@ class Restorer:
             before = c
             if spaced and not c.isalnum():
                 mark = c in LOOKALIKES
-                closing = [("", 0.0)] if gap else [("", CLOSED_GAP), (" ", KEPT_GAP)]
+                closing = _GAP_ON if gap else _GAP
                 if not mark or marks == GAPS:
                     out.append(closing)
                     gap = True
@@ -197,11 +321,11 @@ class Restorer:
     @staticmethod
     def cores(token: str) -> list[str]:
         """A token without punctuation around it, with and without the look-alike marks at either edge."""
-        core = _EDGE.sub("", token)
+        core = _inner(token)
         if core.isalnum():
             return [core]
-        front = dict.fromkeys((core, _FRONT.sub("", core, count=1)))
-        return [c for c in dict.fromkeys(x for f in front for x in (f, _BACK.sub("", f, count=1))) if c]
+        front = dict.fromkeys((core, _without_front(core)))
+        return [c for c in dict.fromkeys(x for f in front for x in (f, _without_back(f))) if c]
 
     def words(self, token: str) -> tuple[str, ...]:
         """The letter runs of one blank-free, lower-case token, as it is and, where it may be obfuscated, restored."""
@@ -212,10 +336,10 @@ class Restorer:
         if _REPEAT.search(token) or not token.isalpha():
             for core in self.cores(token):
                 if _REPEAT.search(core) or _LOOKALIKE.search(core):
-                    found += _PARTS.findall(self.decode(self.lattice(core, False)))
+                    found += self._decoded(core, False)
         out = tuple(dict.fromkeys(found))
-        if len(token) <= CACHE_CHARS:
-            if len(self.known) > CACHE_ENTRIES:
+        if self.beginnings is None and len(token) <= CACHE_CHARS:
+            if len(self.known) >= CACHE_ENTRIES:
                 self.known.clear()
             self.known[token] = out
         return out
@@ -227,19 +351,10 @@ class Restorer:
             stretch = m[0].strip()
             if _ONLY_MARKS.fullmatch(stretch):
                 continue  # a part of one token
-            known = self.spaced.get(stretch)
-            if known is None:
-                found: list[str] = []
-                for core in self.cores(stretch):
-                    for marks in (GAPS, LETTERS_ONLY, EITHER) if _MARK.search(core) else (GAPS,):
-                        found += _PARTS.findall(self.decode(self.lattice(core, True, marks)))
-                known = tuple(dict.fromkeys(found))
-                if len(stretch) <= CACHE_CHARS:
-                    if len(self.spaced) > CACHE_ENTRIES:
-                        self.spaced.clear()
-                    self.spaced[stretch] = known
-            out += known
-        return out
+            for core in self.cores(stretch):
+                for marks in (GAPS, LETTERS_ONLY, EITHER) if _MARK.search(core) else (GAPS,):
+                    out += self._decoded(core, True, marks)
+        return list(dict.fromkeys(out))
 
     def restored(self, text: str) -> set[str]:
         """All words of a text, with those that its obfuscated stretches restore to."""
@@ -265,31 +380,54 @@ class Model:
 
 
 class Scorer:
+    """Scores texts under a model.
+
+    A feature's letters, each run of one letter as one, open every word that
+    shows it, restored or not; so words that begin like no feature are passed
+    over at once.
+    """
+
     def __init__(self, model: Model):
-        self.model, self.restorer = model, Restorer(model.log_probs)
+        self.model = model
+        self.restorer = Restorer(model.log_probs, Beginnings(model.lexicon))
+        self.starts = {f.removesuffix("$")[:3] for f in model.lexicon}
+        self.single = {_RUN.sub(r"\1", f.removesuffix("$"))[:3] for f in model.lexicon}
         self.hits: dict[str, tuple[str, ...]] = {}
 
+    def _of(self, word: str) -> list[str]:
+        lexicon = self.model.lexicon
+        return [f for f in features(word) if f in lexicon] if word[:3] in self.starts else []
+
     def _hits(self, token: str) -> tuple[str, ...]:
+        """The lexicon's features in a token and in what it may be restored to."""
         known = self.hits.get(token)
         if known is None:
-            lexicon = self.model.lexicon
-            known = tuple(f for w in self.restorer.words(token) for f in features(w) if f in lexicon)
-            if len(self.hits) > CACHE_ENTRIES:
-                self.hits.clear()
+            known = tuple(f for w in self.restorer.words(token) for f in self._of(w))
             if len(token) <= CACHE_CHARS:
+                if len(self.hits) >= CACHE_ENTRIES:
+                    self.hits.clear()
                 self.hits[token] = known
         return known
 
     def score(self, text: str | None) -> float:
         """Probability of the label, from the weights of all different pieces of evidence in the restored text."""
         lexicon, low = self.model.lexicon, (text or "").lower()
-        get = self.hits.get
+        starts, single = self.starts, self.single
         evidence: set[str] = set()
-        for token in set(low.split()):
-            hit = get(token)
-            evidence.update(self._hits(token) if hit is None else hit)
-        for w in self.restorer.spaced_words(low):
-            evidence.update(f for f in features(w) if f in lexicon)
+        for token in set(low.split()) if lexicon else ():
+            core = token if token.isalpha() else token.strip(_AROUND)
+            if not core.isalpha():
+                evidence.update(self._hits(token))
+                continue
+            if core[:3] in starts:
+                evidence.update(self._of(core))
+            if _REPEAT.search(core):
+                once = _RUN.sub(r"\1", core)
+                if once[:3] in single or once[:2] in single or once[:1] in single:
+                    evidence.update(self._hits(core))
+        if lexicon:
+            for w in self.restorer.spaced_words(low):
+                evidence.update(self._of(w))
         odds = self.model.base + sum(sorted(lexicon[f] for f in evidence))
         return float(1.0 / (1.0 + np.exp(-np.clip(odds, -30, 30))))
 
@@ -365,17 +503,19 @@ def learn(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     Rows with a null text or label are passed over and equal texts count once
     (toxic if any is).  Beyond ``most_rows`` different texts, those with the
     smallest hashes are taken.  Texts stay where they are: keys and hashes are
-    joined, and the chosen hashes, at most ``most_rows`` longs, go back by
-    broadcast.  Without toxic rows the lexicon is empty.
+    joined, the chosen hashes with the smallest key of each, at most
+    ``most_rows`` small rows, go back by broadcast, and of a text's copies only
+    those with that key move, one a task.  Without toxic rows the lexicon is empty.
     """
     src = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).filter("text IS NOT NULL")
     marks = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("label")).dropna()
     chosen = src.select("k", F.xxhash64("text").alias("h")).join(marks, "k") \
-        .groupBy("h").agg(F.max("label").alias("label")).orderBy("h").limit(most_rows)
+        .groupBy("h").agg(F.max("label").alias("label"), F.min("k").alias("k")).orderBy("h").limit(most_rows)
     chosen = stored(chosen, "toxic-sample")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sample = src.select("text", F.xxhash64("text").alias("h")).join(F.broadcast(chosen), "h") \
-        .repartition(n, "h").dropDuplicates(["h"]).select("text", "label")
+    sample = src.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["h", "k"]) \
+        .select("h", "label", "text").groupBy("h", "label").agg(F.min("text").alias("text"))
+    sample = sample.repartition(n).select("text", "label")
     return fit(sample, char_counts(docs, text))
 
 

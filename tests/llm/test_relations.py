@@ -335,3 +335,40 @@ def test_secret_scan(spark, docs_of):
     texts = dict(rows)
     assert all(texts[x.doc_id][x.start:x.start + x.length] == x.value for x in found if x.doc_id in texts)
     assert secrets.scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_long_runs_of_signs_score_in_linear_time():
+    """Runs of any sign inside, before, behind and without words: same evidence as without them, and no blow-up."""
+    import time
+
+    model = toxicity.Model(toxicity.char_model(toxicity.trigram_counts([t for _, t in toxic_corpus()[0]])),
+                           {f: 1.0 for f in toxicity.features("blorptwit")})
+    scorer = toxicity.Scorer(model)
+    clean, toxic = scorer.score("a word"), scorer.score("blorptwit")
+    assert toxic > clean
+    for sign in "-.#*!|_@,=~":
+        for n in (1, 2, 3, 60, 5000):
+            run = sign * n
+            began = time.process_time()
+            assert scorer.score(f"a{run}b") == clean and scorer.score(run) == clean
+            if n > 3:
+                assert scorer.score(f"{run} blorptwit {run}") == toxic, (sign, n)
+            assert scorer.score(f"{run}.,{run} {sign} " * 2) == clean
+            assert time.process_time() - began < 5, (sign, n)
+
+
+def test_lattices_without_a_lexicon_word_need_no_decoding():
+    """The trie test never says no where decoding finds a feature."""
+    r = random.Random(4)
+    words = ["blorp", "twit", "zapp", "oo", "moon", "abba", "llama"]
+    lexicon = {f: 1.0 for w in words for f in toxicity.features(w)}
+    model = toxicity.char_model(toxicity.trigram_counts([" ".join(r.choices(words, k=50))]))
+    every, gated = toxicity.Restorer(model), toxicity.Restorer(model, toxicity.Beginnings(lexicon))
+    signs = "blorptwizamn" + "01!@*# .-_"
+    for _ in range(3000):
+        base = r.choice(words + ["".join(r.choices(signs, k=6))])
+        text = "".join(c * r.choice((1, 1, 1, 2)) if r.random() < 0.8 else r.choice(signs) for c in base) + r.choice(["", " x", "!!"])
+        hits = [{f for w in x.restored(text) for f in toxicity.features(w) if f in lexicon} for x in (every, gated)]
+        assert hits[0] == hits[1], text
+        scorer = toxicity.Scorer(toxicity.Model(model, lexicon, 0.0))
+        assert scorer.score(text) == pytest.approx(1 / (1 + np.exp(-min(30, len(hits[0]))))), text
