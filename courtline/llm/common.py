@@ -42,15 +42,23 @@ def ship(spark: SparkSession) -> None:
     sc._courtline_shipped = True
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` below the cluster's shared checkpoint folder and read it back.
 
     This is how lineage is cut here: one pass, columnar files that outlive any
     executor, and later readers that prune columns.
     """
     path = scratch_path(df.sparkSession, "llm", name, unique=True)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that :func:`stored` wrote, once nothing reads it any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _KINDS = {"long": (LongType(), pa.int64()), "double": (DoubleType(), pa.float64()), "string": (StringType(), pa.string())}

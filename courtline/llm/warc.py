@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm.common import stored
+from courtline.llm.common import discard, stored
 from courtline.llm.components import components
 
 ARCHIVE_BYTES = 16 << 20
@@ -72,8 +72,8 @@ def _record(kind: Column, record_id: Column, block: Column, *lines: Column) -> C
 
 
 def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str = "url", html: str = "html",
-               least_revisit_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: datetime | None = None) -> None:
-    """Archives of about ``archive_bytes`` with a request, a response or revisit, and a metadata record per row of ``pages``.
+               least_revisit_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, gzip: bool = True, date: datetime | None = None) -> None:
+    """Archives, gzip by file, of about ``archive_bytes`` before it, with a request, a response or revisit, and a metadata record per row of ``pages``.
 
     The payload is the UTF-8 of ``html``, null as empty.  Of rows with equal
     payloads of ``least_revisit_bytes`` or more, the one with the smallest key
@@ -90,7 +90,7 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"),
         F.regexp_replace(F.regexp_replace(F.col(url).cast("string"), "\r", "%0D"), "\n", "%0A").alias("url"),
         body.alias("payload"), F.octet_length(body).alias("n"), base32_sha1(body).alias("digest"),
-        F.unhex(F.sha2(body, 256)).alias("same")), "warc-pages")
+        F.unhex(F.sha2(body, 256)).alias("same")), "warc-pages", compression="zstd")
     total = src.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     archives = max(1, -(-total // archive_bytes))
     again = _with_first(src.filter(F.col("n") >= least_revisit_bytes).select("row", "key", "same"))
@@ -122,7 +122,8 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
     )
     # A string column may hold any bytes; the text sink writes them as they are.
     full.select(F.explode(records).alias("r")).select(F.col("r").cast("string").alias("value")) \
-        .write.option("lineSep", _END).text(path)
+        .write.option("lineSep", _END).text(path, compression="gzip" if gzip else "none")
+    discard(src)
 
 
 def _plain(data: bytes) -> bytes:
@@ -217,18 +218,36 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return stored(parsed.withColumn("stated", stated).selectExpr(
         "row", "coalesce(record_id, concat('row:', row)) AS record_id",
         *[c for c in parsed.columns if c not in ("row", "record_id", "payload_bytes")],
-        "coalesce(payload_bytes, try_cast(nullif(stated, '') AS long)) AS payload_bytes"), "warc-records")
+        "coalesce(payload_bytes, try_cast(nullif(stated, '') AS long)) AS payload_bytes"), "warc-records", compression="zstd")
+
+
+def _capture_of(nodes: DataFrame) -> DataFrame:
+    """(record_id, capture) of all records that name another or are named by one, as far as they are here or not.
+
+    A record that names one other and is named by none is in that one's
+    capture.  These leaves, as a rule all there is, are set aside; the
+    components of the links between the others are found in rounds.
+    """
+    links = stored(nodes.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).filter("a != b").distinct(),
+                   "warc-links")
+    named = links.select(F.col("b").alias("a"), F.lit(1).alias("named")).distinct()
+    ends = links.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("b")).join(named, "a", "left")
+    leaf = F.col("named").isNull() & (F.col("n") == 1)
+    leaves = ends.filter(leaf).select(F.col("a").alias("leaf"), "b")
+    inner = stored(ends.filter(~leaf).select("a").join(links, "a"), "warc-inner-links")
+    roots = stored(components(inner), "warc-roots")
+    by_leaf = leaves.join(roots.withColumnRenamed("node", "b"), "b", "left") \
+        .select(F.col("leaf").alias("record_id"), F.coalesce("root", "b").alias("capture"))
+    return by_leaf.unionByName(roots.select(F.col("node").alias("record_id"), F.col("root").alias("capture")))
 
 
 def _captures(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(row, capture, part) of every part of a capture, and per capture the chosen row of each part."""
+    """(row, capture, record_id, part) of every part of a capture, and per capture the chosen row of each part."""
     part = F.create_map(*[F.lit(x) for pair in PARTS.items() for x in pair])[F.col("type")]
     nodes = records.select("row", "record_id", "concurrent_to", part.alias("part")).filter("part IS NOT NULL")
     # Records with one id are one record: the first row counts.
     single = nodes.groupBy("record_id", "part").agg(F.min("row").alias("row"))
-    links = nodes.select(F.col("record_id").alias("a"), F.explode("concurrent_to").alias("b")).distinct()
-    roots = components(links).select(F.col("node").alias("record_id"), F.col("root").alias("capture"))
-    parts = stored(single.join(roots, "record_id", "left").select(
+    parts = stored(single.join(_capture_of(nodes), "record_id", "left").select(
         "row", F.coalesce("capture", "record_id").alias("capture"), "record_id", "part"), "warc-parts")
     least = [F.min(F.when(F.col("part") == p, F.struct("record_id", "row")))["row"].alias(f"{p}_row") for p in ("request", "response", "metadata")]
     sizes = [F.count_if(F.col("part") == p).alias(f"n_{p}") for p in ("request", "response", "metadata")]
