@@ -788,6 +788,47 @@ def q_rolling_means_hot_groups(spark, base):
                      *[f"avg_last_3_{c}" for c in ROLLING_STATS], "next_game_valuation")
 
 
+# ------------------------------------------------------------ features kept up by batches
+from courtline.streaming.feature_store import FeatureStore  # noqa: E402
+
+# The second of two loads: the later half of every season, and of one season the games with odd ids, among them earlier ones.
+_LATE_SEASON = "1995"
+_HALVES_SQL = {"halves": f"""SELECT id, season, if(season = '{_LATE_SEASON}', id % 2 = 1,
+  game_number > (max(game_number) OVER (PARTITION BY season)) // 2) AS second FROM gi"""}
+
+
+def _loaded_in_halves(spark, base):
+    g, b = _gb(spark, base)
+    gi = FE.game_info(g)
+    half = gi.groupBy("season").agg(F.floor(F.max("game_number") / 2).alias("_half"))
+    second = gi.join(half, "season").filter(F.when(F.col("season") == _LATE_SEASON, F.col("id") % 2 == 1).otherwise(
+        F.col("game_number") > F.col("_half"))).select("id")
+    store = FeatureStore(spark, INC.fresh_area(spark, "features"))
+    for number, how in enumerate(("left_anti", "left_semi")):
+        games = g.join(second, "id", how)
+        box = b.join(second.withColumnRenamed("id", "game_id"), "game_id", how).select(*b.columns)
+        store.load(games, box, g, b, number)
+    return store
+
+
+@register("features_incremental", O.features_sql("SELECT * FROM tf"))
+def q_features_incremental(spark, base):
+    """The feature table after two loads, one season of the second being rebuilt."""
+    return _loaded_in_halves(spark, base).read()
+
+
+@register("features_incremental_report", O.features_sql(f"""SELECT CAST(1 AS BIGINT) AS load,
+  CAST(count(*) AS BIGINT) AS new_rows, CAST(0 AS BIGINT) AS relabelled_rows, CAST(0 AS BIGINT) AS rebuilt_seasons
+FROM tf JOIN halves h ON h.id = tf.game_id WHERE NOT h.second
+UNION ALL SELECT 2, (SELECT count(*) FROM tf JOIN halves h ON h.id = tf.game_id WHERE h.second OR h.season = '{_LATE_SEASON}'),
+  (SELECT count(*) FROM (SELECT player_id FROM tf JOIN halves h ON h.id = tf.game_id WHERE h.season <> '{_LATE_SEASON}'
+                         GROUP BY player_id, h.season HAVING bool_or(h.second) AND bool_or(NOT h.second))), 1""", _HALVES_SQL))
+def q_features_incremental_report(spark, base):
+    """Rows that each load wrote: new ones, and the row before each player's first new one, whose label became known."""
+    return _loaded_in_halves(spark, base).commits().select(
+        F.col("version").alias("load"), "new_rows", "relabelled_rows", "rebuilt_seasons")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v.run for k, v in REGISTRY.items()}
 

@@ -9,8 +9,10 @@ puts one third of the data on one task when one key holds a third of the rows.
 ``running_scan`` is the classic two-level parallel prefix sum expressed with
 DataFrame operations:
 
-1. range-partition on ``(group, order)`` -- the range partitioner cuts even a
-   single hot group into blocks of bounded size;
+1. cut the order into blocks: by ``block``, an expression that rises with the
+   order and by itself bounds a block's rows (a number divided by a width), or,
+   where there is none, by a range partitioning on ``(group, order)``, which
+   cuts even a single hot group into blocks of bounded size;
 2. scan each ``(group, block)`` with an ordinary window (bounded work per task);
 3. total each ``(group, block)`` with a partial (map-side) aggregate; a window
    over this small table (at most one row per block and group) gives the carry
@@ -49,19 +51,22 @@ def running_scan(
     exclusive_sums: Mapping[str, str | Column] | None = None,
     blocks: int | None = None,
     materialize: str = "checkpoint",
+    block: Column | None = None,
 ) -> DataFrame:
     """Append a 1-based row number and/or exclusive running sums per group.
 
     ``exclusive_sums`` maps an output name to a numeric column; the output is
     the sum of that column over the rows *before* the current one in the group
-    (0 for the first row; nulls are skipped, as by SQL ``SUM``).
+    (0 for the first row; nulls are skipped, as by SQL ``SUM``).  With ``block``
+    nothing runs while the plan is built: rows and block totals compute the same
+    block from the same row, so the input is planned twice and stored nowhere.
     """
     exclusive_sums = dict(exclusive_sums or {})
     n_blocks = blocks or default_blocks(df.sparkSession)
     group = list(group)
     order_cols = [_col(c) for c in order]
 
-    # The block id is the range partition index.  It feeds two branches (the
+    # Without ``block`` the block id is the range partition index.  It feeds two branches (the
     # per-block totals and the rows), and two separately planned reads of the
     # same shuffle may be coalesced differently by AQE, so the blocked rows
     # are materialised once with a reliable checkpoint in the cluster's
@@ -75,12 +80,15 @@ def running_scan(
     # block totals and the carry join all partition on the same expression,
     # so the rows are shuffled once for the scan and not again for the join.
     key = F.struct(*[F.col(g) for g in group]) if group else F.lit(0)
-    blocked = df.repartitionByRange(n_blocks, *[F.col(g) for g in group], *order_cols) \
-        .withColumn(_BLOCK, F.spark_partition_id()).withColumn(_KEY, key)
-    if materialize == "persist":
-        blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
-    elif materialize == "checkpoint":
-        blocked = write_checkpoint(blocked)
+    if block is not None:
+        blocked = df.withColumn(_BLOCK, block).withColumn(_KEY, key)
+    else:
+        blocked = df.repartitionByRange(n_blocks, *[F.col(g) for g in group], *order_cols) \
+            .withColumn(_BLOCK, F.spark_partition_id()).withColumn(_KEY, key)
+        if materialize == "persist":
+            blocked = blocked.persist(StorageLevel.MEMORY_AND_DISK)
+        elif materialize == "checkpoint":
+            blocked = write_checkpoint(blocked)
 
     in_block = Window.partitionBy(_KEY, _BLOCK).orderBy(*order_cols)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)

@@ -6,15 +6,16 @@ thing as one job):
     games --> game_info --+--> player_box (box JOIN game_info, 21 window exprs
                           |               on (player_id, season) by game_number)
                           +--> team_games (2 rows per game) --> cumulative_win
-                                (range-blocked running scan per (team, season))
-    player_box LEFT JOIN cumulative_win (own team) LEFT JOIN cumulative_win (opponent)
+                                (blocked running scan per (team, season))
+    distinct (game, team) of box LEFT JOIN cumulative_win (own) LEFT JOIN cumulative_win (opponent)
+    player_box LEFT JOIN that
 
 Window W1 is partitioned by (player_id, season): a player's season is bounded
 by the schedule, so a plain window is the right operator, and
 ``hot_groups=True`` asks for the form that splits it.  Window W2 (team, season)
 is different: there are few teams, and a team's season grows with the data, so
 it runs through :func:`courtline.operators.scan.running_scan`, which splits a
-hot group into range blocks.  Nothing is measured to choose a plan, and joins
+hot group into blocks by game number.  Nothing is measured to choose a plan, and joins
 are left to the optimizer: it broadcasts a side only by its size.
 """
 
@@ -30,6 +31,8 @@ from courtline.schemas import ROLLING_STATS
 
 PLAYER_SEASON = ["player_id", "season"]
 TEAM_SEASON = ["team_id", "season"]
+# Game numbers of a season that a block of the running totals spans: a team has one game a number and competition.
+NUMBERS_PER_BLOCK = 1 << 16
 
 
 def game_code_rejects(games: DataFrame) -> DataFrame:
@@ -103,23 +106,29 @@ def team_games(gi: DataFrame, keep_game_id: bool = False) -> DataFrame:
     return out if keep_game_id else out.drop("_game_id")
 
 
-def cumulative_win(gi: DataFrame, skew_safe: bool = True) -> DataFrame:
+def cumulative_win(gi: DataFrame, skew_safe: bool = True, before: DataFrame | None = None) -> DataFrame:
     """Per (team, season, game): wins before, games before, running win ratio.
 
-    Team-seasons are cut into range blocks; ``skew_safe=False`` scans each with
-    one plain window.
+    ``before`` (season, team_id, wins, games) are totals of games that precede
+    those of ``gi``; without a row a team starts at zero.
+
+    Team-seasons are cut into stretches of game numbers; ``skew_safe=False``
+    scans each with one plain window.
     """
     tg = team_games(gi, keep_game_id=True)
-    scan = running_scan if skew_safe else window_scan
-    s = scan(tg, TEAM_SEASON, ["game_number", "_game_id"],
-             row_number="_rn", exclusive_sums={"cum_wins": "win"})
-    before = (F.col("_rn") - 1).cast("long")
+    order, sums = ["game_number", "_game_id"], {"cum_wins": "win"}
+    if skew_safe:
+        s = running_scan(tg, TEAM_SEASON, order, row_number="_rn", exclusive_sums=sums,
+                         block=F.floor(F.col("game_number") / NUMBERS_PER_BLOCK))
+    else:
+        s = window_scan(tg, TEAM_SEASON, order, row_number="_rn", exclusive_sums=sums)
+    played, wins = (F.col("_rn") - 1).cast("long"), F.col("cum_wins").cast("long")
+    if before is not None:
+        s = s.join(before.select(*TEAM_SEASON, "wins", "games"), TEAM_SEASON, "left")
+        played, wins = played + F.coalesce("games", F.lit(0)), wins + F.coalesce("wins", F.lit(0))
     return s.select(
-        "season", "team_id", "game_number",
-        F.col("cum_wins").cast("long").alias("cum_wins"),
-        before.alias("games_played_before"),
-        F.when(before == 0, F.lit(0.0))
-        .otherwise(F.col("cum_wins").cast("double") / before.cast("double")).alias("cum_win_ratio"),
+        "season", "team_id", "game_number", wins.alias("cum_wins"), played.alias("games_played_before"),
+        F.when(played == 0, F.lit(0.0)).otherwise(wins.cast("double") / played.cast("double")).alias("cum_win_ratio"),
     )
 
 
@@ -128,23 +137,38 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 
     Both teams' running ratios are joined by (season, team, game number); a
-    row whose team has no such game gets null.
+    row whose team has no such game gets null.  The joins run on the distinct
+    (game, team) pairs of the box rows, about two a game, and the wide rows
+    meet their result once.
     """
     gi = game_info(games)
     cw = cumulative_win(gi, skew_safe=skew_safe)
     pb = player_box(box, gi, n=n, hot_groups=hot_groups)
+    return with_ratios(pb, game_ratios(box, gi, cw))
+
+
+def game_ratios(box: DataFrame, gi: DataFrame, cw: DataFrame) -> DataFrame:
+    """(_game, _team, own and opponent's ratio, their ratio) for the (game, team) pairs of ``box``; several rows where season codes collide."""
+    pairs = join_box_games(box.select("game_id", "team_id").distinct(), gi).selectExpr(
+        "game_id AS _game", "team_id AS _team", "season AS _s", "game_number AS _n",
+        "CASE WHEN _home = team_id THEN _away ELSE _home END AS _opponent")
     own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
     opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2", "cum_win_ratio AS opponent_win_ratio")
-    j = (pb.join(own, (pb.season == own._s1) & (pb.team_id == own._t1) & (pb.game_number == own._n1), "left")
-         .join(opp, (pb.season == opp._s2) & (pb.opponent_team_id == opp._t2) & (pb.game_number == opp._n2), "left"))
-    cols = pb.columns
+    j = (pairs.join(own, (F.col("_s") == own._s1) & (F.col("_team") == own._t1) & (F.col("_n") == own._n1), "left")
+         .join(opp, (F.col("_s") == opp._s2) & (F.col("_opponent") == opp._t2) & (F.col("_n") == opp._n2), "left"))
     return j.selectExpr(
-        *cols, "team_win_ratio", "opponent_win_ratio",
+        "_game", "_team", "team_win_ratio", "opponent_win_ratio",
         "CASE WHEN opponent_win_ratio = 0 THEN CAST(NULL AS DOUBLE) "
         "ELSE team_win_ratio / opponent_win_ratio END AS win_ratio_ratio",
     )
 
 
+def with_ratios(pb: DataFrame, ratios: DataFrame) -> DataFrame:
+    """The player rows with their game's ratios, as :func:`game_ratios` gives them."""
+    j = pb.join(ratios, (pb.game_id == ratios._game) & pb.team_id.eqNullSafe(ratios._team), "left")
+    return j.select(*pb.columns, "team_win_ratio", "opponent_win_ratio", "win_ratio_ratio")
+
+
 def sorted_features(features: DataFrame) -> DataFrame:
     """The feature table in (game_id, player_id) order, for a sink that needs it.
 

@@ -16,6 +16,8 @@ from courtline.schemas import BOX_COLUMNS, INVALID_REFEREES, LANDING_PREFIX, ROL
 from courtline.sources.tables import read_table
 
 N_TEAMS = 25
+# Ids of one date that a block of the season's numbering spans; it holds no more games than that.
+GAMES_PER_BLOCK = 1 << 24
 VALID_REFEREES = "Ref A, Ref B, Ref C"
 
 # Order that picks the first lineitem row of an (order, supplier) pair and
@@ -57,9 +59,12 @@ def games(spark: SparkSession, base: str, skew_safe: bool = True) -> DataFrame:
         F.col("o_orderdate").alias("_date"),
         F.col("o_custkey").alias("_cust"),
     )
-    # A season is one group whose size grows with the data: it is cut into range blocks.
-    scan = running_scan if skew_safe else window_scan
-    g = scan(g, ["_season"], ["_date", "id"], row_number="_game_number")
+    # A season is one group whose size grows with the data: it is cut by date and, within a date, by stretches of ids.
+    if skew_safe:
+        g = running_scan(g, ["_season"], ["_date", "id"], row_number="_game_number",
+                         block=F.struct("_date", F.floor(F.col("id") / GAMES_PER_BLOCK)))
+    else:
+        g = window_scan(g, ["_season"], ["_date", "id"], row_number="_game_number")
     return g.select(
         "id",
         _home(F.col("_cust")).alias("home_team_id"),
