@@ -25,6 +25,7 @@ from courtline.llm.common import discard, stored
 from courtline.llm.components import components
 
 ARCHIVE_BYTES = 16 << 20
+MOST_BROADCAST_REVISITS = 500_000
 # Payloads with more copies than this share of all rows are at most as many as its inverse: they are broadcast.
 HOT_SHARE = 1 / 1024
 # Fixed values of the WARC format.
@@ -82,7 +83,9 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
     a capture of its own; a null key or address has no line in its records.
     The metadata record names the keys of the page and of the page it revisits.
     Other columns are not read; an empty table writes no record.  Payloads are
-    compared by SHA-256 and shuffled once, into the archives.
+    compared by SHA-256.  The revisits' rows, 24 bytes and a key each, are
+    counted and broadcast up to ``MOST_BROADCAST_REVISITS``, so that no payload
+    is shuffled; beyond, payloads are shuffled once to meet them.
     """
     run, moment = uuid.uuid4().hex, (date or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
@@ -91,10 +94,14 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
         F.regexp_replace(F.regexp_replace(F.col(url).cast("string"), "\r", "%0D"), "\n", "%0A").alias("url"),
         body.alias("payload"), F.octet_length(body).alias("n"), base32_sha1(body).alias("digest"),
         F.unhex(F.sha2(body, 256)).alias("same")), "warc-pages", compression="zstd")
-    total = src.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    archives = max(1, -(-total // archive_bytes))
-    again = _with_first(src.filter(F.col("n") >= least_revisit_bytes).select("row", "key", "same"))
-    full = src.repartition(archives, "row").join(again, "row", "left")
+    pages_, total = src.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    again = stored(_with_first(src.filter(F.col("n") >= least_revisit_bytes).select("row", "key", "same")), "warc-again")
+    if again.count() <= MOST_BROADCAST_REVISITS:
+        full = src.join(F.broadcast(again), "row", "left")
+    else:
+        full = src.repartition(max(1, -(-total // archive_bytes)), "row").join(again, "row", "left")
+    # Three records a page, and a header's worth beside each payload.
+    per_archive = max(3, 3 * archive_bytes * pages_ // (total + 1000 * pages_ + 1))
 
     def urn(row: Column, kind: str) -> Column:
         h = F.md5(F.concat(F.lit(run + kind), row.cast("string")))
@@ -122,7 +129,7 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
     )
     # A string column may hold any bytes; the text sink writes them as they are.
     full.select(F.explode(records).alias("r")).select(F.col("r").cast("string").alias("value")) \
-        .write.option("lineSep", _END).text(path, compression="gzip" if gzip else "none")
+        .write.option("lineSep", _END).option("maxRecordsPerFile", per_archive).text(path, compression="gzip" if gzip else "none")
     discard(src)
 
 

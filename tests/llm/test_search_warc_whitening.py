@@ -169,8 +169,10 @@ def test_pages_come_back_from_archives(spark, least, size):
     assert warc.further_records(records).count() == 0
 
 
-def test_every_row_repeated(spark):
-    """A payload held by a third of all rows takes the way of the hot ones."""
+@pytest.mark.parametrize("most", [500_000, 10])
+def test_every_row_repeated(spark, monkeypatch, most):
+    """A payload held by a third of all rows takes the way of the hot ones, broadcast or shuffled."""
+    monkeypatch.setattr(warc, "MOST_BROADCAST_REVISITS", most)
     rows = [(i, f"u{i}", "<p>hot</p>" if i % 3 else f"<p>{i}</p>") for i in range(1500)]
     _, records = archive(spark, spark.createDataFrame(rows, PAGES))
     assert sorted([tuple(r) for r in warc.page_captures(warc.captures(records)).collect()], key=str) == plain_pages(rows)
