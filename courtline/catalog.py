@@ -490,6 +490,15 @@ from courtline.operators import audit as AU  # noqa: E402
 from courtline.schemas import FOREIGN_KEYS, NATURAL_KEYS  # noqa: E402
 
 
+def _stored_bridge(spark, base):
+    """The four bridge tables as the first version of a table store."""
+    t = _bridge_tables(spark, base)
+    store = INC.TableStore(spark, INC.fresh_area(spark, "bridge_store"))
+    rejects = spark.createDataFrame([], "file_key string, level string, reason string")
+    store.commit(NO.Normalised(t["teams"], t["players"], t["games"], t["boxscore_record"], rejects), 0, "")
+    return store
+
+
 def _bridge_tables(spark, base):
     return {"teams": B.teams(spark, base), "players": B.players(spark, base),
             "games": B.games(spark, base), "boxscore_record": B.boxscore(spark, base)}
@@ -511,32 +520,75 @@ def q_scan_table(spark, base):
     return out
 
 
-@register("lookup_by_id", O.bridge_sql(
-    "SELECT g.home_team_id + 5 AS requested_id, t.name FROM games g LEFT JOIN teams t ON t.id = g.home_team_id + 5"))
+_LABELS = {"teams": "name", "players": "concat_ws(' ', player_code, name)", "games": "concat_ws(' ', game_code, CAST(home_team_score AS {text}))",
+           "boxscore_record": "concat_ws(' ', CAST(player_id AS {text}), CAST(game_id AS {text}))"}
+
+
+@register("lookup_by_id", O.bridge_sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, r.id AS requested_id, x.label FROM (SELECT id FROM {t} UNION ALL SELECT -1 - id FROM {t} "
+    f"UNION ALL SELECT id FROM {t} WHERE id % 7 = 0) r "
+    f"LEFT JOIN (SELECT id, {label.format(text='VARCHAR')} AS label FROM {t}) x ON x.id = r.id" for t, label in _LABELS.items())))
 def q_lookup_by_id(spark, base):
-    ids = B.games(spark, base).select((F.col("home_team_id") + 5).alias("id"))
-    return AU.lookup_by_id(B.teams(spark, base), ids)
-
-
-@register("delete_restrict", O.bridge_sql("""SELECT 'teams' AS table_name, r.id,
-  CASE WHEN t.id IS NULL THEN 'absent'
-       WHEN EXISTS (SELECT 1 FROM games g WHERE g.home_team_id = r.id OR g.away_team_id = r.id)
-         OR EXISTS (SELECT 1 FROM boxscore_record b WHERE b.team_id = r.id) THEN 'refused'
-       ELSE 'deleted' END AS outcome
-FROM (SELECT DISTINCT home_team_id + 5 AS id FROM games) r LEFT JOIN teams t ON t.id = r.id
-UNION ALL
-SELECT 'games', r.id,
-  CASE WHEN EXISTS (SELECT 1 FROM boxscore_record b WHERE b.game_id = r.id) THEN 'refused' ELSE 'deleted' END
-FROM (SELECT id FROM games WHERE id % 100 = 0) r"""))
+    """Every id of each of the four stored tables, some asked for twice, and as many that are not there."""
+    store = _stored_bridge(spark, base)
+    out = None
+    for name, label in _LABELS.items():
+        ids = store.table(name).select("id")
+        ids = ids.unionByName(ids.select((-1 - F.col("id")).alias("id"))).unionByName(ids.filter("id % 7 = 0"))
+        found = store.lookup(name, ids)
+        found = found.select(F.lit(name).alias("table_name"), "requested_id", F.when(
+            F.col(found.columns[1]).isNotNull(), F.expr(label.format(text="STRING"))).alias("label"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+# All ids of the four tables, and as many absent ones, are deleted in this order.  Box rows of every third game stay out of it at first.
+_DELETE_SQL = {
+    "asked": "SELECT 1 AS step, 'teams' AS table_name, id FROM teams UNION ALL SELECT 1, 'teams', -1 - id FROM teams "
+             "UNION ALL SELECT 2, 'boxscore_record', id FROM boxscore_record WHERE game_id % 3 <> 0 "
+             "UNION ALL SELECT 3, 'games', id FROM games UNION ALL SELECT 3, 'games', -1 - id FROM games "
+             "UNION ALL SELECT 4, 'players', id FROM players UNION ALL SELECT 4, 'players', -1 - id FROM players "
+             "UNION ALL SELECT 5, 'boxscore_record', id FROM boxscore_record UNION ALL SELECT 6, 'games', id FROM games "
+             "UNION ALL SELECT 7, 'teams', id FROM teams WHERE id % 2 = 0",
+    "outcomes": """SELECT a.*, CASE WHEN a.id < 0 THEN 'absent'
+  WHEN step = 1 AND (EXISTS (SELECT 1 FROM games g WHERE g.home_team_id = a.id OR g.away_team_id = a.id)
+    OR EXISTS (SELECT 1 FROM boxscore_record b WHERE b.team_id = a.id)) THEN 'refused'
+  WHEN step = 3 AND EXISTS (SELECT 1 FROM boxscore_record b WHERE b.game_id = a.id AND b.game_id % 3 = 0) THEN 'refused'
+  WHEN step = 4 AND EXISTS (SELECT 1 FROM boxscore_record b WHERE b.player_id = a.id AND b.game_id % 3 = 0) THEN 'refused'
+  WHEN step = 5 AND (SELECT b.game_id % 3 <> 0 FROM boxscore_record b WHERE b.id = a.id) THEN 'absent'
+  WHEN step = 6 AND NOT EXISTS (SELECT 1 FROM boxscore_record b WHERE b.game_id = a.id AND b.game_id % 3 = 0) THEN 'absent'
+  WHEN step = 7 AND NOT EXISTS (SELECT 1 FROM games g WHERE g.home_team_id = a.id OR g.away_team_id = a.id)
+    AND NOT EXISTS (SELECT 1 FROM boxscore_record b WHERE b.team_id = a.id) THEN 'absent'
+  ELSE 'deleted' END AS outcome FROM asked a""",
+    "left_over": "SELECT t.table_name, t.id FROM (SELECT 'teams' AS table_name, id FROM teams UNION ALL SELECT 'players', id FROM players "
+                 "UNION ALL SELECT 'games', id FROM games UNION ALL SELECT 'boxscore_record', id FROM boxscore_record) t "
+                 "WHERE NOT EXISTS (SELECT 1 FROM outcomes o WHERE o.table_name = t.table_name AND o.id = t.id AND o.outcome = 'deleted')",
+}
+
+
+@register("delete_restrict", O.bridge_sql(
+    "SELECT CAST(step AS INTEGER) AS step, table_name, id, outcome FROM outcomes UNION ALL SELECT 8, table_name, id, 'remains' FROM left_over",
+    _DELETE_SQL))
 def q_delete_restrict(spark, base):
+    """Outcomes of seven deletions from stored tables, one after the other, and the rows a reader finds afterwards."""
+    store = _stored_bridge(spark, base)
     t = _bridge_tables(spark, base)
-    team_ids = t["games"].select((F.col("home_team_id") + 5).alias("id"))
-    o1, _ = AU.delete_restrict(t["teams"], team_ids,
-                               [(t["games"], "home_team_id"), (t["games"], "away_team_id"),
-                                (t["boxscore_record"], "team_id")], "teams")
-    game_ids = t["games"].filter(F.col("id") % 100 == 0).select("id")
-    o2, _ = AU.delete_restrict(t["games"], game_ids, [(t["boxscore_record"], "game_id")], "games")
-    return o1.unionByName(o2)
+
+    def ids(name, absent=False):
+        own = t[name].select("id")
+        return own.unionByName(own.select((-1 - F.col("id")).alias("id"))) if absent else own
+
+    steps = [("teams", ids("teams", True)), ("boxscore_record", t["boxscore_record"].filter("game_id % 3 <> 0").select("id")),
+             ("games", ids("games", True)), ("players", ids("players", True)), ("boxscore_record", ids("boxscore_record")),
+             ("games", ids("games")), ("teams", ids("teams").filter("id % 2 = 0"))]
+    out = None
+    for number, (name, wanted) in enumerate(steps, 1):
+        got = store.delete(name, wanted).select(F.lit(number).alias("step"), "table_name", "id", "outcome")
+        out = got if out is None else out.unionByName(got)
+    for name in t:
+        out = out.unionByName(store.table(name).select(F.lit(8).alias("step"), F.lit(name).alias("table_name"), "id",
+                                                       F.lit("remains").alias("outcome")))
+    return out
 
 
 _UNIQUE_KEYS = {t: [k, ["id"]] for t, k in NATURAL_KEYS.items()}
@@ -726,6 +778,58 @@ def _trained(spark, base):
     return MO.fit(train), test
 
 
+# A label with signal, of given columns only: what a trainer has to find, and a predicted mean does not.
+_SIGNAL = "avg_last_3_points * 2 + if(played_for_home = 1, 15, 0) + avg_last_3_assists"
+
+
+def _with_signal(df):
+    return df.withColumn("next_game_valuation", F.expr(_SIGNAL).cast("double"))
+
+
+@register("train_gbt_signal", O.features_sql(f"""SELECT 'validation_mae' AS metric, count(*) AS n, true AS under_half_of_mean
+FROM prep WHERE season IS NOT DISTINCT FROM '{_TEST}'""", _PREP))
+def q_train_gbt_signal(spark, base):
+    """The same training on a label that the features determine: the error has to be under half of that of the training mean."""
+    train, test = (_with_signal(x) for x in PR.split(PR.preprocess(_features(spark, base)), _TEST))
+    scored = MO.score(MO.fit(train), test).withColumn("_mean", train.agg(F.avg("next_game_valuation")).scalar())
+    label = F.col("next_game_valuation")
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(label - F.col("prediction"))).alias("_mae"),
+                      F.avg(F.abs(label - F.col("_mean"))).alias("_base")).select(
+        F.lit("validation_mae").alias("metric"), "n", (F.col("_mae") < 0.5 * F.col("_base")).alias("under_half_of_mean"))
+
+
+@register("training_curve_tail", O.features_sql(f"""SELECT CAST(r AS INTEGER) AS round, (SELECT count(*) FROM prep
+  WHERE season IS NOT DISTINCT FROM '{_TEST}') AS n, true AS below_first_round FROM (SELECT unnest(range(96, 101)) AS r)""", _PREP))
+def q_training_curve_tail(spark, base):
+    """The last five of the training's hundred rounds: rows measured, and whether the error fell below the first round's."""
+    train, test = (_with_signal(x) for x in PR.split(PR.preprocess(_features(spark, base)), _TEST))
+    curve = MO.training_curve(MO.fit(train), test)
+    first = curve.filter("round = 1").select(F.col("mae").alias("_first"))
+    return curve.withColumn("_first", first.scalar()).orderBy(F.desc("round")).limit(5).select(
+        "round", "n", (F.col("mae") < F.col("_first")).alias("below_first_round"))
+
+
+@register("score_stored_model", O.features_sql(f"""SELECT player_id, CAST(season AS INTEGER) AS season, game_number,
+  next_game_valuation IS NOT NULL AS labelled, true AS scored, true AS as_in_batch
+FROM tf WHERE season IS NOT DISTINCT FROM '{_TEST}'"""))
+def q_score_stored_model(spark, base):
+    """Every row of the test season, last games without a label included, streamed through a stored model read by another reader."""
+    root = INC.fresh_area(spark, "score")
+    train, _ = PR.split(PR.preprocess(_features(spark, base)), _TEST)
+    path = MO.save_model(MO.fit(train, rounds=20), f"{root}/model")
+    fresh = PR.split(PR.preprocess(_features(spark, base), mode="as_written"), _TEST)[1]
+    fresh.write.parquet(f"{root}/rows")
+    stream = spark.readStream.schema(fresh.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/rows")
+    out = MO.score_stream(stream, path, f"{root}/scored", f"{root}/checkpoint")
+    key = ["player_id", "season", "game_number", "opponent_team_id"]
+    batch = MO.score(MO.load_model(path), spark.read.parquet(f"{root}/rows")).select(
+        *key, F.col("next_game_valuation").alias("_label"), F.col("prediction").alias("_batch"))
+    p = F.col("prediction")
+    return out.join(batch, key, "left").select(
+        "player_id", "season", "game_number", F.col("next_game_valuation").isNotNull().alias("labelled"),
+        (p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))).alias("scored"), (p == F.col("_batch")).alias("as_in_batch"))
+
+
 @register("train_gbt", O.features_sql(f"""SELECT 'validation_mae' AS metric, count(*) AS n, true AS near_mean_or_better
 FROM prep WHERE season IS NOT DISTINCT FROM '{_TEST}' AND next_game_valuation IS NOT NULL""", _PREP))
 def q_train_gbt(spark, base):

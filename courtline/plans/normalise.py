@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import game_code_from_path, minutes_reject_reason, minutes_to_seconds, py_strip
+from courtline.operators.key_index import KeyIndex
 from courtline.operators.upsert import insert_if_absent
 from courtline.session import materialize
 from courtline.schemas import BOX_COLUMNS, BOX_STATS, DOCUMENT, INVALID_REFEREES, STAT_FIELD_TO_COLUMN
@@ -37,6 +38,9 @@ class Normalised:
     rejects: DataFrame
     # rows this load added to each table (equal to the tables without a target)
     new: dict[str, DataFrame] | None = None
+    # of stored tables: where their natural keys are looked up, and the greatest id given so far
+    index: KeyIndex | None = None
+    max_ids: dict[str, int] | None = None
 
 
 # Game and player ids side by side make a box row's id: one game's rows never wait for another's to be numbered.
@@ -111,6 +115,7 @@ class Load:
 
     def __init__(self, docs: DataFrame, target: Normalised | None):
         self._target = target
+        self._known: dict[str, DataFrame] = {}
         self._parsed, self._doc_rejects = split_documents(docs)
 
     @cached_property
@@ -138,8 +143,22 @@ class Load:
                   .otherwise(minutes_reject_reason(F.col("line.Minutes"))))
         return player_lines(self._valid).withColumn("player_code", py_strip(F.col("line.Player_ID"))).withColumn("_reason", reason)
 
-    def _insert(self, name: str, *args, **options) -> tuple[DataFrame, DataFrame]:
-        return insert_if_absent(getattr(self._target, name) if self._target else None, *args, **options)
+    def _insert(self, name: str, batch: DataFrame, key: list[str], order: list[str], **options) -> tuple[DataFrame, DataFrame]:
+        target = self._target
+        if target is None:
+            return insert_if_absent(None, batch, key, order, **options)
+        if target.index is not None:
+            table = "boxscore_record" if name == "boxscore" else name
+            self._known[name] = target.index.lookup(table, batch)
+            options |= {"known": self._known[name], "start": target.max_ids.get(table, 0) + 1}
+        return insert_if_absent(getattr(target, name), batch, key, order, **options)
+
+    def _resolved(self, name: str, inserted: tuple[DataFrame, DataFrame], key: str) -> DataFrame:
+        """(id, key) for this load's keys at least: from the index and the new rows where there is an index."""
+        known = self._known.get(name)
+        if known is None:
+            return inserted[1].select("id", key)
+        return known.select("id", key).unionByName(inserted[0].select("id", key))
 
     @cached_property
     def _teams(self) -> tuple[DataFrame, DataFrame]:
@@ -155,8 +174,9 @@ class Load:
 
     def _with_team_ids(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the ids of the two teams that the document itself names."""
-        home = self.teams.select(F.col("id").alias("home_team_id"), F.col("name").alias("home_name"))
-        away = self.teams.select(F.col("id").alias("away_team_id"), F.col("name").alias("away_name"))
+        teams = self._resolved("teams", self._teams, "name")
+        home = teams.select(F.col("id").alias("home_team_id"), F.col("name").alias("home_name"))
+        away = teams.select(F.col("id").alias("away_team_id"), F.col("name").alias("away_name"))
         return rows.join(home, "home_name", "inner").join(away, "away_name", "inner")
 
     @cached_property
@@ -167,8 +187,8 @@ class Load:
     @cached_property
     def _boxscore(self) -> tuple[DataFrame, DataFrame]:
         # Ids are resolved by natural key (no positional pairing).
-        g = self.games.select(F.col("id").alias("game_id"), "game_code")
-        p = self.players.select(F.col("id").alias("player_id"), "player_code")
+        g = self._resolved("games", self._games, "game_code").withColumnRenamed("id", "game_id")
+        p = self._resolved("players", self._players, "player_code").withColumnRenamed("id", "player_id")
         good = self._with_team_ids(self._lines.filter(F.col("_reason").isNull()))
         for_home = F.coalesce(py_strip(F.col("line.Team")) == F.col("home_name"), F.lit(False))
         stat_cols = {col: F.coalesce(F.col("line")[field], F.lit(0)).alias(col)

@@ -13,14 +13,17 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.functions.scalar import path_file_number, path_season
+from courtline.operators.audit import delete_restrict, lookup_by_id
+from courtline.operators.key_index import KeyIndex
 from courtline.plans.normalise import Normalised, normalise
-from courtline.schemas import LANDING_PREFIX
+from courtline.schemas import FOREIGN_KEYS, LANDING_PREFIX, NATURAL_KEYS
 from courtline.session import scratch_path
 
 # ---------------------------------------------------------------------------
@@ -219,19 +222,24 @@ class MarkStore:
 # ------------------------------------------------------------ versioned tables
 
 TABLES = ("teams", "players", "games", "boxscore_record", "rejects")
-COMMITS = "version long, query_id string, batch_id long, delta string"
+COMMITS = "version long, query_id string, batch_id long, delta string, max_ids map<string,bigint>"
 
 
 class TableStore:
     """The four tables and the rejects as append-only Parquet deltas plus a commit log.
 
     Each batch writes only the rows it added, under ``<root>/<table>/delta=<n>/``,
-    and then appends its commit row.  A reader takes the union of the deltas
-    that are committed (a semi-join with the commit log on the partition
-    column), so a batch that failed half way is invisible and its retry simply
-    overwrites its own directories.  Work per batch is proportional to the
-    batch, not to the table.  A batch is known by its query and its number
-    within that query: a query that starts over has batches of its own.
+    sorted by id with Bloom filters on it, and their natural keys in hash buckets
+    (:class:`courtline.operators.key_index.KeyIndex`), and then appends its
+    commit row, which also states the greatest id of each table.  A reader takes
+    the union of the deltas that are committed, so a batch that failed half way is
+    invisible and its retry simply overwrites its own directories.  Inserts ask
+    the index for the buckets that a batch's keys fall in, so the work of a batch
+    follows the batch.  A batch is known by its query and its number within that
+    query: a query that starts over has batches of its own.
+
+    Deleted ids are tombstones under the same log: a row goes where a later
+    version names its id.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -250,26 +258,93 @@ class TableStore:
         return done is not None and not done.filter(
             (F.col("batch_id") == batch_id) & (F.col("query_id") == query_id)).isEmpty()
 
+    def _kept(self, done: DataFrame) -> DataFrame:
+        return done.groupBy("delta").agg(F.max("version").alias("version"))
+
+    def _deleted(self, done: DataFrame) -> dict[str, DataFrame]:
+        """Tombstones (id, version) of the tables that have any."""
+        out = {}
+        for name in NATURAL_KEYS:
+            gone = read_if_present(self.spark, f"{self.root}/_deleted/{name}", "id long, delta string")
+            if gone is not None:
+                out[name] = gone.join(self._kept(done), "delta").groupBy(F.col("id").alias("_gone_id")).agg(F.max("version").alias("_gone_version"))
+        return out
+
+    def table(self, name: str) -> DataFrame | None:
+        """One table's committed rows that no later deletion names; None before the first commit."""
+        done = self.committed_batches()
+        return None if done is None else self._table(name, done, self._deleted(done))
+
+    def _table(self, name: str, done: DataFrame, deleted: dict[str, DataFrame]) -> DataFrame:
+        rows = self.spark.read.option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{name}") \
+            .withColumn("delta", F.col("delta").cast("string"))
+        if name not in deleted:
+            return rows.join(self._kept(done), "delta", "left_semi").drop("delta")
+        gone = deleted[name]
+        return rows.join(self._kept(done), "delta").join(
+            gone, (F.col("id") == gone._gone_id) & (F.col("version") < gone._gone_version), "left_anti").drop("delta", "version")
+
     def read(self) -> Normalised | None:
         done = self.committed_batches()
         if done is None:
             return None
-        kept = done.select("delta").distinct()
-        t = {name: self.spark.read.option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{name}")
-             .withColumn("delta", F.col("delta").cast("string")).join(kept, "delta", "left_semi").drop("delta") for name in TABLES}
-        return Normalised(t["teams"], t["players"], t["games"], t["boxscore_record"], t["rejects"])
+        deleted = self._deleted(done)
+        t = {name: self._table(name, done, deleted) for name in TABLES}
+        most = done.select(F.explode("max_ids").alias("t", "m")).groupBy("t").agg(F.max("m")).collect()  # one row a table
+        index = KeyIndex(self.spark, f"{self.root}/_keys", NATURAL_KEYS)
+        index.kept, index.deleted = self._kept(done), deleted
+        return Normalised(t["teams"], t["players"], t["games"], t["boxscore_record"], t["rejects"], index=index,
+                          max_ids={name: m or 0 for name, m in most})
+
+    def lookup(self, name: str, ids: DataFrame) -> DataFrame:
+        """Every requested id of a table with its row, nulls where there is none."""
+        return lookup_by_id(self.table(name), ids)
+
+    def get(self, name: str, id_: int) -> DataFrame:
+        """The row of one id, at most one; the id reaches the files' statistics, page indexes and Bloom filters."""
+        return self.table(name).filter(F.col("id") == F.lit(id_)).limit(1)
+
+    def _commit_log(self, query_id: str, batch_id: int, delta: str, max_ids: dict[str, int]) -> int:
+        v = (self.latest() or 0) + 1
+        self.spark.createDataFrame([(v, query_id, int(batch_id), delta, max_ids)], COMMITS) \
+            .coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        return v
 
     def commit(self, tables: Normalised, batch_id: int, query_id: str) -> int:
         deltas = tables.new or {"teams": tables.teams, "players": tables.players, "games": tables.games,
                                 "boxscore_record": tables.boxscore}
         deltas = {**deltas, "rejects": tables.rejects}
         delta = f"b{int(batch_id)}-{hashlib.sha256(query_id.encode()).hexdigest()[:16]}"
+        index, max_ids = KeyIndex(self.spark, f"{self.root}/_keys", NATURAL_KEYS), {}
         for name in TABLES:
-            deltas[name].write.mode("overwrite").parquet(f"{self.root}/{name}/delta={delta}")
-        v = (self.latest() or 0) + 1
-        self.spark.createDataFrame([(v, query_id, int(batch_id), delta)], COMMITS) \
-            .write.mode("append").parquet(f"{self.root}/_commits")
-        return v
+            path, rows = f"{self.root}/{name}/delta={delta}", deltas[name]
+            if name == "rejects":
+                rows.write.mode("overwrite").parquet(path)
+                continue
+            seen = Observation()
+            rows.observe(seen, F.max("id").alias("m")).sortWithinPartitions("id").write.mode("overwrite") \
+                .option("parquet.bloom.filter.enabled#id", "true").parquet(path)
+            if seen.get["m"] is not None:
+                max_ids[name] = seen.get["m"]
+            index.write(name, self.spark.read.schema(rows.schema).parquet(path), delta)
+        return self._commit_log(query_id, batch_id, delta, max_ids)
+
+    def delete(self, name: str, ids: DataFrame) -> DataFrame:
+        """Delete rows of a table by id where no row of another table refers to them; (table_name, id, outcome) per requested id.
+
+        Outcomes are ``deleted``, ``refused`` (a child refers to it) and ``absent``.
+        They and the tombstones are written first and count with the commit, so a
+        deletion that fails half way deletes nothing.
+        """
+        children = [(self.table(child), column) for child, column, parent in FOREIGN_KEYS if parent == name]
+        outcomes, _ = delete_restrict(self.table(name), ids, children, name)
+        delta = f"d{uuid.uuid4().hex}"
+        path = f"{self.root}/_outcomes/{name}/delta={delta}"
+        outcomes.write.parquet(path)
+        done = self.spark.read.schema(outcomes.schema).parquet(path)
+        done.filter("outcome = 'deleted'").select("id").write.parquet(f"{self.root}/_deleted/{name}/delta={delta}")
+        self._commit_log(f"delete {name}", 0, delta, {})
+        return done
 
 
 def load_batch(store: TableStore, docs: DataFrame, batch_id: int, query_id: str = "") -> bool:
