@@ -401,15 +401,33 @@ def q_transform_all(spark, base):
     return _summary(store.read())
 
 
-# Of every eleven documents, by game id: one is cut short, one has no referees, one a stat of a wrong type, one odd minutes.
+# Of every eleven documents, by game id: one is cut short, one has no referees, one a stat in each line that is no number,
+# one odd minutes, one a score that is no number, and one numbers in other spellings, which load.
 _FAULTY_SQL = """SELECT file_key, 'document' AS level, 'unparsable document or field of a wrong type' AS reason
-FROM all_docs WHERE id % 11 = 1 OR (id % 11 = 4 AND players > 0)
+FROM all_docs WHERE id % 11 = 1
+UNION ALL SELECT file_key, 'document', 'a side''s Points is no number' FROM all_docs WHERE id % 11 = 8
+UNION ALL SELECT d.file_key, 'player line', 'Steals is no number'
+FROM all_docs d JOIN lineitem l ON l.l_orderkey = d.id JOIN supplier s ON s.s_suppkey = l.l_suppkey WHERE d.id % 50 <> 0 AND d.id % 11 = 4
 UNION ALL SELECT file_key, 'document', 'missing Referees' FROM all_docs WHERE id % 11 = 2
 UNION ALL SELECT d.file_key, 'player line', 'minutes has no '':'''
 FROM all_docs d JOIN lineitem l ON l.l_orderkey = d.id JOIN supplier s ON s.s_suppkey = l.l_suppkey
 WHERE d.id % 50 <> 0 AND d.id % 11 = 6 AND l.l_partkey % 37 = 0"""
 
 
+def _loosely_typed(body):
+    """The same document with booleans, decimals and texts in the place of whole numbers."""
+    for old, new in ((r'"IsStarter":1', '"IsStarter":true'), (r'"IsStarter":0', '"IsStarter":false'), (r'"Steals":(\d+)', '"Steals":$1.0'),
+                     (r'"Assistances":(\d+)', '"Assistances":"$1"'), (r'"totr":\{"Points":(\d+)', '"totr":{"Points":$1.0')):
+        body = F.regexp_replace(body, old, new)
+    return body
+
+
+@register("normalise_loose_types", O.bridge_sql(f"SELECT {', '.join(BOX_COLUMNS)} FROM n_box", O.NORMALISE))
+def q_normalise_loose_types(spark, base):
+    """Box rows from documents whose numbers are spelled as booleans, decimals and texts."""
+    return NO.normalise(NO.parse_documents(B.documents(spark, base).withColumn("body", _loosely_typed(F.col("body"))))).boxscore
+
+
 def _faulty_docs(spark, base):
     d = B.documents(spark, base)
     body, kind = F.col("body"), F.col("game_id") % 11
@@ -417,6 +435,8 @@ def _faulty_docs(spark, base):
               .when(kind == 2, F.replace(body, F.lit('"Referees"'), F.lit('"Refs"')))
               .when(kind == 4, F.regexp_replace(body, r'"Steals":(\d+)', '"Steals":"x$1"'))
               .when(kind == 6, F.replace(body, F.lit('"Minutes":"DNP"'), F.lit('"Minutes":"10"')))
+              .when(kind == 8, F.regexp_replace(body, r'"totr":\{"Points":\d+', '"totr":{"Points":[1]'))
+              .when(kind == 9, _loosely_typed(body))
               .otherwise(body))
     return NO.parse_documents(d.withColumn("body", faulty))
 
@@ -458,10 +478,53 @@ def q_landing_sink(spark, base):
     s0, s1 = F.col("doc.Stats")[0], F.col("doc.Stats")[1]
     return d.select("file_key", F.col("doc.Referees").alias("referees"),
                     s0["tmr"]["Team"].alias("home_team"), s1["tmr"]["Team"].alias("away_team"),
-                    s0["totr"]["Points"].alias("home_points"), s1["totr"]["Points"].alias("away_points"),
+                    F.try_variant_get(s0["totr"]["Points"], "$", "int").alias("home_points"),
+                    F.try_variant_get(s1["totr"]["Points"], "$", "int").alias("away_points"),
                     (F.size(s0["PlayersStats"]) + F.size(s1["PlayersStats"])).alias("players"))
 
 
+@register("landing_overwrite_key", O.bridge_sql(
+    "SELECT file_key, CASE WHEN id % 6 = 0 THEN 'second' WHEN id % 3 = 0 THEN 'later' WHEN id % 2 = 0 THEN 'second' ELSE referees END AS referees "
+    "FROM all_docs", _ALL_DOCS_SQL))
+def q_landing_overwrite_key(spark, base):
+    """Three puts: all documents, every third one twice over, then every second one; the last put under a key counts."""
+    docs = B.documents(spark, base).select("game_id", "season_code", "game_number", F.from_json("body", NO.DOCUMENT).alias("doc"))
+    store = LA.LandingStore(spark, INC.fresh_area(spark, "landing_store"))
+
+    def changed(rows, to):
+        return rows.withColumn("doc", F.col("doc").withField("Referees", F.lit(to)))
+
+    store.put(docs)
+    third = docs.filter("game_id % 3 = 0")
+    store.put(changed(third, "earlier").withColumn("n", F.lit(1)).unionByName(changed(third, "later").withColumn("n", F.lit(2))), order="n")
+    store.put(changed(docs.filter("game_id % 2 = 0"), "second"))
+    return store.read().select("file_key", F.col("doc.Referees").alias("referees"))
+
+
+@register("landing_changes", O.bridge_sql("""SELECT season || '/' || CAST(page AS VARCHAR) AS page, CASE WHEN page % 4 = 0 THEN 'vanished'
+  WHEN bool_or(id % 40 = 0) THEN 'rewritten' END AS change
+FROM (SELECT id, 'E' || right(game_code, 4) AS season, CAST(left(game_code, length(game_code) - 5) AS BIGINT) // 100 AS page FROM games)
+GROUP BY season, page HAVING page % 4 = 0 OR (bool_or(id % 40 = 0) AND page % 4 <> 3)
+UNION ALL SELECT DISTINCT 'E' || right(game_code, 4) || '/' || CAST(CAST(left(game_code, length(game_code) - 5) AS BIGINT) // 100 + 100000 AS VARCHAR), 'new'
+FROM games WHERE (CAST(left(game_code, length(game_code) - 5) AS BIGINT) // 100) % 5 = 1"""))
+def q_landing_changes(spark, base):
+    """Pages of a hundred documents landed twice: changes between the two listings, by contents."""
+    d = B.documents(spark, base).withColumn("page", F.floor(F.col("game_number") / 100))
+    root = INC.fresh_area(spark, "landing_listing")
+
+    def landed(rows, name):
+        rows.select("season_code", "page", "game_number", "body").repartition("season_code", "page") \
+            .sortWithinPartitions("season_code", "page", "game_number").write.partitionBy("season_code", "page").json(f"{root}/{name}")
+        found = LA.listing(spark, f"{root}/{name}")
+        parts = F.regexp_extract_all("file", F.lit("=([^/]+)/"))
+        return found.withColumn("page", F.concat_ws("/", parts))
+
+    first = landed(d, "first")
+    later = d.filter("page % 4 <> 0").withColumn("body", F.when((F.col("game_id") % 40 == 0) & (F.col("page") % 4 != 3), "corrected").otherwise(F.col("body")))
+    more = d.filter("page % 5 = 1").withColumn("page", F.col("page") + 100000)
+    return LA.listing_changes(first, landed(later.unionByName(more), "second"), by="page")
+
+
 _NATURAL_BOX_COLS = ["player_code", "game_code", "team_name", "played_for_home", "is_starter", "seconds",
                      *[c for c in BOX_COLUMNS[7:]]]
 
@@ -591,6 +654,39 @@ def q_delete_restrict(spark, base):
     return out
 
 
+# Faults planted into the tables: a player in seven comes twice, a game in eleven has no home team, the ids of games of one
+# in thirteen are those of other tables' rows, and box rows point to players and games that are not there.
+_PLANTED_SQL = {
+    "f_players": "SELECT * FROM players UNION ALL SELECT id + 1000000, player_code, name || ' again' FROM players WHERE id % 7 = 0",
+    "f_games": "SELECT id, CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN -1 ELSE home_team_id END AS home_team_id, away_team_id, game_code FROM games",
+    "f_box": "SELECT id, CASE WHEN id % 17 = 0 THEN player_id + 1000000 ELSE player_id END AS player_id, game_id, team_id FROM boxscore_record",
+    "r_games": "SELECT id, CASE WHEN home_team_id IS NULL THEN 'home_team_id is null' WHEN home_team_id = -1 THEN 'home_team_id has no parent' END AS reason FROM f_games",
+    "r_players": "SELECT id, CASE WHEN id > 1000000 THEN 'player_code is taken' END AS reason FROM f_players",
+    "r_box": "SELECT b.id, CASE WHEN b.id % 17 = 0 THEN 'player_id has no parent' WHEN g.reason IS NOT NULL THEN 'game_id has no parent' END AS reason "
+             "FROM f_box b JOIN r_games g ON g.id = b.game_id",
+}
+
+
+@register("load_constraints", O.bridge_sql("""SELECT 'teams:' || CAST(id AS VARCHAR) AS row_key, 'stored' AS outcome FROM teams
+UNION ALL SELECT 'players:' || CAST(id AS VARCHAR), coalesce(reason, 'stored') FROM r_players
+UNION ALL SELECT 'games:' || CAST(id AS VARCHAR), coalesce(reason, 'stored') FROM r_games
+UNION ALL SELECT 'boxscore_record:' || CAST(id AS VARCHAR), coalesce(reason, 'stored') FROM r_box""", _PLANTED_SQL))
+def q_load_constraints(spark, base):
+    """Every row of a load with planted faults: stored, or why it is a reject."""
+    t = _bridge_tables(spark, base)
+    again = t["players"].filter("id % 7 = 0").select((F.col("id") + 1000000).alias("id"), "player_code", F.concat("name", F.lit(" again")).alias("name"))
+    t["players"] = t["players"].unionByName(again)
+    t["games"] = t["games"].withColumn("home_team_id", F.expr(
+        "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN -1L ELSE home_team_id END"))
+    t["boxscore_record"] = t["boxscore_record"].withColumn("player_id", F.expr("if(id % 17 = 0, player_id + 1000000, player_id)"))
+    store = INC.TableStore(spark, INC.fresh_area(spark, "load_constraints"))
+    INC.load_tables(store, t, 0, most_rejected=0.5)
+    out = store.table("rejects").select(F.col("file_key").alias("row_key"), F.col("reason").alias("outcome"))
+    for name in ("teams", "players", "games", "boxscore_record"):
+        out = out.unionByName(store.table(name).select(F.concat(F.lit(f"{name}:"), F.col("id").cast("string")), F.lit("stored")).toDF("row_key", "outcome"))
+    return out
+
+
 _UNIQUE_KEYS = {t: [k, ["id"]] for t, k in NATURAL_KEYS.items()}
 
 

@@ -74,6 +74,33 @@ def minutes_reject_reason(minutes: Column) -> Column:
     )
 
 
+_INT_MAX = 2147483647
+
+
+def whole_number(value: Column) -> Column:
+    """A double as an integer column stores it: rounded half away from zero; null beyond its range."""
+    rounded = F.round(value, 0)
+    return F.when(F.abs(rounded) <= _INT_MAX, rounded).cast("int")
+
+
+def variant_number(v: Column) -> Column:
+    """The number that a JSON value stands for: numbers, booleans as 1 and 0, texts of a number; null for any other."""
+    return F.try_variant_get(v, "$", "double")
+
+
+def variant_wrong_number(v: Column, number: Column) -> Column:
+    """Whether a JSON value that is there and not JSON null gives no integer."""
+    return F.coalesce(v.isNotNull() & ~F.is_variant_null(v) & whole_number(number).isNull(), F.lit(False))
+
+
+def variant_truth(v: Column) -> Column:
+    """Python's truth of a JSON value; false where there is none."""
+    kind, text = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+    return F.coalesce(F.when(F.is_variant_null(v), F.lit(False)).when(kind == "STRING", text != "")
+                      .when(variant_number(v).isNotNull(), variant_number(v) != 0)
+                      .otherwise(~F.to_json(v).isin("[]", "{}")), F.lit(False))
+
+
 def game_code_from_path(path: Column) -> Column:
     """``.../E2023/12.json`` -> ``12E2023`` (file stem + parent folder)."""
     file_part = F.element_at(F.split(path, "/"), -1)

@@ -7,8 +7,7 @@ thing as one job):
                           |               on (player_id, season) by game_number)
                           +--> team_games (2 rows per game) --> cumulative_win
                                 (blocked running scan per (team, season))
-    distinct (game, team) of box LEFT JOIN cumulative_win (own) LEFT JOIN cumulative_win (opponent)
-    player_box LEFT JOIN that
+    player_box LEFT JOIN the pairs of cumulative_win's teams of a round (own team and opponent at once)
 
 Window W1 is partitioned by (player_id, season): a player's season is bounded
 by the schedule, so a plain window is the right operator, and
@@ -137,38 +136,47 @@ def training_features(games: DataFrame, box: DataFrame, n: int = 3, skew_safe: b
     """The 54-column feature table (unsorted; sort at a sink that needs it).
 
     Both teams' running ratios are joined by (season, team, game number); a
-    row whose team has no such game gets null.  The joins run on the distinct
-    (game, team) pairs of the box rows, about two a game, and the wide rows
-    meet their result once.
+    row whose team has no such game gets null.  One join does both: see
+    :func:`with_ratios`.
     """
     gi = game_info(games)
-    cw = cumulative_win(gi, skew_safe=skew_safe)
-    pb = player_box(box, gi, n=n, hot_groups=hot_groups)
-    return with_ratios(pb, game_ratios(box, gi, cw))
-
-
-def game_ratios(box: DataFrame, gi: DataFrame, cw: DataFrame) -> DataFrame:
-    """(_game, _team, own and opponent's ratio, their ratio) for the (game, team) pairs of ``box``; several rows where season codes collide."""
-    pairs = join_box_games(box.select("game_id", "team_id").distinct(), gi).selectExpr(
-        "game_id AS _game", "team_id AS _team", "season AS _s", "game_number AS _n",
-        "CASE WHEN _home = team_id THEN _away ELSE _home END AS _opponent")
-    own = cw.selectExpr("season AS _s1", "team_id AS _t1", "game_number AS _n1", "cum_win_ratio AS team_win_ratio")
-    opp = cw.selectExpr("season AS _s2", "team_id AS _t2", "game_number AS _n2", "cum_win_ratio AS opponent_win_ratio")
-    j = (pairs.join(own, (F.col("_s") == own._s1) & (F.col("_team") == own._t1) & (F.col("_n") == own._n1), "left")
-         .join(opp, (F.col("_s") == opp._s2) & (F.col("_opponent") == opp._t2) & (F.col("_n") == opp._n2), "left"))
+    entries = round_entries(cumulative_win(gi, skew_safe=skew_safe))
+    sides = gi.join(entries.select(*ROUND, F.transform("entries", lambda e: e["team"]).alias("_teams")), ROUND, "left")
+    return with_ratios(player_box(box, sides, n=n, gi_extra=("_teams",), extra=("_teams",), hot_groups=hot_groups), entries)
+
+
+ROUND = ["season", "game_number"]
+
+
+def round_entries(cw: DataFrame) -> DataFrame:
+    """(season, game_number, entries): the teams that play under a number and their ratios, two a competition."""
+    return cw.groupBy(*ROUND).agg(F.collect_list(F.struct(F.col("team_id").alias("team"), F.col("cum_win_ratio").alias("ratio"))).alias("entries"))
+
+
+def with_ratios(rows: DataFrame, entries: DataFrame) -> DataFrame:
+    """The player rows with both teams' ratios, as two left joins on (season, team, game number) give them.
+
+    ``rows`` hold the teams of their round in ``_teams``.  The opponent, a side
+    of the row's game, is always one of them; the own team need not be.  So the
+    pairs of entries of a round, and each entry beside none, are all that the two
+    joins could find, and the wide rows meet them once.  Where season codes
+    collide a team has several entries and a row several results.
+    """
+    one = entries.select(*ROUND, "entries", F.explode("entries").alias("_b"))
+    nobody = F.array(F.struct(F.lit(None).cast("long").alias("team"), F.lit(None).cast("double").alias("ratio")))
+    pairs = one.select(*ROUND, "_b", F.explode(F.concat("entries", nobody)).alias("_a")).selectExpr(
+        "season AS _s", "game_number AS _n", "_a.team AS _own", "_b.team AS _other",
+        "_a.ratio AS team_win_ratio", "_b.ratio AS opponent_win_ratio")
+    own = F.when(F.array_contains("_teams", F.col("team_id")), F.col("team_id"))
+    j = rows.join(pairs, (F.col("season") == F.col("_s")) & (F.col("game_number") == F.col("_n"))
+                  & (F.col("opponent_team_id") == F.col("_other")) & own.eqNullSafe(F.col("_own")), "left")
     return j.selectExpr(
-        "_game", "_team", "team_win_ratio", "opponent_win_ratio",
+        *[c for c in rows.columns if c != "_teams"], "team_win_ratio", "opponent_win_ratio",
         "CASE WHEN opponent_win_ratio = 0 THEN CAST(NULL AS DOUBLE) "
         "ELSE team_win_ratio / opponent_win_ratio END AS win_ratio_ratio",
     )
 
 
-def with_ratios(pb: DataFrame, ratios: DataFrame) -> DataFrame:
-    """The player rows with their game's ratios, as :func:`game_ratios` gives them."""
-    j = pb.join(ratios, (pb.game_id == ratios._game) & pb.team_id.eqNullSafe(ratios._team), "left")
-    return j.select(*pb.columns, "team_win_ratio", "opponent_win_ratio", "win_ratio_ratio")
-
-
 def sorted_features(features: DataFrame) -> DataFrame:
     """The feature table in (game_id, player_id) order, for a sink that needs it.
 

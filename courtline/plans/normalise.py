@@ -11,7 +11,10 @@ landing key order, then home before away, then roster position:
 * box rows first seen by (file_key, position) per (player_id, game_id)
 
 Inputs the source would crash on (missing referees, minutes without ':',
-null minutes, null codes or names) are routed to ``rejects`` with a reason.
+null minutes, null codes or names) are routed to ``rejects`` with a reason, and
+so is a player line with a statistic that is no number.  Whole numbers in any
+spelling (7, 7.0, true, "7") are taken, fractions rounded as the database does;
+a missing or null statistic counts as 0.
 """
 
 from __future__ import annotations
@@ -19,14 +22,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.functions.scalar import game_code_from_path, minutes_reject_reason, minutes_to_seconds, py_strip
+from courtline.functions.scalar import (
+    game_code_from_path, minutes_reject_reason, minutes_to_seconds, py_strip, variant_number, variant_truth, variant_wrong_number, whole_number)
 from courtline.operators.key_index import KeyIndex
 from courtline.operators.upsert import insert_if_absent
 from courtline.session import materialize
-from courtline.schemas import BOX_COLUMNS, BOX_STATS, DOCUMENT, INVALID_REFEREES, STAT_FIELD_TO_COLUMN
+from courtline.schemas import BOX_COLUMNS, BOX_STATS, DOCUMENT, INVALID_REFEREES, LINE, STAT_FIELD_TO_COLUMN
 
 
 @dataclass
@@ -62,10 +66,14 @@ def split_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid documents, rejects).  Placeholder games are dropped silently."""
     # A value of a wrong type must not pass for a missing one, which counts as 0.
     broken = F.col("doc").isNull() | F.col("doc._corrupt_record").isNotNull()
-    malformed = broken | F.col("doc.Referees").isNull() | (F.coalesce(F.size("doc.Stats"), F.lit(0)) < 2)
+    few = F.coalesce(F.size("doc.Stats"), F.lit(0)) < 2
+    scores = [F.get("doc.Stats", i)["totr"]["Points"] for i in (0, 1)]
+    no_score = variant_wrong_number(scores[0], variant_number(scores[0])) | variant_wrong_number(scores[1], variant_number(scores[1]))
+    malformed = broken | F.col("doc.Referees").isNull() | few | no_score
     reason = (F.when(broken, F.lit("unparsable document or field of a wrong type"))
               .when(F.col("doc.Referees").isNull(), F.lit("missing Referees"))
-              .otherwise(F.lit("fewer than two team sides")))
+              .when(few, F.lit("fewer than two team sides"))
+              .otherwise(F.lit("a side's Points is no number")))
     rejects = docs.filter(malformed).select("file_key", F.lit("document").alias("level"), reason.alias("reason"))
     valid = docs.filter(~malformed & ~is_invalid_game(F.col("doc")))
     return valid, rejects
@@ -79,23 +87,37 @@ def game_sides(valid: DataFrame) -> DataFrame:
         game_code_from_path(F.col("file_key")).alias("game_code"),
         s0["tmr"]["Team"].alias("home_name"),
         s1["tmr"]["Team"].alias("away_name"),
-        s0["totr"]["Points"].alias("home_team_score"),
-        s1["totr"]["Points"].alias("away_team_score"),
+        whole_number(variant_number(s0["totr"]["Points"])).alias("home_team_score"),
+        whole_number(variant_number(s1["totr"]["Points"])).alias("away_team_score"),
     )
 
 
 def player_lines(valid: DataFrame) -> DataFrame:
-    """One row per player line: home roster first, then away, with its position."""
+    """One row per player line: home roster first, then away, with its position.
+
+    ``line`` is the line read field by field, ``raw`` its fields as they are in
+    the document; both are null where a roster's entry is no object.
+    """
     s0, s1 = F.col("doc.Stats")[0], F.col("doc.Stats")[1]
     home = F.coalesce(s0["PlayersStats"], F.array())
     away = F.coalesce(s1["PlayersStats"], F.array())
-    return valid.select(
+    exploded = valid.select(
         "file_key",
         game_code_from_path(F.col("file_key")).alias("game_code"),
         s0["tmr"]["Team"].alias("home_name"),
         s1["tmr"]["Team"].alias("away_name"),
-        F.posexplode(F.concat(home, away)).alias("pos", "line"),
+        F.posexplode(F.concat(home, away)).alias("pos", "_line"),
     )
+    return exploded.select("file_key", "game_code", "home_name", "away_name", "pos",
+                           F.try_variant_get("_line", "$", LINE).alias("line"),
+                           F.try_variant_get("_line", "$", "map<string, variant>").alias("raw"))
+
+
+def line_fault(line: Column, raw: Column) -> Column:
+    """The first statistic of a player line that is there and no number, as a reason; null where all can be stored."""
+    faults = [F.when(variant_wrong_number(F.try_element_at(raw, F.lit(f)), line[f]), F.lit(f"{f} is no number"))
+              for f in STAT_FIELD_TO_COLUMN]
+    return F.coalesce(F.when(raw.isNull(), F.lit("player line is no object")), *faults)
 
 
 def normalise(docs: DataFrame, target: Normalised | None = None) -> "Load":
@@ -138,16 +160,22 @@ class Load:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        reason = (F.when(F.col("line.Player_ID").isNull(), F.lit("Player_ID is null"))
-                  .when(F.col("line.Player").isNull(), F.lit("Player is null"))
-                  .otherwise(minutes_reject_reason(F.col("line.Minutes"))))
-        return player_lines(self._valid).withColumn("player_code", py_strip(F.col("line.Player_ID"))).withColumn("_reason", reason)
+        line, raw = F.col("line"), F.col("raw")
+        reason = (F.when(raw.isNotNull() & line["Player_ID"].isNull(), F.lit("Player_ID is null"))
+                  .when(raw.isNotNull() & line["Player"].isNull(), F.lit("Player is null"))
+                  .otherwise(F.coalesce(line_fault(line, raw), minutes_reject_reason(line["Minutes"]))))
+        lines = player_lines(self._valid).withColumn("player_code", py_strip(line["Player_ID"])).withColumn("_reason", reason)
+        # Decoded once, for players, box rows and rejects; otherwise every use of a field would carry its decoding along.
+        return materialize(lines.select("file_key", "game_code", "home_name", "away_name", "pos", "line", "player_code", "_reason",
+                                        variant_truth(F.try_element_at(raw, F.lit("IsStarter"))).alias("starter")))
 
     def _insert(self, name: str, batch: DataFrame, key: list[str], order: list[str], **options) -> tuple[DataFrame, DataFrame]:
         target = self._target
         if target is None:
             return insert_if_absent(None, batch, key, order, **options)
-        if target.index is not None:
+        if getattr(target, "index", None) is not None:
+            # The batch is looked up, inserted and resolved: one copy of it keeps those plans short.
+            batch = materialize(batch)
             table = "boxscore_record" if name == "boxscore" else name
             self._known[name] = target.index.lookup(table, batch)
             options |= {"known": self._known[name], "start": target.max_ids.get(table, 0) + 1}
@@ -191,13 +219,13 @@ class Load:
         p = self._resolved("players", self._players, "player_code").withColumnRenamed("id", "player_id")
         good = self._with_team_ids(self._lines.filter(F.col("_reason").isNull()))
         for_home = F.coalesce(py_strip(F.col("line.Team")) == F.col("home_name"), F.lit(False))
-        stat_cols = {col: F.coalesce(F.col("line")[field], F.lit(0)).alias(col)
+        stat_cols = {col: F.coalesce(whole_number(F.col("line")[field]), F.lit(0)).alias(col)
                      for field, col in STAT_FIELD_TO_COLUMN.items()}
         batch = good.join(g, "game_code", "inner").join(p, "player_code", "inner").select(
             "file_key", "pos", "player_id", "game_id",
             F.when(for_home, F.col("home_team_id")).otherwise(F.col("away_team_id")).alias("team_id"),
             for_home.alias("played_for_home"),
-            F.coalesce(F.col("line.IsStarter") != 0, F.lit(False)).alias("is_starter"),
+            F.col("starter").alias("is_starter"),
             minutes_to_seconds(F.col("line.Minutes")).alias("seconds"),
             *[stat_cols[c] for c in BOX_STATS])
         return self._insert("boxscore", batch, ["player_id", "game_id"], ["file_key", "pos"],

@@ -108,27 +108,20 @@ FOREIGN_KEYS: list[tuple[str, str, str]] = [
 ]
 
 # Raw landing document.  Only fields the pipeline reads are declared; the
-# reader ignores the rest.
-_PLAYER_ROW = T.StructType(
-    [
-        T.StructField("Player_ID", T.StringType()),
-        T.StructField("Player", T.StringType()),
-        T.StructField("Team", T.StringType()),
-        T.StructField("IsStarter", T.IntegerType()),
-        T.StructField("Minutes", T.StringType()),
-    ]
-    + [T.StructField(f, T.IntegerType()) for f in STAT_FIELD_TO_COLUMN]
-)
-
+# reader ignores the rest.  Player lines and scores stay variants, so a value of
+# an unexpected type is that line's or score's affair and not the document's.
 _TEAM_SIDE = T.StructType([
     T.StructField("tmr", T.StructType([T.StructField("Team", T.StringType())])),
-    T.StructField("totr", T.StructType([T.StructField("Points", T.IntegerType())])),
-    T.StructField("PlayersStats", T.ArrayType(_PLAYER_ROW)),
+    T.StructField("totr", T.StructType([T.StructField("Points", T.VariantType())])),
+    T.StructField("PlayersStats", T.ArrayType(T.VariantType())),
 ])
+# What a player line is read as; a field that cannot be is null there.
+LINE_TEXTS = ["Player_ID", "Player", "Team", "Minutes"]
+LINE = "struct<" + ", ".join([*(f"{f}: string" for f in LINE_TEXTS), *(f"{f}: double" for f in STAT_FIELD_TO_COLUMN)]) + ">"
 
 DOCUMENT = T.StructType([
     T.StructField("Referees", T.StringType()),
     T.StructField("Stats", T.ArrayType(_TEAM_SIDE)),
-    # The text of a document that is no JSON or holds a value of another type than declared.
+    # The text of a document that is no JSON or is built in another way than declared.
     T.StructField("_corrupt_record", T.StringType()),
 ])

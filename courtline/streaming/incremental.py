@@ -18,13 +18,14 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from courtline.functions.scalar import path_file_number, path_season
-from courtline.operators.audit import delete_restrict, lookup_by_id
+from courtline.operators.audit import delete_restrict, lookup_by_id, with_violation
 from courtline.operators.key_index import KeyIndex
 from courtline.plans.normalise import Normalised, normalise
-from courtline.schemas import FOREIGN_KEYS, LANDING_PREFIX, NATURAL_KEYS
-from courtline.session import scratch_path
+from courtline.schemas import BOXSCORE, FOREIGN_KEYS, GAMES, LANDING_PREFIX, NATURAL_KEYS, PLAYERS, TEAMS
+from courtline.session import materialize, scratch_path
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the source system's for identical results:
@@ -222,6 +223,8 @@ class MarkStore:
 # ------------------------------------------------------------ versioned tables
 
 TABLES = ("teams", "players", "games", "boxscore_record", "rejects")
+# Parents before children.
+SCHEMAS = {"teams": TEAMS, "players": PLAYERS, "games": GAMES, "boxscore_record": BOXSCORE}
 COMMITS = "version long, query_id string, batch_id long, delta string, max_ids map<string,bigint>"
 
 
@@ -347,6 +350,51 @@ class TableStore:
         return done
 
 
+class ConstraintError(ValueError):
+    """Too large a share of a load's rows breaks a constraint; nothing of the load was committed."""
+
+
+def load_tables(store: TableStore, tables: dict[str, DataFrame], batch_id: int, query_id: str = "", most_rejected: float = 0.1) -> dict[str, dict[str, int]]:
+    """Commit rows of the four tables that keep their constraints, store the others as rejects; counts per table and reason.
+
+    Not-null columns, unique keys and ids, against stored rows too, and foreign
+    keys, against stored and accepted parents, are tested in the order of the
+    foreign keys, so a rejected parent takes its children along.  The tested
+    rows are written once, and that write counts the violations.  If they are
+    more than ``most_rejected`` of a table's rows, the load is refused.
+    """
+    spark, stored = store.spark, store.read()
+    area = f"{store.root}/_tested/{uuid.uuid4().hex}"
+    counts, accepted, rejects = {}, {}, None
+    for name, schema in SCHEMAS.items():
+        columns = [f.name for f in schema.fields]
+        rows = materialize(tables[name].select(*columns).withColumn("_row", F.monotonically_increasing_id()))
+        old = None if stored is None else getattr(stored, "boxscore" if name == "boxscore_record" else name)
+        parents = {}
+        for child, column, parent in FOREIGN_KEYS:
+            if child == name:
+                ids = accepted[parent].select("id")
+                parents[column] = ids if stored is None else ids.unionByName(getattr(stored, parent).select("id"))
+        keys = [NATURAL_KEYS[name], ["id"]]
+        tested = with_violation(rows, [f.name for f in schema.fields if not f.nullable], keys, parents,
+                                None if old is None else {tuple(k): old.select(*k) for k in keys})
+        seen = Observation()
+        tested.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("violation").alias("rejected")) \
+            .withColumn("accepted", F.col("violation").isNull()).write.partitionBy("accepted").parquet(f"{area}/{name}")
+        n, bad = seen.get["rows"], seen.get["rejected"]
+        if bad > most_rejected * n:
+            raise ConstraintError(f"{bad} of {n} rows of {name} break a constraint")
+        written = spark.read.schema(T.StructType([*tested.schema.fields, T.StructField("accepted", T.BooleanType())])).parquet(f"{area}/{name}")
+        accepted[name] = written.filter("accepted").select(*columns)
+        turned_away = written.filter("NOT accepted").select(
+            F.concat(F.lit(f"{name}:"), F.coalesce(F.col("id").cast("string"), F.lit("null"))).alias("file_key"),
+            F.lit("row").alias("level"), F.col("violation").alias("reason"))
+        rejects = turned_away if rejects is None else rejects.unionByName(turned_away)
+        counts[name] = {"rows": n, "rejected": bad}
+    store.commit(Normalised(accepted["teams"], accepted["players"], accepted["games"], accepted["boxscore_record"], rejects), batch_id, query_id)
+    return counts
+
+
 def load_batch(store: TableStore, docs: DataFrame, batch_id: int, query_id: str = "") -> bool:
     """Insert one batch of parsed documents; a batch of that query already committed is skipped (False)."""
     if store.holds(batch_id, query_id):
