@@ -224,3 +224,53 @@ def test_language_by_held_out_rows(spark, docs_of):
     assert all(0 <= r.score <= 1 for r in got.values())
     nothing = langid.train(spark.createDataFrame([], DOCS))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
+
+
+def plain_bayes(rows, text):
+    """Naive Bayes over the same n-grams, written out per language; None for und."""
+    import math
+    from collections import Counter
+    if not text or not any(c.isalpha() for c in text):
+        return None
+    size, seen = 1 << langid.BUCKET_BITS, {}
+    for t, language in rows:
+        if t is not None and language is not None:
+            seen.setdefault(language, []).append(t)
+    mine = Counter(int(b) for g in langid.grams(text) for b in g)
+    odds = {}
+    for language, texts in seen.items():
+        c = Counter(int(b) for t in texts for g in langid.grams(t) for b in g)
+        total = sum(c.values()) + langid.SMOOTHING * size
+        odds[language] = math.log(len(texts) / sum(map(len, seen.values()))) + sum(
+            n * math.log((c[b] + langid.SMOOTHING) / total) for b, n in mine.items())
+    best = max(sorted(odds), key=odds.get)
+    return best, 1 / sum(math.exp(o - odds[best]) for o in odds.values())
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_languages_by_plain_bayes(spark, docs_of, monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    r = random.Random(2)
+    names = [f"l{i}" for i in range(8)]
+    alphabet = {x: "".join(r.sample("abcdefghijklmnoprstuvwz", 9)) for x in names}
+    rows = [(i, " ".join("".join(r.choices(alphabet[x], k=4)) for _ in range(r.randrange(2, 9))), x) for i, x in enumerate(names * 6)]
+    rows += [(100, None, "l1"), (101, "no language", None), (102, "", "l2"), (None, "null key", "l3"), (103, "123 ²½①", "l4")]
+    docs = docs_of(rows)
+    model = langid.train(docs)
+    got = {x.doc_id: (x.lang_pred, x.score) for x in langid.identify(docs, model).collect()}
+    assert len(model.blocks) == -(-8 // block)
+    for key, text, _ in rows:
+        want = plain_bayes([(t, x) for _, t, x in rows], text)
+        assert got[key][0] == (want[0] if want else "und") == model.predict(text)[0]
+        assert got[key][1] == pytest.approx(want[1] if want else 0.0, rel=1e-3)
+
+
+def test_any_number_of_languages(spark, docs_of):
+    docs = docs_of([(i, f"word{i} wörter{i % 7} text", f"x{i % 2000}") for i in range(4000)])
+    model = langid.train(docs)
+    assert sum(len(b.languages) for b in model.blocks) == 2000 and len(model.blocks) == 4
+    got = langid.identify(docs.limit(50), model).collect()
+    assert len(got) == 50 and all(r.lang_pred.startswith("x") and 0 < r.score <= 1 for r in got)
+    assert langid.identify(docs.limit(0), model).count() == 0
+    odd = docs_of([(1, "² ½ ① 42"), (2, "½a"), (3, "日"), (4, None), (None, "_")])
+    assert {r.doc_id: r.lang_pred == "und" for r in langid.identify(odd, model).collect()} == {1: True, 2: False, 3: False, 4: True, None: True}
