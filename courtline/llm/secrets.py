@@ -2,18 +2,24 @@
 
 Long strings with digits and values assigned to a secret's name, whatever
 their length and signs, are findings.  A forest, trained on labelled
-findings, tells secrets from addresses, numbers, paths and identifiers by
-length, character transitions, dictionary coverage, path signs and the
-neighbouring words.  Transition and word counts cover all texts; only the
-forest is trained on a bounded sample of labelled findings.
+findings, tells secrets from placeholders, addresses, numbers, paths and
+identifiers by length, character transitions, dictionary coverage, path signs
+and the neighbouring words.  Transition and word counts cover all texts.
+
+The corpus has no labels of findings, so findings with a known truth are
+planted: values of many kinds, drawn at random, are put behind names of secrets
+and of other things into surroundings cut from the corpus.  Drawn secrets behind
+a secret's name or alone are secrets; words and placeholders behind the same
+names are not, nor are drawn values behind the name of an id or a checksum.  So
+no single feature tells the label.  Their number is bounded.
 """
 
 from __future__ import annotations
 
-import math
+import random
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -28,11 +34,11 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from courtline.llm.common import stored, words
 
 LEAST_LENGTH = 12
-# Findings that the forest is trained on at most, by a hash of their text and place.
-MOST_TRAINING_ROWS = 20_000
+# Planted findings that the forest is trained on, and surroundings cut from the corpus for them, at most.
+MOST_TRAINING_ROWS, MOST_SURROUNDINGS = 20_000, 2_000
 DICTIONARY_WORDS = 5_000
 NEIGHBOURS = 16
-TREES, DEPTH, SEED = 30, 6, 7
+TREES, DEPTH, SEED = 40, 10, 7
 
 _RUN = re.compile(r"[A-Za-z0-9+/_\-.@=:]{%d,}" % LEAST_LENGTH)
 _DIGIT = re.compile(r"\d")
@@ -46,8 +52,15 @@ _PROVIDER = re.compile(r"AKIA[A-Z0-9]{16}")
 # Forms that are never secrets.
 _HARMLESS = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}|[\d.\-+/:]+|[\w.+\-]+@[\w\-]+(?:\.[\w\-]+)+|https?://.*|(?:/[\w.\-]+)+/?", re.I)
 
+# Names that planted values stand behind, and words that stand where a secret should.
+_SECRET_NAMES = ["token", "password", "passwd", "pwd", "secret", "api_key", "api-key", "apikey", "access_key", "auth"]
+_OTHER_NAMES = ["id", "commit", "sha", "checksum", "etag", "version", "ref", "order", "build", "page"]
+_PLACEHOLDERS = ["changeme", "please", "example", "never", "none", "null", "todo", "test", "here", "required", "hidden", "your_token_here",
+                 "xxxxxxxx", "********", "<password>", "${TOKEN}", "redacted", "forgotten", "unknown", "optional"]
+_SECRET_WORDS, _OTHER_WORDS = (frozenset(re.sub("[^a-z]", "", n) for n in names) for names in (_SECRET_NAMES, _OTHER_NAMES))
+
 FEATURES = ["chars", "entropy", "digits", "uppers", "lowers", "others", "changes", "transition", "covered",
-            "slashes", "dots", "ats", "quoted", "assigned", "right_known", *[f"left_{i}" for i in range(NEIGHBOURS)]]
+            "slashes", "dots", "ats", "quoted", "assigned", "right_known", "left_secret", "left_other", *[f"left_{i}" for i in range(NEIGHBOURS)]]
 
 
 def transition_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -97,15 +110,17 @@ def describe(text: str, start: int, end: int, table: np.ndarray, known: frozense
     before = text[max(0, start - 40):start]
     left, right = before.split(), text[end:end + 40].split(maxsplit=1)
     neighbour = [0.0] * NEIGHBOURS
-    if left:
-        name = re.sub(r"[^a-z]", "", left[-1].lower()) or re.sub(r"[^a-z]", "", left[-2].lower() if len(left) > 1 else "")
+    name = ""
+    if left:  # the nearest word before, signs and quotes between passed over
+        name = next((w for w in (re.sub(r"[^a-z]", "", x.lower()) for x in reversed(left)) if w), "")
         neighbour[zlib.crc32(name.encode()) % NEIGHBOURS] = 1.0
     return [
         float(n), float(-(counts * np.log2(counts)).sum()), *[kinds.count(k) / n for k in range(4)],
         sum(a != b for a, b in zip(kinds, kinds[1:])) / n, float(table[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0,
         _covered(value, known), float(value.count("/")), float(value.count(".")), float(value.count("@")),
         float(before[-1:] in "\"'" and before != ""), float(bool(re.search(r"[=:]\s*[\"']?$", before))),
-        float(bool(right) and re.sub(r"[^a-z]", "", right[0].lower()) in known), *neighbour]
+        float(bool(right) and re.sub(r"[^a-z]", "", right[0].lower()) in known),
+        float(name in _SECRET_WORDS), float(name in _OTHER_WORDS), *neighbour]
 
 
 def assigned(text: str) -> list[tuple[int, int, int]]:
@@ -152,7 +167,7 @@ def spans(text: str) -> list[tuple[int, int]]:
 
 
 def rule_label(text: str, start: int, end: int) -> int | None:
-    """1 for a provider's key or an assigned secret, 0 for a form that never is one, else None."""
+    """What a plain rule says of a finding, for comparison: 1 for a provider's key or an assigned value, 0 for a harmless form, else None."""
     value = text[start:end]
     if _HARMLESS.fullmatch(value):
         return 0
@@ -161,8 +176,102 @@ def rule_label(text: str, start: int, end: int) -> int | None:
     return None
 
 
+def drawn_secret(r: random.Random) -> str:
+    """A random value of one of the kinds that secrets have."""
+    kind = r.randrange(7)
+    hexed, letters = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
+    alnum = letters + letters.upper() + "0123456789"
+    if kind == 0:
+        value = "".join(r.choices(hexed, k=r.choice((16, 18, 24, 32, 40, 40, 64))))
+        return value.upper() if r.random() < 0.3 else value
+    if kind in (1, 2):
+        return "".join(r.choices(alnum + ("+/-_" if kind == 2 else ""), k=r.randrange(12, 60)))
+    if kind == 3:
+        return "AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=16))
+    if kind == 4:
+        return "".join(r.choices(alnum + "!$%&~?^#", k=r.randrange(8, 20)))
+    if kind == 5:
+        return "".join(r.choices(letters, k=r.randrange(4, 9))) + "".join(r.choices("0123456789", k=r.randrange(1, 5))) + r.choice(("", "!", "$"))
+    return "".join(r.choices(letters + letters.upper(), k=r.randrange(14, 32)))
+
+
+def drawn_other(r: random.Random, known: Sequence[str]) -> str:
+    """A random value of one of the kinds that stand where a secret might: words, placeholders, addresses, numbers, paths, names."""
+    word = lambda: r.choice(known) if known else r.choice(_PLACEHOLDERS[:7])
+    kind = r.randrange(10)
+    if kind <= 1:
+        return r.choice(_PLACEHOLDERS)
+    if kind <= 3:
+        value = r.choice(("", "", "-", "_", ".")).join(word() for _ in range(r.randrange(1, 4)))
+        return r.choice((value, value, value.upper(), value.capitalize()))
+    if kind == 4:
+        return ".".join(str(r.randrange(256)) for _ in range(4))
+    if kind == 5:
+        return r.choice(("", "", "+")) + "".join(r.choices("0123456789", k=r.randrange(10, 20)))
+    if kind == 6:
+        return f"{r.randrange(1990, 2030)}-{r.randrange(1, 13):02}-{r.randrange(1, 29):02}" + r.choice(("", f"T{r.randrange(24):02}:{r.randrange(60):02}:00"))
+    if kind == 7:
+        return f"{word()}.{r.randrange(100)}@{word()}{r.randrange(10)}.{r.choice(('example.com', 'org', 'net'))}"
+    if kind == 8:
+        return r.choice(("", "https:/")) + "".join(f"/{word()}{r.choice(('', str(r.randrange(1000))))}" for _ in range(r.randrange(2, 6)))
+    return f"{word()}{r.choice('-_.')}{word()}{r.choice('-_')}{r.randrange(10, 99999)}"
+
+
+def planted(around: str, r: random.Random, known: Sequence[str]) -> tuple[str, int, int, int]:
+    """(text, start, end, label): a drawn value put at the middle of ``around``."""
+    middle = len(around) // 2
+    left, right = around[:middle], around[middle:]
+    place, secret = r.randrange(4), r.random() < 0.5
+    if place == 3:  # alone
+        opening = closing = ""
+        label = int(secret)
+    else:
+        name = r.choice(_OTHER_NAMES if place == 2 else _SECRET_NAMES)
+        name = r.choice((name, name, name.upper()))
+        opening, closing = r.choice(((f'{name} = "', '"'), (f"{name}=", ""), (f"{name}: ", ""), (f'"{name}": "', '"'), (f"{name} = '", "'")))
+        label = int(secret and place != 2)
+    value = drawn_secret(r) if secret else drawn_other(r, known)
+    if place == 3 and secret and (len(value) < LEAST_LENGTH or not _DIGIT.search(value)):
+        value = "".join(r.choices("0123456789abcdef", k=40))
+    text = f"{left} {opening}{value}{closing} {right}"
+    start = len(left) + 1 + len(opening)
+    return text, start, start + len(value), label
+
+
+def planted_findings(docs: DataFrame, table: np.ndarray, known: frozenset[str], *, text: str = "text",
+                     most_rows: int = MOST_TRAINING_ROWS) -> DataFrame:
+    """(value, start, label, features...) of at most ``most_rows`` planted findings, always the same for the same texts.
+
+    Surroundings are 120 characters each of different texts, those with the
+    smallest hashes; from none of them nothing is planted.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((table, known))
+    size = F.length(text)
+    cut = docs.filter(size > 0).select(F.xxhash64(text).alias("h"), F.substring(
+        F.col(text), (F.pmod(F.xxhash64(text), size) + 1).cast("int"), F.lit(120)).alias("around"))
+    around = stored(cut.groupBy("h").agg(F.min("around").alias("around")).orderBy("h").limit(MOST_SURROUNDINGS), "secret-surroundings")
+    n = around.count()
+    each = most_rows // n if n else 0
+
+    def plant(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs, words_ = shared.value
+        listed = sorted(words_)
+        for f in frames:
+            for h, piece in zip(f["h"], f["around"]):
+                r = random.Random(int(h))
+                got = [planted(piece, r, listed) for _ in range(each)]
+                out = pd.DataFrame([describe(t, a, b, pairs, words_) for t, a, b, _ in got], columns=FEATURES)
+                out.insert(0, "label", [x for *_, x in got])
+                out.insert(0, "start", [a for _, a, _, _ in got])
+                out.insert(0, "value", [t[a:b] for t, a, b, _ in got])
+                yield out
+
+    return around.repartition(8, "h").mapInPandas(
+        plant, "value string, start long, label int, " + ", ".join(f"{c} double" for c in FEATURES))
+
+
 def findings(docs: DataFrame, table: np.ndarray, known: frozenset[str], *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, start, length, value, label, features...) per finding; ``label`` by rule, null where no rule knows."""
+    """(key, start, length, value, label, features...) per finding; ``label`` is what a plain rule says, null where it says nothing."""
     shared = docs.sparkSession.sparkContext.broadcast((table, known))
     src = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     schema = StructType([StructField("key", src.schema["key"].dataType), StructField("start", LongType()),
@@ -193,13 +302,13 @@ def train(labelled: DataFrame, most_rows: int = MOST_TRAINING_ROWS):
         return None
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
-                                  featureSubsetStrategy="sqrt").fit(assembled)
+                                  featureSubsetStrategy="onethird").fit(assembled)
 
 
 def classify(found: DataFrame, model) -> DataFrame:
-    """``found`` with ``score``, the forest's probability that a finding is a secret; the rule's label without a forest."""
+    """``found`` with ``score``, the forest's probability that a finding is a secret; 0.5 without a forest."""
     if model is None:
-        return found.withColumn("score", F.coalesce(F.col("label").cast("double"), F.lit(0.5)))
+        return found.withColumn("score", F.lit(0.5))
     out = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found))
     return out.withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
@@ -207,13 +316,15 @@ def classify(found: DataFrame, model) -> DataFrame:
 def scan(docs: DataFrame, *, key: str = "doc_id", text: str = "text", train_on=None) -> DataFrame:
     """(key, start, length, value, label, score, secret) per finding in the whole texts of ``docs``.
 
-    ``train_on``, a condition on ``key``, restricts the labelled findings that
-    the forest learns from.  Null and empty texts hold nothing; equal rows give
+    ``train_on``, a condition on ``key``, restricts the texts that surroundings of
+    planted findings are cut from.  ``label`` is a plain rule's opinion, which the
+    forest does not see.  Null and empty texts hold nothing; equal rows give
     equal findings, each its own; keys may be null; other columns are not read;
     an empty table gives an empty result.
     """
     src = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    found = stored(findings(src, transition_counts(src), dictionary(src), key="key"), "findings")
-    model = train(found if train_on is None else found.filter(train_on))
+    table, known = transition_counts(src), dictionary(src)
+    found = findings(src, table, known, key="key")
+    model = train(planted_findings(src if train_on is None else src.filter(train_on), table, known))
     return classify(found, model).select(F.col("key").alias(key), "start", "length", "value", "label", "score",
                                          (F.col("score") >= 0.5).alias("secret"))
