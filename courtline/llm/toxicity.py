@@ -50,6 +50,8 @@ ALONE_SUPPORT, ALONE_WEIGHT, ALONE_OTHERS = 20, 1.0, 0.01
 # Entries of a worker's one cache of tokens.
 CACHE_ENTRIES = 60_000
 CACHE_CHARS = 32
+# Steps of a run of one sign within which costs repeat, if they do.
+STEADY_WITHIN, LONGEST_TURN = 50, 6
 
 _SYMBOL = {c: i + 1 for i, c in enumerate(LETTERS)}
 # Options of a character that stands once, and of a letter's second in a row.
@@ -260,6 +262,9 @@ class Restorer:
 
         What comes before the first choice, and what follows the last one once
         all paths share a state, costs every path the same and is not walked.
+        In a run of one sign the states' costs, relative to the best, soon
+        repeat every few steps; from there on the choices repeat too, and the
+        rest of the run is filled in without weighing them.
         """
         rows = self.rows
         open_ = [i for i, options in enumerate(lattice) if len(options) > 1]
@@ -268,11 +273,25 @@ class Restorer:
         start, last = "".join([o[0][0] for o in lattice[:open_[0]]]), open_[-1]
         a, b = [OTHER, BREAK, *[BREAK if c == " " else _SYMBOL.get(c, OTHER) for c in start[-2:]]][-2:]
         states: dict[tuple[int, int], tuple[float, tuple]] = {(a, b): (0.0, ((), start))}
-        rest = ""
-        for i in range(open_[0], len(lattice) + 1):
+        rest, i, steps = "", open_[0] - 1, None
+        while i < len(lattice):
+            i += 1
             if i > last and len(states) == 1:
                 rest = "".join([o[0][0] for o in lattice[i:]])
                 break
+            if not (0 < i < len(lattice) and lattice[i] is lattice[i - 1]):
+                steps = None
+            elif steps is None:
+                steps = []
+            if steps is not None and len(steps) < STEADY_WITHIN:
+                states, step = self._run_step(states, lattice[i])
+                steps.append(step)
+                turn = next((steps[-n:] for n in range(1, min(LONGEST_TURN + 1, len(steps))) if steps[-1 - n] == step), None)
+                while turn and i + 1 < len(lattice) and lattice[i + 1] is lattice[i]:
+                    i += 1
+                    states = {s: (c, (states[p][1], out) if out else states[p][1]) for s, (c, p, out) in turn[0].items()}
+                    turn = turn[1:] + turn[:1]
+                continue
             options = [(out, BREAK if out == " " else _SYMBOL.get(out, OTHER), p) for out, p in lattice[i]] \
                 if i < len(lattice) else [(" ", BREAK, 0.0)]
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
@@ -293,6 +312,22 @@ class Restorer:
             out.append(c)
         return "".join(reversed(out)).strip()
 
+    def _run_step(self, states: dict, options: list[tuple[str, float]]) -> tuple[dict, dict]:
+        """One step inside a run of one sign: the new states, costs relative to the best, and each one's cost, origin and output."""
+        rows = self.rows
+        best: dict[tuple[int, int], tuple[float, tuple[int, int], str]] = {}
+        for (a, b), (cost, _) in states.items():
+            row = rows[a][b]
+            for out, p in options:
+                c = BREAK if out == " " else _SYMBOL.get(out, OTHER)
+                state, total = ((b, c), cost + p + row[c]) if out else ((a, b), cost + p)
+                if state not in best or total > best[state][0]:
+                    best[state] = (total, (a, b), out)
+        top = max(t for t, _, _ in best.values())
+        step = {s: (t - top, origin, out) for s, (t, origin, out) in best.items()}
+        after = {s: (t, (states[origin][1], out) if out else states[origin][1]) for s, (t, origin, out) in step.items()}
+        return after, step
+
     @staticmethod
     def lattice(stretch: str, spaced: bool, marks: str = LETTERS_ONLY) -> list[list[tuple[str, float]]]:
         """Options of each character of a stretch; ``spaced`` lets gaps close, ``marks`` says what its look-alike marks may be."""

@@ -372,3 +372,56 @@ def test_lattices_without_a_lexicon_word_need_no_decoding():
         assert hits[0] == hits[1], text
         scorer = toxicity.Scorer(toxicity.Model(model, lexicon, 0.0))
         assert scorer.score(text) == pytest.approx(1 / (1 + np.exp(-min(30, len(hits[0]))))), text
+
+
+def plain_description(text, start, end, table, known):
+    """The features of a finding, counted one by one."""
+    import math
+    value = text[start:end]
+    shares = [value.encode("latin-1", "replace").count(c) / len(value) for c in set(value.encode("latin-1", "replace"))]
+    kind = lambda c: "digit" if c.isdigit() else "upper" if c.isupper() else "lower" if c.islower() else "other"
+    kinds = [kind(c) for c in value]
+    pairs = [table[min(ord(a), 127) if ord(a) < 256 else 63][min(ord(b), 127) if ord(b) < 256 else 63] for a, b in zip(value, value[1:])]
+    at, covered = 0, 0
+    while at < len(value):
+        fits = [n for n in range(3, 13) if at + n <= len(value) and value[at:at + n].lower() in known]
+        covered += max(fits, default=0)
+        at += max(fits, default=1)
+    return [len(value), -sum(p * math.log2(p) for p in shares), *[kinds.count(k) / len(value) for k in ("digit", "upper", "lower", "other")],
+            sum(a != b for a, b in zip(kinds, kinds[1:])) / len(value), sum(pairs) / len(pairs) if pairs else 0.0, covered / len(value),
+            value.count("/"), value.count("."), value.count("@")]
+
+
+def test_findings_are_described_as_by_a_plain_count():
+    r = random.Random(8)
+    table = np.log(np.random.default_rng(1).random((128, 128)))
+    known = frozenset(["word", "some", "here", "secret", "abc"])
+    for _ in range(300):
+        text, start, end, _ = secrets.planted("some words é stand here and abc there are", r, sorted(known))
+        got = secrets.describe(text, start, end, table, known)
+        assert got[:12] == pytest.approx(plain_description(text, start, end, table, known)), text
+        left = [w for w in text[max(0, start - 40):start].split()]
+        assert sum(got[-secrets.NEIGHBOURS:]) == (1.0 if left else 0.0) and len(got) == len(secrets.FEATURES)
+
+
+def test_secrets_are_told_from_words_behind_the_same_names(spark, docs_of):
+    """Held-out planted truth, and sentences in which a secret's name is followed by a word."""
+    r = random.Random(9)
+    vocabulary = ["".join(r.choices("aeinorst", k=r.randrange(3, 9))) for _ in range(300)]
+    prose = [(i, " ".join(r.choices(vocabulary, k=60))) for i in range(150)]
+    words_ = ["password: please", "token: example", "api_key = changeme", "secret: never", 'password = "required"', "token = none"]
+    sure = [f'token = "{"".join(r.choices("0123456789abcdef", k=40))}"', "password=hT7k2Lq9Zx!4", "AKIA" + "".join(r.choices("ABCDEFG0123456789", k=16)),
+            'api_key: "Zk3vQ8s1Lw0pT6yB2nM4"', "secret = 9f8e7d6c5b4a39281706f5e4"]
+    rows = prose + [(1000 + i, f"some words before {t} and behind") for i, t in enumerate(words_)] \
+        + [(2000 + i, f"some words before {t} and behind") for i, t in enumerate(sure)]
+    docs = docs_of(rows + AWKWARD)
+    found = {x.doc_id: x for x in secrets.scan(docs).collect() if x.doc_id and x.doc_id >= 1000}
+    assert len(found) == len(words_) + len(sure)
+    assert [k for k, x in found.items() if x.secret != (k >= 2000)] == []
+    # precision and recall on planted findings that the forest has not seen
+    src = docs.select(F.col("doc_id").alias("key"), "text")
+    table, known = secrets.transition_counts(src), secrets.dictionary(src)
+    model = secrets.train(secrets.planted_findings(src.filter("key % 3 <> 0"), table, known))
+    held = secrets.classify(secrets.planted_findings(src.filter("key % 3 = 0"), table, known), model).select("label", "score").toPandas()
+    said = held["score"] >= 0.5
+    assert (held["label"][said] == 1).mean() > 0.9 and said[held["label"] == 1].mean() > 0.85
