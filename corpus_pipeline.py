@@ -16,20 +16,34 @@ SHARDS = 16
 
 
 def clean_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents that score as toxic go.  Learns from all labelled rows of what it is given."""
+    """Operator 3: documents that score 0.5 or more as toxic go.  Learns from all labelled rows of what it is given.
+
+    Null and empty texts score the base rate and stay; repeated rows and rows
+    with null ids are kept or go each by its text; an empty table, or labels
+    without a toxic row, lets everything through.
+    """
     ship(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: of each group of near copies the document with the smallest id stays."""
+    """Operator 5: of each group of near copies the document with the smallest id stays, once where rows repeat.
+
+    Null ids come after all others.  Null, empty and blank texts have
+    fingerprint zero, so they are one group, with texts whose fingerprint is
+    within its distance.  An empty table stays empty.
+    """
     ship(spark)
     return simhash.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents that contain a benchmark item go."""
+    """Operator 4: documents that contain a benchmark item, by words at 0.8 of its weighted shingles or more, go.
+
+    Null and empty texts contain nothing and stay, as do null and empty items
+    without effect; repeated rows go or stay together; empty tables take nothing out.
+    """
     ship(spark)
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
@@ -59,7 +73,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: a shard and a slot for every document."""
+    """Operator 10: a shard and a slot for every document, repeated rows included.
+
+    A null id is a key like any other, a null text counts as empty, and an
+    empty table gives no rows.  The columns are those of the operator.
+    """
     ship(spark)
     return sharding.shard_documents(docs, sharding.tree(SHARDS))
 
