@@ -661,7 +661,7 @@ _PLANTED_SQL = {
     "f_games": "SELECT id, CASE WHEN id % 11 = 0 THEN NULL WHEN id % 13 = 0 THEN -1 ELSE home_team_id END AS home_team_id, away_team_id, game_code FROM games",
     "f_box": "SELECT id, CASE WHEN id % 17 = 0 THEN player_id + 1000000 ELSE player_id END AS player_id, game_id, team_id FROM boxscore_record",
     "r_games": "SELECT id, CASE WHEN home_team_id IS NULL THEN 'home_team_id is null' WHEN home_team_id = -1 THEN 'home_team_id has no parent' END AS reason FROM f_games",
-    "r_players": "SELECT id, CASE WHEN id > 1000000 THEN 'player_code is taken' END AS reason FROM f_players",
+    "r_players": "SELECT id, CASE WHEN id >= 1000000 THEN 'player_code is taken' END AS reason FROM f_players",
     "r_box": "SELECT b.id, CASE WHEN b.id % 17 = 0 THEN 'player_id has no parent' WHEN g.reason IS NOT NULL THEN 'game_id has no parent' END AS reason "
              "FROM f_box b JOIN r_games g ON g.id = b.game_id",
 }
