@@ -571,7 +571,11 @@ def score(docs: DataFrame, model: Model, *, keep: Sequence[str] = ("doc_id",), t
 
 
 def keep_clean(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns as they are."""
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are.
+
+    Each row goes by its text alone, repeated ones and null keys included; null
+    and empty texts score the base rate; an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

@@ -80,3 +80,17 @@ def test_no_source_is_rounded_away(spark, docs_of, tmp_area):
     got = [x.source for x in corpus_pipeline.mix_sources(spark, docs_of(rows), tmp_area).collect()]
     assert got.count("c") == 1
     assert (10 * got.count("a"), 10 * got.count("b")) == (1130, 450)
+
+
+def test_stages_of_empty_tables(spark, tmp_area):
+    """No documents, labels or items: every stage gives no rows, with its columns."""
+    docs = spark.createDataFrame([], DOCS)
+    docs.write.parquet(f"{tmp_area}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_area}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_area}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, tmp_area)
+        assert out.count() == 0, name
+        if name != "sharding":
+            assert out.columns == docs.columns, name
+    assert corpus_pipeline.run(spark, tmp_area).count() == 0
