@@ -196,8 +196,16 @@ def drawn_secret(r: random.Random) -> str:
 
 
 def drawn_other(r: random.Random, known: Sequence[str]) -> str:
-    """A random value of one of the kinds that stand where a secret might: words, placeholders, addresses, numbers, paths, names."""
-    word = lambda: r.choice(known) if known else r.choice(_PLACEHOLDERS[:7])
+    """A random value of one of the kinds that stand where a secret might: words, placeholders, addresses, numbers, paths, names.
+
+    Half of the words are the corpus's, half are made of syllables, as names are that no dictionary holds.
+    """
+    def word() -> str:
+        if known and r.random() < 0.5:
+            return r.choice(known)
+        return "".join(r.choice("bcdfghklmnprstvw") + r.choice(("a", "e", "i", "o", "u", "ai", "ou")) + r.choice(("", "", "n", "r", "s", "l"))
+                       for _ in range(r.randrange(1, 4)))
+
     kind = r.randrange(10)
     if kind <= 1:
         return r.choice(_PLACEHOLDERS)
