@@ -20,7 +20,7 @@ a missing or null statistic counts as 0.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,8 +95,8 @@ def game_sides(valid: DataFrame) -> DataFrame:
 def player_lines(valid: DataFrame) -> DataFrame:
     """One row per player line: home roster first, then away, with its position.
 
-    ``line`` is the line read field by field, ``raw`` its fields as they are in
-    the document; both are null where a roster's entry is no object.
+    ``line`` is the line read field by field, null where a roster's entry is no
+    object, and ``raw`` the entry as it is in the document.
     """
     s0, s1 = F.col("doc.Stats")[0], F.col("doc.Stats")[1]
     home = F.coalesce(s0["PlayersStats"], F.array())
@@ -106,18 +106,19 @@ def player_lines(valid: DataFrame) -> DataFrame:
         game_code_from_path(F.col("file_key")).alias("game_code"),
         s0["tmr"]["Team"].alias("home_name"),
         s1["tmr"]["Team"].alias("away_name"),
-        F.posexplode(F.concat(home, away)).alias("pos", "_line"),
+        F.posexplode(F.concat(home, away)).alias("pos", "raw"),
     )
     return exploded.select("file_key", "game_code", "home_name", "away_name", "pos",
-                           F.try_variant_get("_line", "$", LINE).alias("line"),
-                           F.try_variant_get("_line", "$", "map<string, variant>").alias("raw"))
+                           F.try_variant_get("raw", "$", LINE).alias("line"), "raw")
 
 
 def line_fault(line: Column, raw: Column) -> Column:
     """The first statistic of a player line that is there and no number, as a reason; null where all can be stored."""
-    faults = [F.when(variant_wrong_number(F.try_element_at(raw, F.lit(f)), line[f]), F.lit(f"{f} is no number"))
+    faults = [F.when(variant_wrong_number(F.try_variant_get(raw, f"$.{f}", "variant"), line[f]), F.lit(f"{f} is no number"))
               for f in STAT_FIELD_TO_COLUMN]
-    return F.coalesce(F.when(raw.isNull(), F.lit("player line is no object")), *faults)
+    # Most lines have all numbers; the document is asked again only for those that do not.
+    sound = reduce(Column.__and__, [F.abs(line[f]) < 2147483647 for f in STAT_FIELD_TO_COLUMN])
+    return F.when(line.isNull(), F.lit("player line is no object")).when(sound, F.lit(None)).otherwise(F.coalesce(*faults))
 
 
 def normalise(docs: DataFrame, target: Normalised | None = None) -> "Load":
@@ -161,13 +162,13 @@ class Load:
     @cached_property
     def _lines(self) -> DataFrame:
         line, raw = F.col("line"), F.col("raw")
-        reason = (F.when(raw.isNotNull() & line["Player_ID"].isNull(), F.lit("Player_ID is null"))
-                  .when(raw.isNotNull() & line["Player"].isNull(), F.lit("Player is null"))
+        reason = (F.when(line.isNotNull() & line["Player_ID"].isNull(), F.lit("Player_ID is null"))
+                  .when(line.isNotNull() & line["Player"].isNull(), F.lit("Player is null"))
                   .otherwise(F.coalesce(line_fault(line, raw), minutes_reject_reason(line["Minutes"]))))
         lines = player_lines(self._valid).withColumn("player_code", py_strip(line["Player_ID"])).withColumn("_reason", reason)
         # Decoded once, for players, box rows and rejects; otherwise every use of a field would carry its decoding along.
         return materialize(lines.select("file_key", "game_code", "home_name", "away_name", "pos", "line", "player_code", "_reason",
-                                        variant_truth(F.try_element_at(raw, F.lit("IsStarter"))).alias("starter")))
+                                        variant_truth(F.try_variant_get(raw, "$.IsStarter", "variant")).alias("starter")))
 
     def _insert(self, name: str, batch: DataFrame, key: list[str], order: list[str], **options) -> tuple[DataFrame, DataFrame]:
         target = self._target
