@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows of a group that one task can well hold and sort.
+HOT_ROWS = 1 << 16
+
+
 def window_sql(partition: Sequence[str], order: Sequence[str], frame: str = "") -> str:
     return f"OVER (PARTITION BY {', '.join(partition)} ORDER BY {', '.join(order)}{' ' + frame if frame else ''})"
 
@@ -55,42 +59,53 @@ def with_trailing_features(df: DataFrame, cols: Sequence[str], partition: Sequen
 def shifted_frame_features(df: DataFrame, cols: Sequence[str], partition: Sequence[str],
                            order: Sequence[str], n: int = 3, lead_col: str | None = None,
                            lead_alias: str | None = None, prefix: str = "avg_last_{n}_",
-                           empty: float = 0.0) -> DataFrame:
+                           empty: float = 0.0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Same result as :func:`with_trailing_features`, safe when one group is huge.
 
-    A window partitioned by the group puts all of a group's rows on one task.
-    Here every row is numbered inside its group with the range-blocked
-    :func:`courtline.operators.scan.running_scan`; then each row sends its
-    values to the ``n`` rows after it (their trailing frames) and its
-    ``lead_col`` to the row before it, the contributions are summed per
-    (group, target row) -- a key with at most ``n + 1`` rows, and mostly
-    combined map-side because neighbours share a range block -- and joined
-    back on the row number.  ``order`` must be a total order within a group.
+    A window partitioned by the group puts all of a group's rows on one task,
+    which is right for groups of up to ``hot_rows`` rows.  Rows of larger ones
+    are range-partitioned by (group, order), which cuts them into blocks, and the
+    window runs in each (group, block).  At most one group goes on across each
+    cut; its blocks get copies of the ``n`` rows before them and of the row after
+    them, which only serve the frames and are left out again.  ``order`` must be
+    a total order within a group.
     """
-    from courtline.operators.scan import running_scan
+    from courtline.session import default_blocks, materialize
 
-    numbered = running_scan(df, partition, order, row_number="_fr_rn")
-    shifts = [F.struct((F.col("_fr_rn") + k).alias("t"), F.lit(k).alias("k")) for k in range(1, n + 1)]
-    if lead_col:
-        shifts.append(F.struct((F.col("_fr_rn") - 1).alias("t"), F.lit(-1).alias("k")))
-    keys = [F.col(g).alias(f"_fr_g{i}") for i, g in enumerate(partition)]
-    carried = list(dict.fromkeys([*cols, *([lead_col] if lead_col else [])]))
-    contrib = numbered.select(*keys, F.explode(F.array(*shifts)).alias("_s"), *[F.col(c) for c in carried])
-    trailing = F.col("_s.k") > 0
-    aggs = []
-    for c in cols:
-        aggs.append(F.sum(F.when(trailing, F.col(c).cast("double"))).alias(f"_fr_s_{c}"))
-        aggs.append(F.count(F.when(trailing, F.col(c))).alias(f"_fr_n_{c}"))
-    if lead_col:
-        aggs.append(F.max(F.when(F.col("_s.k") == -1, F.struct(F.col(lead_col).alias("v")))).alias("_fr_lead"))
-    frames = contrib.groupBy(*[f"_fr_g{i}" for i in range(len(partition))], F.col("_s.t").alias("_fr_t")).agg(*aggs)
-    cond = [F.col("_fr_rn") == F.col("_fr_t")] + [F.col(g).eqNullSafe(F.col(f"_fr_g{i}"))
-                                                  for i, g in enumerate(partition)]
-    j = numbered.join(frames, cond, "left")
-    name = prefix.format(n=n)
-    out = [F.col(c) for c in df.columns]
-    out += [F.when(F.col(f"_fr_n_{c}") > 0, F.col(f"_fr_s_{c}") / F.col(f"_fr_n_{c}"))
-            .otherwise(F.lit(float(empty))).alias(f"{name}{c}") for c in cols]
+    group, block, own = list(partition), "_fr_block", "_fr_own"
+    keys = [F.col(g).alias(f"_fr_g{i}") for i, g in enumerate(group)]
+    same = [F.col(g).eqNullSafe(F.col(f"_fr_g{i}")) for i, g in enumerate(group)]
+    out = [f"{prefix.format(n=n)}{c}" for c in cols]
     if lead_col:
-        out.append(F.col("_fr_lead.v").alias(lead_alias or f"next_{lead_col}"))
-    return j.select(*out)
+        lead_alias = lead_alias or f"next_{lead_col}"
+        out.append(lead_alias)
+
+    def frames(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        exprs = trailing_mean_sql(cols, by, order, n=n, prefix=prefix, empty=empty)
+        return rows.selectExpr("*", *exprs, *([next_value_sql(lead_col, by, order, lead_alias)] if lead_col else []))
+
+    # The rows are read to be counted and for either part, so they are computed once.
+    every = materialize(df)
+    # One group at most for each ``hot_rows`` rows: a proven bound, so that no other row is shuffled to be told apart.
+    hot = F.broadcast(every.groupBy(*keys).count().filter(F.col("count") > hot_rows))
+    plain = frames(every.join(hot, same, "left_anti"), group).select(*df.columns, *out)
+    # Both the blocks and their edges are made from the rows, so the blocks are fixed in one copy.
+    rows = materialize(every.join(hot, same, "left_semi").repartitionByRange(default_blocks(df.sparkSession), *group, *order)
+                       .withColumn(block, F.spark_partition_id()))
+    spans = rows.groupBy(*keys).agg(F.min(block).alias("_fr_lo"), F.max(block).alias("_fr_hi")).filter("_fr_lo < _fr_hi")
+    # Groups of several blocks, at most one a cut: a few rows of each end of a block.
+    cut = rows.join(spans, same, "left_semi")
+    in_block = Window.partitionBy(*group, block)
+    ends = cut.withColumn("_fr_first", F.row_number().over(in_block.orderBy(*order))) \
+        .withColumn("_fr_last", F.row_number().over(in_block.orderBy(*[F.desc(c) for c in order]))) \
+        .filter((F.col("_fr_first") == 1) | (F.col("_fr_last") <= n))
+    places = ends.select(*keys, F.col(block).alias("_fr_to")).distinct()
+    around = ends.join(places, same).filter(F.col(block) != F.col("_fr_to"))
+    to = Window.partitionBy(*group, "_fr_to", F.col(block) < F.col("_fr_to"))
+    before = F.row_number().over(to.orderBy(*[F.desc(c) for c in order]))
+    after = F.row_number().over(to.orderBy(*order))
+    halo = around.withColumn("_fr_before", before).withColumn("_fr_after", after).filter(
+        ((F.col(block) < F.col("_fr_to")) & (F.col("_fr_before") <= n)) | ((F.col(block) > F.col("_fr_to")) & (F.col("_fr_after") == 1)))
+    halo = halo.withColumn(block, F.col("_fr_to")).select(*rows.columns, F.lit(False).alias(own))
+    work = rows.withColumn(own, F.lit(True)).unionByName(halo)
+    return plain.unionByName(frames(work, [*group, block]).filter(own).select(*df.columns, *out))

@@ -45,3 +45,21 @@ def test_copies_are_compressed_and_keep_rows_and_types(spark):
     size = sum(os.path.getsize(local_path(f)) for f in copy.inputFiles())
     assert size < 200_000 * 10
     assert materialize(df.filter("a < 0")).count() == 0
+
+
+def test_frames_across_cuts_of_hot_and_null_groups(spark):
+    import random
+    from courtline.operators.rolling import shifted_frame_features, with_trailing_features
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, "hot", "hot", "hot", "x"]), rnd.choice([None, 1]), i, rnd.choice([None, 1, 2, 7])) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, h int, o int, v int")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "80")  # blocks of fewer rows than a frame
+    try:
+        a = shifted_frame_features(df, ["v"], ["g", "h"], ["o"], lead_col="v", lead_alias="nv", hot_rows=100)
+        b = with_trailing_features(df, ["v"], ["g", "h"], ["o"], lead_col="v", lead_alias="nv")
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+        plan = "\n".join(_plan(a))
+        assert "explode" not in plan and "sum(" not in plan  # every row moves once, not once for each frame it is in
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
