@@ -63,3 +63,27 @@ def test_frames_across_cuts_of_hot_and_null_groups(spark):
         assert "explode" not in plan and "sum(" not in plan  # every row moves once, not once for each frame it is in
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_a_document_is_parsed_once(spark):
+    from courtline.plans import normalise as NO
+    raw = spark.createDataFrame([("a/E2001/1.json", "{}")], "file_key string, body string")
+    lines = NO.player_lines(NO.parse_documents(raw), keep=NO._loadable(NO.F.col("doc")))
+    optimized = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("from_json") + optimized.count("JsonToStructsEvaluator") == 1, optimized
+
+
+def test_landing_and_csv_are_compressed(spark, tmp_area):
+    import glob
+    from pyspark.sql import functions as F
+    from courtline.sources import landing as LA
+    from tests.test_normalise import _docs, _fixture
+    rows = _docs(spark, _fixture()).select(F.regexp_extract("file_key", r"([^/]+)/[^/]+$", 1).alias("season_code"),
+                                           F.regexp_extract("file_key", r"([^/]+)\.json$", 1).alias("game_number"), "doc")
+    path = LA.write_landing(rows, f"{tmp_area}/landing")
+    files = glob.glob(f"{local_path(path)}/*/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert LA.read_landing(spark, path).count() == len(_fixture())
+    assert LA.listing(spark, path).count() == len(files)
+    csv = PR.write_csv(spark.range(5).toDF("a"), f"{tmp_area}/csv")
+    assert glob.glob(f"{local_path(csv)}/part-*.csv.gz") and PR.read_csv(spark, csv, spark.range(5).toDF("a").schema).count() == 5
