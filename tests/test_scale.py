@@ -87,3 +87,10 @@ def test_landing_and_csv_are_compressed(spark, tmp_area):
     assert LA.listing(spark, path).count() == len(files)
     csv = PR.write_csv(spark.range(5).toDF("a"), f"{tmp_area}/csv")
     assert glob.glob(f"{local_path(csv)}/part-*.csv.gz") and PR.read_csv(spark, csv, spark.range(5).toDF("a").schema).count() == 5
+
+
+def test_minutes_beyond_a_double_are_rejected_whatever_the_seconds(spark):
+    from pyspark.sql import functions as F
+    from courtline.functions import scalar as SC
+    df = spark.createDataFrame([("1e400:",), ("1e400:x",), ("5:x",)], "m string")
+    assert [r[0] for r in df.select(SC.minutes_to_seconds(F.col("m"))).collect()] == [None, None, 0]
