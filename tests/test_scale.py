@@ -94,3 +94,47 @@ def test_minutes_beyond_a_double_are_rejected_whatever_the_seconds(spark):
     from courtline.functions import scalar as SC
     df = spark.createDataFrame([("1e400:",), ("1e400:x",), ("5:x",)], "m string")
     assert [r[0] for r in df.select(SC.minutes_to_seconds(F.col("m"))).collect()] == [None, None, 0]
+
+
+def test_constraints_are_tested_without_shuffling_whole_rows(spark):
+    import random
+    from courtline.operators.audit import taken_keys, violation, with_orphans
+    rnd = random.Random(5)
+    pick = lambda *v: rnd.choice([None, *v])
+    rows = [(pick(*range(90)), pick(1, 2, 3), pick(*range(30)), pick("x", "y")) for _ in range(150)]
+    parents, stored = {"a": [1, 2, None], "b": list(range(25))}, [(3, 7), (1, 1), (None, 2)]
+    ids = {c: spark.createDataFrame([(v,) for v in values], "id long") for c, values in parents.items()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(rows, "id long, a long, b long, name string").repartition("b")
+        plan = _plan(with_orphans(df, {"b": ids["b"]}))
+        assert len([x for x in plan if "Exchange" in x]) == 2, plan  # the rows by b, as they come, and the parents
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    copy = materialize(with_orphans(df, ids).selectExpr("*", "monotonically_increasing_id() AS _row"))
+    keys = [["a", "b"], ["id"]]
+    taken = materialize(taken_keys(copy, keys, {("a", "b"): spark.createDataFrame(stored, "a long, b long")}))
+    plan = _plan(copy.join(taken, "_row", "left_anti"))
+    assert [x for x in plan if "BroadcastExchange" in x] and not [x for x in plan if " Exchange" in x], plan
+    got = {r["_row"]: r for r in copy.join(taken, "_row", "left").withColumn("v", violation(["name"], keys)).collect()}
+    every = [got[r] for r in sorted(got)]
+    assert len(every) == 150 and {r["v"] for r in every} >= {None, "name is null", "a,b is taken", "id is taken", "a has no parent", "b has no parent"}
+
+    def first(r, key):
+        same = [x for x in every if all(x[k] == r[k] for k in key)]
+        return min(same, key=lambda x: (x["id"] is not None, x["id"] or 0, x["_row"]))["_row"] == r["_row"]
+
+    for r in every:
+        want = None
+        if r["name"] is None:
+            want = "name is null"
+        elif None not in (r["a"], r["b"]) and ((r["a"], r["b"]) in stored or not first(r, ["a", "b"])):
+            want = "a,b is taken"
+        elif r["id"] is not None and not first(r, ["id"]):
+            want = "id is taken"
+        elif r["a"] is not None and r["a"] not in parents["a"]:
+            want = "a has no parent"
+        elif r["b"] is not None and r["b"] not in parents["b"]:
+            want = "b has no parent"
+        assert r["v"] == want, r
