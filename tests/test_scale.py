@@ -138,3 +138,27 @@ def test_constraints_are_tested_without_shuffling_whole_rows(spark):
         elif r["b"] is not None and r["b"] not in parents["b"]:
             want = "b has no parent"
         assert r["v"] == want, r
+
+
+def test_a_deletion_shuffles_each_reference_once_and_writes_its_outcomes_once(spark, tmp_area):
+    import os
+    from courtline.operators.audit import delete_restrict
+    from courtline.plans.normalise import Normalised
+    from courtline.streaming.incremental import TableStore
+    games, box = _tables(spark)
+    ids = spark.createDataFrame([(10,), (99,)], "id long")
+    outcomes, _ = delete_restrict(games, ids, [(box, "game_id")], "games")
+    assert [x for x in _plan(outcomes) if "HashAggregate(keys=[_cid" in x]
+    assert {r.id: r.outcome for r in outcomes.collect()} == {10: "refused", 99: "absent"}
+    store = TableStore(spark, tmp_area)
+    none = spark.createDataFrame([], "file_key string, level string, reason string")
+    store.commit(Normalised(spark.createDataFrame([(1, "a")], "id long, name string"), spark.createDataFrame([], "id long, player_code string, name string"),
+                            games, box.filter("game_id <> 10"), none), 0, "")
+    asked = store.table("games").select("id")
+    store.delete("games", ids)
+    assert sorted(os.listdir(local_path(tmp_area))) == ["_commits", "_deleted", "_keys", "boxscore_record", "games", "players", "rejects", "teams"]
+    # outcomes without a commit count for nothing, refused and absent ids are no tombstones
+    spark.createDataFrame([("games", 11, "deleted")], "table_name string, id long, outcome string").write.parquet(f"{tmp_area}/_deleted/games/delta=dlost")
+    assert store.delete("games", ids.selectExpr("id + 1 AS id")).collect()[0].outcome != "deleted"
+    assert sorted(r.id for r in store.table("games").collect()) == [11, 12, 13, 14, 20]
+    assert sorted(r.id for r in asked.collect()) == [10, 11, 12, 13, 14, 20]  # a table read before a deletion stays as it was
