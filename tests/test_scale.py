@@ -162,3 +162,40 @@ def test_a_deletion_shuffles_each_reference_once_and_writes_its_outcomes_once(sp
     assert store.delete("games", ids.selectExpr("id + 1 AS id")).collect()[0].outcome != "deleted"
     assert sorted(r.id for r in store.table("games").collect()) == [11, 12, 13, 14, 20]
     assert sorted(r.id for r in asked.collect()) == [10, 11, 12, 13, 14, 20]  # a table read before a deletion stays as it was
+
+
+def test_sorted_sink_runs_the_frames_once_and_keeps_every_row_in_order(spark, tmp_area):
+    from pyspark.sql import functions as F
+    games, box = _tables(spark)
+    features = FE.training_features(games, box)
+    path = f"{tmp_area}/sorted"
+    ordered = FE.sorted_features(features, box.select("game_id", "player_id"))
+    plan = "\n".join(_plan(ordered))
+    # a range partitioning would run all that is below it for its sample
+    assert "Exchange rangepartitioning" not in plan and plan.count("Window [avg(valuation") == 1
+    ordered.withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    got = [tuple(r)[:-1] for r in spark.read.parquet(path).orderBy("_part", "game_id", "player_id").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, map(tuple, features.collect())))
+
+
+def test_parts_follow_the_order_whatever_the_keys(spark):
+    import random
+    rnd = random.Random(7)
+    big = 1 << 60
+    keys = [(5, rnd.randint(0, 40)) for _ in range(300)] + [(rnd.choice([None, -3, 9, big, big + 1, big + 2]), rnd.choice([None, 1, 2])) for _ in range(200)] \
+        + [(i, 1) for i in range(20, 220)] + [(7, 3)] * 150 + [(8, None)] * 80
+    df = spark.createDataFrame(keys, "game_id long, player_id long")
+    nulls_first = lambda k: [(v is not None, v or 0) for v in k]
+    want = sorted(keys, key=nulls_first)
+    for rows in (None, df.limit(0), df, df.filter("game_id = 5"), df.filter("game_id IS NULL OR player_id IS NULL"), df.filter("game_id > 100")):
+        parts, part = FE.range_parts(df if rows is None else rows, "game_id", "player_id", part_rows=40, few_rows=20)
+        placed = part(df, "p").collect()
+        assert all(0 <= r.p < parts for r in placed)
+        # every part is one stretch of the order
+        assert [(r.game_id, r.player_id) for r in sorted(placed, key=lambda r: (r.p, nulls_first(r[:2])))] == want
+        if rows is df:
+            sizes = [sum(r.p == i for r in placed) for i in range(parts)]
+            # what has one key cannot be cut; the players of a game that fills parts are
+            assert sum(s > 160 for s in sizes) == 0 and len({r.p for r in placed if r.game_id == 5}) > 4
+    got = FE.sorted_features(df, df).select("game_id", "player_id", FE.F.spark_partition_id().alias("p")).collect()
+    assert [tuple(r[:2]) for r in sorted(got, key=lambda r: (r.p, nulls_first(r[:2])))] == want
