@@ -199,3 +199,20 @@ def test_parts_follow_the_order_whatever_the_keys(spark):
             assert sum(s > 160 for s in sizes) == 0 and len({r.p for r in placed if r.game_id == 5}) > 4
     got = FE.sorted_features(df, df).select("game_id", "player_id", FE.F.spark_partition_id().alias("p")).collect()
     assert [tuple(r[:2]) for r in sorted(got, key=lambda r: (r.p, nulls_first(r[:2])))] == want
+
+
+def test_only_documents_that_nothing_else_tells_apart_are_written_out(spark):
+    from courtline.sources import landing as LA
+
+    rows = [("E1", "1", "a", 1), ("E1", "1", "b", 2), ("E1", "1", "c", 2), ("E1", "2", "d", 1), (None, "3", "e", 1), (None, "3", "f", 1),
+            ("E2", "1", None, 1), ("E2", "1", "g", None)]
+    docs = spark.createDataFrame(rows, "season_code string, game_number string, r string, n int").selectExpr(
+        "season_code", "game_number", "named_struct('Referees', r) AS doc", "n")
+    for order, want in (("n", {("E1", "1", "c"), ("E1", "2", "d"), (None, "3", "f"), ("E2", "1", None)}),
+                        (None, {("E1", "1", "c"), ("E1", "2", "d"), (None, "3", "f"), ("E2", "1", None)})):
+        got = LA._last_of_key(docs, order)
+        assert got.columns == docs.columns
+        assert {(r.season_code, r.game_number, r.doc.Referees) for r in got.collect()} == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+        texts = plan.count("to_json(") + plan.count("structstojson")
+        assert 0 < texts == plan.count("case when (_equal")
