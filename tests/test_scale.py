@@ -216,3 +216,32 @@ def test_only_documents_that_nothing_else_tells_apart_are_written_out(spark):
         plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
         texts = plan.count("to_json(") + plan.count("structstojson")
         assert 0 < texts == plan.count("case when (_equal")
+
+
+def test_a_load_reads_its_lines_once_and_keeps_what_it_stores(spark):
+    """Box rows are ready in the decoded copy, and what a document's lines share is computed below the generator."""
+    import json
+
+    from courtline.plans import normalise as NO
+
+    def line(code, **more):
+        return {"Player_ID": code, "Player": "x", "Team": "Reds", "Minutes": "10:00", "Points": 5, **more}
+
+    lines = [line("P1"), line("P2", Valuation="x", Points=[1], Steals=None, Extra="y"), line("P3", Steals="y", Height="tall"),
+             line("P4", Minutes="99999999999:00"), line("P5", Minutes="25"), line("P6", Points=None, Minutes="0:30")]
+    doc = {"Referees": "A", "Stats": [{"tmr": {"Team": t}, "totr": {"Points": 1}, "PlayersStats": x} for t, x in (("Reds", lines), ("Blues", []))]}
+    kept = []
+    copy = NO.materialize
+    try:
+        NO.materialize = lambda df: kept.append(df) or copy(df)
+        load = NO.normalise(NO.parse_documents(spark.createDataFrame([("a/E1/1.json", json.dumps(doc))], "file_key string, body string")))
+        decoded = load._decoded
+    finally:
+        NO.materialize = copy
+    assert {"seconds", "points", "plus_minus", "player_name"} <= set(decoded.columns) and "line" not in decoded.columns
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    above = plan[:next(i for i, x in enumerate(plan) if "Generate posexplode" in x)]
+    assert not any("doc#" in x for x in above)
+    assert [r.reason for r in load.rejects.orderBy("reason").collect()] == [
+        "Points is no number", "Steals is no number", "minutes has no ':'", "seconds out of integer range"]
+    assert sorted((r.seconds, r.points) for r in load.boxscore.collect()) == [(30, 0), (600, 5)]
