@@ -245,3 +245,12 @@ def test_a_load_reads_its_lines_once_and_keeps_what_it_stores(spark):
     assert [r.reason for r in load.rejects.orderBy("reason").collect()] == [
         "Points is no number", "Steals is no number", "minutes has no ':'", "seconds out of integer range"]
     assert sorted((r.seconds, r.points) for r in load.boxscore.collect()) == [(30, 0), (600, 5)]
+
+
+def test_copies_are_compressed_by_zstandard(spark):
+    from glob import glob
+
+    import pyarrow.parquet as pq
+
+    files = glob(f"{local_path(materialize(spark.range(9)).inputFiles()[0]).rsplit('/', 1)[0]}/*.parquet")
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups} == {"ZSTD"}
