@@ -254,3 +254,26 @@ def test_copies_are_compressed_by_zstandard(spark):
 
     files = glob(f"{local_path(materialize(spark.range(9)).inputFiles()[0]).rsplit('/', 1)[0]}/*.parquet")
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups} == {"ZSTD"}
+
+
+def test_pages_are_landed_twice_from_one_shuffle_and_no_copy(spark, monkeypatch):
+    from courtline import catalog as C
+
+    games = [(f"data/boxscore_json/E{2000 + n % 2}/{n}.json", f"E{2000 + n % 2}", n, n, f'{{"n":{n}}}') for n in range(0, 1200, 7)]
+    made = []
+
+    def documents(*_):
+        made.append(1)
+        return spark.createDataFrame(games, "file_key string, season_code string, game_number long, game_id long, body string")
+
+    monkeypatch.setattr(C.B, "documents", documents)
+    monkeypatch.setattr(C, "materialize", lambda df: (_ for _ in ()).throw(AssertionError("documents are copied")))
+    got = sorted(map(tuple, C.q_landing_changes(spark, "").collect()))
+    pages = {}
+    for _, season, n, i, _ in games:
+        pages.setdefault((season, n // 100), []).append(i)
+    want = [(f"{s}/{p}", "vanished") for s, p in pages if p % 4 == 0] + [(f"{s}/{p + 100000}", "new") for s, p in pages if p % 5 == 1]
+    want += [(f"{s}/{p}", "rewritten") for (s, p), ids in pages.items() if p % 4 not in (0, 3) and any(i % 40 == 0 for i in ids)]
+    assert got == sorted(want) and {c for _, c in got} == {"vanished", "new", "rewritten"} and len(made) == 1
+    monkeypatch.setattr(C.B, "documents", lambda *_: documents().filter("game_number < 100"))
+    assert {c for _, c in C.q_landing_changes(spark, "").collect()} == {"vanished"}
